@@ -9,11 +9,11 @@ from citeweave.functions.keys import partition_key
 
 
 def extraction_stats(refs: DataFrame, edges: DataFrame) -> DataFrame:
-    counted = edges.agg(
-        F.count(F.lit(1)).alias("matches"),
-        F.countDistinct("entry_ord", "item_ord", "ref_index").alias("refs_with_matches"),
-    )
-    return refs.agg(F.count(F.lit(1)).alias("refs"), F.countDistinct("entry_ord", "item_ord").alias("items")).crossJoin(counted)
+    """One row: references and items read, references with an edge, edges."""
+    seen = refs.agg(F.count(F.lit(1)).alias("refs"), F.countDistinct("entry_ord", "item_ord").alias("items"))
+    made = edges.agg(F.count(F.lit(1)).alias("matches"), F.countDistinct("entry_ord", "item_ord", "ref_index").alias("refs_with_matches"))
+    both = seen.unionByName(made, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("refs", "items", "matches", "refs_with_matches")])
 
 
 def inversion_stats(counts: DataFrame) -> DataFrame:
