@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import language, quality, url_filter
+from citeweave.llm import jaccard, language, quality, url_filter
 
 # The rules of the URL query, as (verdict, host, path).
 RULES = [
@@ -33,8 +33,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(_documents(spark, sf_dir), jaccard.Join(k=3, percent=90))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op4_url_filters, op8_language_id)}
+    return {f.__name__: f for f in (op1_quality_rules, op4_url_filters, op8_language_id, op10_ngram_jaccard_join)}
 
 
 OP4_SQL = """
