@@ -23,6 +23,7 @@ from citeweave.llm.graph import components
 MAX_FREQUENT = 1 << 20
 #: Shingles in a bucket. Larger buckets are dealt by pairs of shares, which together hold every pair.
 BUCKET_SHINGLES = 1 << 19
+SKETCH_BITS = 512
 
 
 @dataclass(frozen=True)
@@ -55,6 +56,11 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
+def _sketch(s: np.ndarray) -> bytes:
+    odd = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _ordered(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The set in the global order: shingles that are not frequent first."""
     if not len(frequent) or not len(s):
@@ -64,9 +70,11 @@ def _ordered(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, join: Join) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, d1, d2) of every row, and the frequent shingles.
+    """(doc_id, n, d1, d2, sketch) of every row, and the frequent shingles.
 
-    A task counts shingles over its documents, in groups of 4096; those in over 1/128 of a group add up over all tasks.
+    A task counts shingles over its documents, in groups of 4096; those in three or more of a group add up over all tasks.
+    sketch has the parity of the set's hashes in SKETCH_BITS cells: two sketches differ in no more bits than their sets
+    in members.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,17 +82,17 @@ def shingle_sets(docs: DataFrame, join: Join) -> tuple[DataFrame, np.ndarray]:
 
         def frequent() -> pa.RecordBatch:
             values, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n > max(2, len(held) // 128)
+            often = n > 2
             held.clear()
             v = values[often].astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.nulls(len(v), pa.int64()), pa.array(n[often].astype(np.int64)), pa.array(v), pa.nulls(len(v), pa.int64())], names)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(v), pa.int64()), pa.array(n[often].astype(np.int64)), pa.array(v), pa.nulls(len(v), pa.int64()), pa.nulls(len(v), pa.binary())], names)
 
-        names = ["doc_id", "n", "d1", "d2"]
+        names = ["doc_id", "n", "d1", "d2", "sketch"]
         size = 0
         for rows, data, offsets in blocks(batches):
             sets = list(_sets(data, offsets, join.k))
             d = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], names)
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(list(map(_sketch, sets)), pa.binary())], names)
             held += sets
             size += sum(map(len, sets))
             if len(held) >= 4096 or size > 4_000_000:
@@ -94,7 +102,7 @@ def shingle_sets(docs: DataFrame, join: Join) -> tuple[DataFrame, np.ndarray]:
             yield frequent()
 
     ids = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    both = store(ids.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint"))
+    both = store(ids.mapInArrow(run, "doc_id bigint, n bigint, d1 bigint, d2 bigint, sketch binary"))
     often = both.where("doc_id IS NULL").groupBy("d1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d1").limit(MAX_FREQUENT)
     frequent = np.sort(often.select("d1").toPandas()["d1"].to_numpy(np.int64).astype(np.uint64))
     return both.where("doc_id IS NOT NULL"), frequent
@@ -211,7 +219,7 @@ def bucket_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def _candidate_rows(docs: DataFrame, sets: DataFrame, prefixes: DataFrame) -> DataFrame:
+def _candidate_rows(prefixes: DataFrame) -> DataFrame:
     """(bucket, d1, d2, n) in buckets of at least two different sets, each bucket of the same members once.
 
     Counts and extremes of a bucket are aggregates with map-side combine; no bucket is gathered.
@@ -228,7 +236,7 @@ def _candidate_rows(docs: DataFrame, sets: DataFrame, prefixes: DataFrame) -> Da
 def _dealt(rows: DataFrame, percent: int) -> DataFrame:
     """Buckets as dealt to tasks. Large ones are parted by size class and then by pairs of shares that hold all pairs."""
     small = F.col("shingles") <= BUCKET_SHINGLES
-    ratio = float(np.log(100 / percent))
+    ratio = float(np.log(100 / percent)) * 1.001  # so that rounding never parts sizes that may link
     level = F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int")
     levels = F.when(small, F.array(F.lit(-1))).otherwise(F.array(level, level + 1))
     by_level = rows.withColumn("level", F.explode(levels))
@@ -237,7 +245,7 @@ def _dealt(rows: DataFrame, percent: int) -> DataFrame:
     shares = F.when(small, F.lit(1)).otherwise(F.ceil(2 * F.col("w") / BUCKET_SHINGLES).cast("int"))
     own = F.pmod(F.xxhash64("d2", "d1"), F.col("shares")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("shares") - 1), lambda s: F.struct(F.least(s, F.col("own")).alias("i"), F.greatest(s, F.col("own")).alias("j")))
-    return weighed.withColumn("shares", shares).withColumn("own", own).withColumn("p", F.explode(pairs)).select(F.xxhash64("tok", "level", "p.i", "p.j").alias("bucket"), "d1", "d2")
+    return weighed.withColumn("shares", shares).withColumn("own", own).withColumn("p", F.explode(pairs)).select(F.xxhash64("tok", "level", "p.i", "p.j").alias("bucket"), "d1", "d2", "n", "sketch")
 
 
 def _set_table(docs: DataFrame, wanted: DataFrame, join: Join, frequent: np.ndarray) -> DataFrame:
@@ -255,34 +263,66 @@ def _set_table(docs: DataFrame, wanted: DataFrame, join: Join, frequent: np.ndar
     return texts.mapInArrow(run, "d1 bigint, d2 bigint, toks binary").dropDuplicates(["d1", "d2"])
 
 
-def _links(dealt: DataFrame, percent: int) -> DataFrame:
-    """(a1, a2, b1, b2): links found by the trie of each bucket. Buckets are read one by one from the sorted partition."""
+def _by_bucket(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """The rows of each bucket, from a partition that is sorted by bucket; None after each batch."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+            if held and held[0][0] != row[0]:
+                yield held
+                held = []
+            held.append(row)
+        yield None
+    if held:
+        yield held
+    yield None
+
+
+def _plausible(rows: list[tuple], percent: int) -> np.ndarray:
+    """Which rows have a partner whose sketch and size allow a link."""
+    n = np.array([r[3] for r in rows], np.int64)
+    words = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(len(rows), -1)
+    out = np.zeros(len(rows), bool)
+    for a in range(0, len(rows), 128):
+        part, size = words[a : a + 128], n[a : a + 128, None]
+        differ = sum(np.bitwise_count(part[:, k, None] ^ words[None, :, k]).astype(np.int32) for k in range(words.shape[1]))
+        fits = ((100 + percent) * differ <= (100 - percent) * (size + n)) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n))
+        fits[np.arange(len(part)), np.arange(a, a + len(part))] = False
+        out[a : a + 128] = fits.any(1)
+    return out
+
+
+def _survivors(dealt: DataFrame, percent: int) -> DataFrame:
+    """(bucket, d1, d2) of the rows that the sketches do not rule out; exact, as a sketch never hides a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int, bytes]] = []
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple] = []
+        for rows in _by_bucket(batches, ("bucket", "d1", "d2", "n", "sketch")):
+            if rows is None:
+                cols = np.array(out, np.int64).reshape(-1, 3)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[:, k].copy()) for k in range(3)], ["bucket", "d1", "d2"])
+                out = []
+            elif len(rows) > 1:
+                out += [rows[k][:3] for k in np.flatnonzero(_plausible(rows, percent))]
+
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket bigint, d1 bigint, d2 bigint")
 
-        def close() -> None:
-            if len(held) > 1:
-                sets = [np.frombuffer(r[3], np.uint64) for r in held]
-                out.extend((held[x][1], held[x][2], held[y][1], held[y][2]) for x, y in bucket_links(sets, percent))
-            held.clear()
 
-        def made() -> pa.RecordBatch:
-            cols = np.array(out, np.int64).reshape(-1, 4)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(cols[:, k].copy()) for k in range(4)], ["a1", "a2", "b1", "b2"])
+def _links(rows: DataFrame, percent: int) -> DataFrame:
+    """(a1, a2, b1, b2): links found by the trie of each bucket."""
 
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "d1", "d2", "toks"))):
-                if held and held[0][0] != row[0]:
-                    close()
-                held.append(row)
-            yield made()
-        close()
-        yield made()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for held in _by_bucket(batches, ("bucket", "d1", "d2", "toks")):
+            if held is None:
+                cols = np.array(out, np.int64).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[:, k].copy()) for k in range(4)], ["a1", "a2", "b1", "b2"])
+                out = []
+            elif len(held) > 1:
+                sets = [np.frombuffer(r[3], np.uint64) for r in held]
+                out += [(held[x][1], held[x][2], held[y][1], held[y][2]) for x, y in bucket_links(sets, percent)]
 
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
 
 
 def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -293,11 +333,12 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     of their own that share that id. Columns other than doc_id and text are not read.
     """
     sets, frequent = shingle_sets(docs, join)
-    firsts = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"))
-    candidates = store(_candidate_rows(docs, sets, _prefixes(docs, join, frequent)))
-    wanted = candidates.select("d1", "d2").distinct().join(firsts, ["d1", "d2"]).select(F.col("first").alias("doc_id"))
+    firsts = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.min("sketch").alias("sketch"))
+    candidates = _candidate_rows(_prefixes(docs, join, frequent)).join(firsts.select("d1", "d2", "sketch"), ["d1", "d2"])
+    plausible = store(_survivors(_dealt(candidates, join.percent), join.percent))
+    wanted = plausible.select("d1", "d2").distinct().join(firsts, ["d1", "d2"]).select(F.col("first").alias("doc_id"))
     table = store(_set_table(docs, wanted, join, frequent))
-    links = _links(_dealt(candidates, join.percent).join(table, ["d1", "d2"]), join.percent)
+    links = _links(plausible.join(table, ["d1", "d2"]), join.percent)
     a, b = (firsts.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("first").alias(x)) for x in "ab")
     edges = links.distinct().join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a", "b")
     roots = components(edges)
