@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import jaccard, language, quality, url_filter
+from citeweave.llm import jaccard, language, line_dedup, media, mixing, packing, pii, quality, repair, url_filter
 
 # The rules of the URL query, as (verdict, host, path).
 RULES = [
@@ -24,21 +24,61 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir))
 
 
+def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "phash"]
+    return media.text_media(_documents(spark, sf_dir)).select(columns)
+
+
+def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return repair.encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return url_filter.judge_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(_documents(spark, sf_dir).select("doc_id", "text"), "an example key")
+
+
+def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_documents(spark, sf_dir))
+    return mixed.select("doc_id", "source", "mix_weight", "mix_epoch", "mix_block", "mix_slot")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
 
+def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(_documents(spark, sf_dir), jaccard.Join(k=3, percent=90))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op4_url_filters, op8_language_id, op10_ngram_jaccard_join)}
+    operators = (
+        op1_quality_rules, op2_media_columns, op3_token_id_output, op4_url_filters, op5_pii_surrogates,
+        op6_temperature_mixing, op7_line_dedup, op8_language_id, op9_retrieval_packing, op10_ngram_jaccard_join, pipeline,
+    )
+    return {f.__name__: f for f in operators}
 
 
 OP4_SQL = """
