@@ -1 +1,57 @@
-"""The corpus pipeline; grows with its stages."""
+"""Corpus pipeline: quality rules, line dedup, n-gram Jaccard join, source mixing, packing."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from citeweave.llm import jaccard, line_dedup, mixing, packing, quality
+from citeweave.llm.common import store
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or their language's perplexity band go."""
+    return quality.keep_good(docs)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line chunks that an earlier document has are cut out of texts; documents stay."""
+    return line_dedup.clean_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of shingle sets (five words) with a similarity of 0.8 or more stays."""
+    return jaccard.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture uses them: every one at least once."""
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
+
+# Perplexity models, tries and packing have no SQL form; the stages are tested against brute-force versions.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to documents; each writes its result as Parquet, which the next one reads."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = store(docs)
+    return docs
