@@ -133,90 +133,82 @@ def _prefixes(docs: DataFrame, join: Join, frequent: np.ndarray) -> DataFrame:
 
 
 class Trie:
-    """Ordered sets as a path-compressed tree, cut into edges of EDGE shingles so that a walk can stop early."""
+    """Ordered sets as a path-compressed tree. Edges are short near the root and longer below, so that a walk can stop early.
 
-    EDGE = 32
+    Walks skip subtrees whose members are all linked with the walked set already: what they give is a spanning forest.
+    """
 
-    def __init__(self, sets: list[np.ndarray], rank: np.ndarray):
-        """sets: ascending by the global order; rank: order of sets so that equal beginnings are neighbours."""
-        self.sets = sets
-        self.root = self._node([int(k) for k in rank], 0)
+    def __init__(self, sets: list[np.ndarray], rank: list[int]):
+        """rank: the sets' numbers, ordered so that equal beginnings are neighbours."""
+        self.sets, self.group = sets, np.arange(len(sets))
+        self.root = self._node(rank, 0)
 
-    def _node(self, members: list[int], depth: int):
-        """(leaves that end here, edges, lengths of first shingles, all heads in one array, offsets, least and most size)."""
-        stack_leaves = [m for m in members if len(self.sets[m]) == depth]
+    def _node(self, members: list[int], depth: int) -> dict:
+        """Members that end at this depth, and the edges below: their shingles in one array, members and extreme sizes."""
         rest = [m for m in members if len(self.sets[m]) > depth]
-        children = []
-        a = 0
+        edges, heads, a = [], [], 0
         while a < len(rest):
             b, first = a + 1, self.sets[rest[a]][depth]
             while b < len(rest) and self.sets[rest[b]][depth] == first:
                 b += 1
-            group = rest[a:b]
-            x, y = self.sets[group[0]], self.sets[group[-1]]
-            most = min(len(x), len(y), depth + self.EDGE) - depth
-            if len(group) > 1:
-                differ = np.flatnonzero(x[depth : depth + most] != y[depth : depth + most])
-                most = int(differ[0]) if len(differ) else most
-                most = min(most, min(len(self.sets[g]) for g in group) - depth)
-            children.append((group, depth + most, None))
+            below = rest[a:b]
+            x, y = self.sets[below[0]], self.sets[below[-1]]
+            n = min(depth + max(32, 4 * depth), *(len(self.sets[m]) for m in below), len(x)) - depth
+            differ = np.flatnonzero(x[depth : depth + n] != y[depth : depth + n])
+            n = int(differ[0]) if len(differ) else n
+            edges.append((below, depth + n))
+            heads.append(x[depth : depth + n])
             a = b
-        sizes = [[len(self.sets[g]) for g in c[0]] for c in children]
-        heads = [self.sets[c[0][0]][depth : c[1]] for c in children]
+        sizes = [[len(self.sets[m]) for m in below] for below, _ in edges]
         return {
-            "leaves": stack_leaves,
-            "children": children,
+            "leaves": [m for m in members if len(self.sets[m]) == depth],
+            "edges": edges,
             "heads": np.concatenate(heads) if heads else np.zeros(0, np.uint64),
             "cuts": np.cumsum([0, *map(len, heads)]),
-            "least": np.array([min(s) for s in sizes], np.int64),
-            "most": np.array([max(s) for s in sizes], np.int64),
+            "members": np.array([m for below, _ in edges for m in below], np.int64),
+            "firsts": np.cumsum([0, *(len(below) for below, _ in edges)])[:-1],
+            "least": np.array([min(x) for x in sizes], np.int64),
+            "most": np.array([max(x) for x in sizes], np.int64),
             "depth": depth,
             "below": {},
         }
 
-    def links(self, q: np.ndarray, q_sorted: np.ndarray, percent: int) -> Iterator[int]:
-        """Members whose Jaccard similarity with q is at least percent / 100."""
-        n, stack = len(q), [(self.root, 0)]
+    def link(self, q: int, percent: int) -> list[int]:
+        """Members of other groups whose Jaccard similarity with q is at least percent / 100; their groups become one."""
+        own = np.sort(self.sets[q])
+        n, stack, found = len(own), [(self.root, 0)], []
         while stack:
             node, overlap = stack.pop()
             for leaf in node["leaves"]:
                 m = len(self.sets[leaf])
-                if 100 * overlap >= percent * (n + m - overlap):
-                    yield leaf
-            if not node["children"]:
+                if self.group[leaf] != self.group[q] and 100 * overlap >= percent * (n + m - overlap):
+                    found.append(leaf)
+                    self.group[self.group == self.group[leaf]] = self.group[q]
+            if not node["edges"]:
+                continue
+            # The most that a member below can share, were all its later shingles in q.
+            open_ = np.logical_or.reduceat(self.group[node["members"]] != self.group[q], node["firsts"])
+            open_ &= (100 * node["most"] >= percent * n) & (percent * node["least"] <= 100 * n)
+            if not open_.any():
                 continue
-            at = np.minimum(np.searchsorted(q_sorted, node["heads"]), n - 1)
-            hits = np.concatenate([[0], np.cumsum(q_sorted[at] == node["heads"])])
+            at = np.minimum(np.searchsorted(own, node["heads"]), n - 1)
+            hits = np.concatenate([[0], np.cumsum(own[at] == node["heads"])])
             got = overlap + hits[node["cuts"][1:]] - hits[node["cuts"][:-1]]
             depth = node["depth"] + np.diff(node["cuts"])
-            # The most that a member below can share, were all its later shingles in q, at its best size.
             best = np.minimum(got + node["most"] - depth, n)
-            fits = (100 * best >= percent * (n + np.maximum(node["least"], best) - best)) & (100 * node["most"] >= percent * n) & (percent * node["least"] <= 100 * n)
-            for k in np.flatnonzero(fits):
-                group, below_depth, _ = node["children"][k]
+            open_ &= 100 * best >= percent * (n + np.maximum(node["least"], best) - best)
+            for k in np.flatnonzero(open_).tolist():
                 if k not in node["below"]:
-                    node["below"][k] = self._node(group, below_depth)
+                    node["below"][k] = self._node(*node["edges"][k])
                 stack.append((node["below"][k], int(got[k])))
-
-
-def _find(parent: list[int], x: int) -> int:
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
+        return found
 
 
 def bucket_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ordered sets (neighbours in a bucket)."""
-    rank = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
-    trie, parent, out = Trie(sets, np.array(rank)), list(range(len(sets))), []
-    for x in rank:
-        for y in trie.links(sets[x], np.sort(sets[x]), percent):
-            a, b = _find(parent, x), _find(parent, y)
-            if a != b:
-                parent[a] = b
-                out.append((x, y))
-    return out
+    """A spanning forest of the links among ordered sets that meet in a bucket."""
+    rank = sorted((k for k in range(len(sets)) if len(sets[k])), key=lambda k: sets[k].astype(">u8").tobytes())
+    trie = Trie(sets, rank)
+    return [(x, y) for x in rank for y in trie.link(x, percent)]
 
 
 def _candidate_rows(prefixes: DataFrame) -> DataFrame:
@@ -248,21 +240,6 @@ def _dealt(rows: DataFrame, percent: int) -> DataFrame:
     return weighed.withColumn("shares", shares).withColumn("own", own).withColumn("p", F.explode(pairs)).select(F.xxhash64("tok", "level", "p.i", "p.j").alias("bucket"), "d1", "d2", "n", "sketch")
 
 
-def _set_table(docs: DataFrame, wanted: DataFrame, join: Join, frequent: np.ndarray) -> DataFrame:
-    """(d1, d2, toks) of the wanted sets, taken from the least document that has each."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in blocks(batches):
-            sets = list(_sets(data, offsets, join.k))
-            d = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
-            toks = pa.array([_ordered(s, shared.value).tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), toks], ["d1", "d2", "toks"])
-
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("text")
-    return texts.mapInArrow(run, "d1 bigint, d2 bigint, toks binary").dropDuplicates(["d1", "d2"])
-
-
 def _by_bucket(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
     """The rows of each bucket, from a partition that is sorted by bucket; None after each batch."""
     held: list[tuple] = []
@@ -308,21 +285,34 @@ def _survivors(dealt: DataFrame, percent: int) -> DataFrame:
     return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket bigint, d1 bigint, d2 bigint")
 
 
-def _links(rows: DataFrame, percent: int) -> DataFrame:
-    """(a1, a2, b1, b2): links found by the trie of each bucket."""
+def _once(rows: DataFrame) -> DataFrame:
+    """Of buckets with the same members, one."""
+    h = F.xxhash64("d1", "d2")
+    same = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y"))
+    return rows.join(same.groupBy("c", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
+
+
+def _links(rows: DataFrame, join: Join, frequent: np.ndarray) -> DataFrame:
+    """(a, b): doc_ids whose sets the trie of a bucket links. Sets are made again from the texts, which are smaller."""
+    shared = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for held in _by_bucket(batches, ("bucket", "d1", "d2", "toks")):
+        for held in _by_bucket(batches, ("bucket", "doc_id", "d1", "d2", "text")):
             if held is None:
-                cols = np.array(out, np.int64).reshape(-1, 4)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[:, k].copy()) for k in range(4)], ["a1", "a2", "b1", "b2"])
+                cols = np.array(out, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(cols[:, k].copy()) for k in range(2)], ["a", "b"])
                 out = []
             elif len(held) > 1:
-                sets = [np.frombuffer(r[3], np.uint64) for r in held]
-                out += [(held[x][1], held[x][2], held[y][1], held[y][2]) for x, y in bucket_links(sets, percent)]
+                raw = [r[4].encode() for r in held]
+                offsets = np.cumsum([0, *map(len, raw)])
+                sets = list(_sets(np.frombuffer(b"".join(raw), np.uint8), offsets, join.k))
+                # A repeated doc_id may bring another text along.
+                same = [_digest(s) == r[2:4] for s, r in zip(sets, held)]
+                sets, held = [_ordered(s, shared.value) for s, ok in zip(sets, same) if ok], [r for r, ok in zip(held, same) if ok]
+                out += [(held[x][1], held[y][1]) for x, y in bucket_links(sets, join.percent)]
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a bigint, b bigint")
 
 
 def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -333,14 +323,12 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     of their own that share that id. Columns other than doc_id and text are not read.
     """
     sets, frequent = shingle_sets(docs, join)
-    firsts = sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.min("sketch").alias("sketch"))
+    firsts = store(sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.min("sketch").alias("sketch")))
     candidates = _candidate_rows(_prefixes(docs, join, frequent)).join(firsts.select("d1", "d2", "sketch"), ["d1", "d2"])
     plausible = store(_survivors(_dealt(candidates, join.percent), join.percent))
-    wanted = plausible.select("d1", "d2").distinct().join(firsts, ["d1", "d2"]).select(F.col("first").alias("doc_id"))
-    table = store(_set_table(docs, wanted, join, frequent))
-    links = _links(plausible.join(table, ["d1", "d2"]), join.percent)
-    a, b = (firsts.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("first").alias(x)) for x in "ab")
-    edges = links.distinct().join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a", "b")
+    named = _once(plausible).join(firsts.select("d1", "d2", F.col("first").alias("doc_id")), ["d1", "d2"])
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    edges = _links(texts.join(named, "doc_id"), join, frequent)
     roots = components(edges)
     comps = firsts.join(roots, firsts["first"] == roots["node"], "left").select("d1", "d2", F.coalesce("root", "first").alias("component_id"))
     labelled = sets.join(comps, ["d1", "d2"], "left")
