@@ -57,7 +57,11 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sketch(s: np.ndarray) -> bytes:
-    odd = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """Parities of the set's hashes in cells, at least SKETCH_BITS and a power of two that grows with the set."""
+    cells = SKETCH_BITS
+    while cells < len(s) // 2:
+        cells *= 2
+    odd = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
@@ -73,8 +77,8 @@ def shingle_sets(docs: DataFrame, join: Join) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n, d1, d2, sketch) of every row, and the frequent shingles.
 
     A task counts shingles over its documents, in groups of 4096; those in three or more of a group add up over all tasks.
-    sketch has the parity of the set's hashes in SKETCH_BITS cells: two sketches differ in no more bits than their sets
-    in members.
+    Two sketches differ in no more bits than their sets in members; the halves of a sketch give, by exclusive or, that of
+    half its size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +241,7 @@ def _dealt(rows: DataFrame, percent: int) -> DataFrame:
     shares = F.when(small, F.lit(1)).otherwise(F.ceil(2 * F.col("w") / BUCKET_SHINGLES).cast("int"))
     own = F.pmod(F.xxhash64("d2", "d1"), F.col("shares")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("shares") - 1), lambda s: F.struct(F.least(s, F.col("own")).alias("i"), F.greatest(s, F.col("own")).alias("j")))
-    return weighed.withColumn("shares", shares).withColumn("own", own).withColumn("p", F.explode(pairs)).select(F.xxhash64("tok", "level", "p.i", "p.j").alias("bucket"), "d1", "d2", "n", "sketch")
+    return weighed.withColumn("shares", shares).withColumn("own", own).withColumn("p", F.explode(pairs)).select(F.xxhash64("tok", "level", "p.i", "p.j").alias("bucket"), "first", "n", "sketch")
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
@@ -255,41 +259,65 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> I
     yield None
 
 
-def _plausible(rows: list[tuple], percent: int) -> np.ndarray:
-    """Which rows have a partner whose sketch and size allow a link."""
-    n = np.array([r[3] for r in rows], np.int64)
-    words = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(len(rows), -1)
-    out = np.zeros(len(rows), bool)
-    for a in range(0, len(rows), 128):
-        part, size = words[a : a + 128], n[a : a + 128, None]
-        differ = sum(np.bitwise_count(part[:, k, None] ^ words[None, :, k]).astype(np.int32) for k in range(words.shape[1]))
-        fits = ((100 + percent) * differ <= (100 - percent) * (size + n)) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n))
-        fits[np.arange(len(part)), np.arange(a, a + len(part))] = False
-        out[a : a + 128] = fits.any(1)
+def _plausible(n: np.ndarray, sketches: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose sketches and sizes allow a link."""
+    group, out = np.arange(len(n)), []
+    size = np.array([len(x) for x in sketches])
+    for level in np.unique(size).tolist():
+        own, above = np.flatnonzero(size == level), np.flatnonzero(size == 2 * level)
+        words = np.frombuffer(b"".join(sketches[k] for k in own), np.uint64).reshape(len(own), -1)
+        if len(above):
+            wide = np.frombuffer(b"".join(sketches[k] for k in above), np.uint64).reshape(len(above), 2, -1)
+            other, number = np.concatenate([words, wide[:, 0] ^ wide[:, 1]]), np.concatenate([own, above])
+        else:
+            other, number = words, own
+        for k, w in zip(own.tolist(), words):
+            m = n[number]
+            at = np.flatnonzero((100 * np.minimum(m, n[k]) >= percent * np.maximum(m, n[k])) & (group[number] != group[k]))
+            differ = np.bitwise_count(other[at] ^ w).sum(1, dtype=np.int64)
+            near = number[at[(100 + percent) * differ <= (100 - percent) * (m[at] + n[k])]]
+            for j in near.tolist():
+                if group[j] != group[k]:
+                    out.append((k, j))
+                    group[group == group[j]] = group[k]
     return out
 
 
-def _survivors(dealt: DataFrame, percent: int) -> DataFrame:
-    """(bucket, d1, d2) of the rows that the sketches do not rule out; exact, as a sketch never hides a link."""
+def _pairs(dealt: DataFrame, percent: int) -> DataFrame:
+    """(bucket, a, b): in each bucket, a forest of the pairs that sketches do not rule out. A sketch never hides a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        for rows in _by_bucket(batches, ("bucket", "d1", "d2", "n", "sketch")):
+        for rows in _by_bucket(batches, ("bucket", "first", "n", "sketch")):
             if rows is None:
                 cols = np.array(out, np.int64).reshape(-1, 3)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[:, k].copy()) for k in range(3)], ["bucket", "d1", "d2"])
+                yield pa.RecordBatch.from_arrays([pa.array(cols[:, k].copy()) for k in range(3)], ["bucket", "a", "b"])
                 out = []
             elif len(rows) > 1:
-                out += [rows[k][:3] for k in np.flatnonzero(_plausible(rows, percent))]
+                made = _plausible(np.array([r[2] for r in rows], np.int64), [r[3] for r in rows], percent)
+                out += [(rows[0][0], rows[x][1], rows[y][1]) for x, y in made]
 
-    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket bigint, d1 bigint, d2 bigint")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket bigint, a bigint, b bigint")
 
 
-def _once(rows: DataFrame) -> DataFrame:
-    """Of buckets with the same members, one."""
+def _regrouped(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(bucket, doc_id, d1, d2): where the trie links sets.
+
+    Components of plausible pairs, each in one bucket, so that a text moves once. The few components beyond
+    BUCKET_SHINGLES stay in the buckets of their shingles, where every pair that may link still meets.
+    """
+    roots = components(pairs.select("a", "b"))
+    both = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
+    named = both.join(firsts.select(F.col("first").alias("node"), "d1", "d2", "n"), "node")
+    weight = named.groupBy("root").agg(F.sum("n").alias("w"))
+    weighed = store(named.join(weight, "root"))
+    small = weighed.where(F.col("w") <= BUCKET_SHINGLES).select(F.xxhash64(F.lit(1), "root").alias("bucket"), F.col("node").alias("doc_id"), "d1", "d2")
+    rows = pairs.select("bucket", F.col("a").alias("node")).union(pairs.select("bucket", "b")).distinct()
+    large = rows.join(weighed.where(F.col("w") > BUCKET_SHINGLES), "node").select("bucket", F.col("node").alias("doc_id"), "d1", "d2")
     h = F.xxhash64("d1", "d2")
-    same = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y"))
-    return rows.join(same.groupBy("c", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
+    same = large.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y"))
+    chosen = same.groupBy("c", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return small.unionByName(large.join(chosen, "bucket"))
 
 
 def _links(rows: DataFrame, join: Join, frequent: np.ndarray) -> DataFrame:
@@ -323,10 +351,10 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     of their own that share that id. Columns other than doc_id and text are not read.
     """
     sets, frequent = shingle_sets(docs, join)
-    firsts = store(sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.min("sketch").alias("sketch")))
-    candidates = _candidate_rows(_prefixes(docs, join, frequent)).join(firsts.select("d1", "d2", "sketch"), ["d1", "d2"])
-    plausible = store(_survivors(_dealt(candidates, join.percent), join.percent))
-    named = _once(plausible).join(firsts.select("d1", "d2", F.col("first").alias("doc_id")), ["d1", "d2"])
+    firsts = store(sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("sketch").alias("sketch")))
+    candidates = _candidate_rows(_prefixes(docs, join, frequent)).join(firsts.select("d1", "d2", "first", "sketch"), ["d1", "d2"])
+    pairs = store(_pairs(_dealt(candidates, join.percent), join.percent))
+    named = _regrouped(pairs, firsts)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     edges = _links(texts.join(named, "doc_id"), join, frequent)
     roots = components(edges)
