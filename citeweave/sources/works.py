@@ -80,7 +80,7 @@ def read_archive(spark: SparkSession, path: str, partitions: int | None = None)
     """Works of archives, dealt out right after the scan as each archive is read by one task."""
     spark.dataSource.register(WorksArchive)
     works = spark.read.format("works_archive").load(path)
-    return works.repartition(partitions) if partitions else works.repartition()
+    return works.repartition(partitions) if partitions else works.hint("rebalance")
 
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,108 @@
+"""Scalar functions against truth tables and a plain model of their rules."""
+
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from citeweave.functions.arxiv import arxiv_doi, arxiv_id_of_doi, arxiv_matches, normalize_arxiv
+from citeweave.functions.doi import doi_matches, doi_prefix, normalize_doi
+from citeweave.functions.elapsed import format_elapsed
+from citeweave.functions.keys import partition_key
+from citeweave.functions.provenance import from_rank, provenance, rank
+
+
+def column(spark, values, make, *more):
+    frame = spark.createDataFrame([(k, *v) if isinstance(v, tuple) else (k, v) for k, v in enumerate(values)], "k int, x string" + "".join(f", {m} string" for m in more))
+    return [r[1] for r in frame.select("k", make.alias("y")).orderBy("k").collect()]
+
+
+def test_doi_matches(spark):
+    cases = {
+        "10.1234/abc": ["10.1234/abc"],
+        "doi:10.1234/ABC.": ["10.1234/abc"],
+        "see https://doi.org/10.5555/x, and http://dx.doi.org/10.5555/X;": ["10.5555/x"],
+        "10.1/no 10.12345/yes": ["10.12345/yes"],
+        "10.1016/S0140-6736(05)12": ["10.1016/s0140-6736(05"],
+        "10.1234%2Fx": [],
+        "10.1234/a b": ["10.1234/a"],
+        "10.5061/p7&gt; x": ["10.5061/p7"],
+        "b 10.2222/b a 10.1111/a b 10.2222/B": ["10.2222/b", "10.1111/a"],
+        "": [],
+        None: None,
+    }
+    assert column(spark, list(cases), F.transform(doi_matches(F.col("x")), lambda m: m.id)) == list(cases.values())
+
+
+def test_doi_raw_is_without_prefix(spark):
+    assert column(spark, ["doi: 10.1234/AbC."], doi_matches(F.col("x"))[0].raw) == ["10.1234/AbC."]
+
+
+def plain_normal(x):
+    for escapes, plain in ((("%2F", "%2f"), "/"), (("%3A", "%3a"), ":"), (("%28",), "("), (("%29",), ")"), (("%3C", "%3c"), "<"), (("%3E", "%3e"), ">")):
+        for e in escapes:
+            x = x.replace(e, plain)
+    x = x.rstrip(".,;:)]>\"' ")
+    for tail in ("&gt", "&lt", "&amp", "&quot"):
+        x = x.removesuffix(tail)
+    return x.lower()
+
+
+PIECES = st.lists(st.sampled_from(["10.", "1234", "/", "a", "V2", "v", "%2F", "%3a", "%28", ".", ")", ">", '"', " ", "\n", "&gt", "&lt", "&amp", "&quot", "É", " "]), max_size=12).map("".join)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(PIECES, min_size=200, max_size=200))
+def test_normalize_doi_model(spark, values):
+    assert column(spark, values, normalize_doi(F.col("x"))) == [plain_normal(v) for v in values]
+
+
+def test_doi_prefix_and_partition_key(spark):
+    values = ["10.1234/Abc", "10.1234", "10.ABC/x/y", "2403.12345", "hep-ph/9901001", "ab", "10.12", None]
+    assert column(spark, values, doi_prefix(F.col("x"))) == ["10.1234", None, "10.abc", None, None, None, None, None]
+    assert column(spark, values, partition_key(F.col("x"))) == ["10.1234", "10.1", "10.abc", "2403", "hep-", "ab", "10.1", None]
+
+
+def test_arxiv_matches(spark):
+    cases = {
+        "arXiv:2403.12345": ["2403.12345"],
+        "arXiv: 2403.12345v2 and ARXIV.2403.12345": ["2403.12345"],
+        "arXiv:hep-ph/ 9901001v3": ["hep-ph/9901001"],
+        "arXiv:solv-int/9901001v2": ["solv-int/9901001v2"],
+        "https://arxiv.org/abs/2101.123456 or arxiv.org/pdf/math.AG/0501001": ["2101.123456", "math.ag/0501001"],
+        "10.48550/arXiv.2403.1234": ["2403.1234"],
+        "2403.12345": [],
+    }
+    assert column(spark, list(cases), F.transform(arxiv_matches(F.col("x")), lambda m: m.id)) == list(cases.values())
+
+
+def test_arxiv_ids(spark):
+    def plain(x):
+        x = re.sub(r"\s", "", x.lower())
+        head, v, tail = x.partition("v")
+        return head if v and tail.isascii() and tail.isdigit() else x
+
+    values = ["2403.1v2", "solv-int/1v2", "v2", "a v 1", "2403.12345", "V12", "1v2v3", "x v1"]
+    assert column(spark, values, normalize_arxiv(F.col("x"))) == [plain(v) for v in values]
+    assert column(spark, ["2403.1"], arxiv_doi(F.col("x"))) == ["10.48550/arXiv.2403.1"]
+    assert column(spark, ["10.48550/arXiv.1", "10.48550/arxiv.2", "10.48550/ARXIV.3"], arxiv_id_of_doi(F.col("x"))) == ["1", "2", "10.48550/ARXIV.3"]
+
+
+def test_provenance(spark):
+    cases = {
+        ("10.1/a", "publisher", "10.1/A"): "publisher",
+        ("10.1/A", "crossref", "10.1/a"): "crossref",
+        ("10.1/a", "Publisher", "10.1/a"): "mined",
+        ("10.1/a", None, "10.1/a"): "mined",
+        ("https://doi.org/10.1/a", "publisher", "10.1/a"): "mined",
+        (None, "publisher", "10.1/a"): "mined",
+    }
+    made = provenance(F.col("x"), F.col("a"), F.col("c"))
+    assert column(spark, list(cases), made, "a", "c") == list(cases.values())
+    assert column(spark, ["mined", "crossref", "publisher"], rank(F.col("x"))) == [0, 1, 2]
+    assert column(spark, ["0", "1", "2"], from_rank(F.col("x").cast("int"))) == ["mined", "crossref", "publisher"]
+
+
+def test_elapsed():
+    assert [format_elapsed(x) for x in (0.5, 61, 3723.9)] == ["0.500s", "1m 1s", "1h 2m 3s"]
