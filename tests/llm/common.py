@@ -1,0 +1,95 @@
+"""Small tables with the awkward cases, and plain versions of shared definitions."""
+
+import random
+import re
+
+LONG = "word " * 30_000
+WORD = re.compile("[^\\x20\\x09-\\x0D]+")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def awkward(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, and extra columns with clashing names."""
+    rows = [
+        (1, "one two three four\nfive six seven eight\n" * 20, "en", "a", 10),
+        (1, "one two three four\nfive six seven eight\n" * 20, "en", "a", 10),
+        (2, None, None, None, None),
+        (3, "", "en", "a", 0),
+        (4, " \n\t\n ", None, "b", 3),
+        (5, LONG, "en", "b", len(LONG)),
+        (None, "no id here but words", "de", "c", 5),
+        (7, "é́ 　 ß \U0001f600 x y", "fr", "a", 8),
+        (8, "a\0b <|endoftext|> c", "en", None, 9),
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    clash = {"n": 1, "row": 2, "score": 3, "rule": "r", "media": "m", "h": "h", "marks": 4, "own": 5, "shard": 6, "bucket": 7, "feature": "f", "component_id": 8, "n_words": 9, "kept": True, "first": 1, "node": 2}
+    from pyspark.sql import functions as F
+
+    return frame.withColumns({k: F.lit(v) for k, v in clash.items()})
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def shingles(text, k):
+    w = words(lower(text))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+
+
+def plain_components(texts, k, percent):
+    """{doc_id: (set size, least id reachable)} by all pairs of distinct sets."""
+    sets = {d: frozenset(shingles(t, k)) for d, t in texts}
+    by = {}
+    for d, s in sets.items():
+        by.setdefault(s, []).append(d)
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def union(a, b):
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+
+    kinds = [s for s in by if s]
+    for s in kinds:
+        for d in by[s][1:]:
+            union(by[s][0], d)
+    for i, s in enumerate(kinds):
+        for t in kinds[i + 1 :]:
+            if min(len(s), len(t)) * 100 >= percent * max(len(s), len(t)):
+                both = len(s & t)
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    union(by[s][0], by[t][0])
+    return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+def near_copies(seed, n=120, vocabulary=60, longest=60):
+    """Texts with exact copies, chains of near copies and short texts."""
+    r = random.Random(seed)
+    out = []
+    for _ in range(n):
+        kind = r.random()
+        if out and kind < 0.2:
+            out.append(r.choice(out))
+        elif out and kind < 0.6:
+            w = r.choice(out).split(" ")
+            for _ in range(r.randint(1, 3)):
+                w[r.randrange(len(w))] = f"w{r.randrange(vocabulary)}"
+            if r.random() < 0.3:
+                w = w[r.randint(0, 2) :] or w
+            out.append(" ".join(w))
+        else:
+            out.append(" ".join(f"w{r.randrange(vocabulary)}" for _ in range(r.randint(1, longest))))
+    return list(enumerate(out))
