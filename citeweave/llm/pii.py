@@ -42,7 +42,9 @@ ENDINGS = {
     ("cyrillic", "m"): "рин", ("cyrillic", "f"): "лия", ("cyrillic", "n"): "рис", ("cyrillic", "s"): "мер",
     ("greek", "m"): "ρος", ("greek", "f"): "λια", ("greek", "n"): "ρις", ("greek", "s"): "μερ",
 }
-_ROUNDS = 20
+_ROUNDS = 80
+#: Draws after which a kind of its own range gets a wider one: names two more syllables each time, addresses the whole space.
+_WIDER = 4
 
 
 def _kind(match: Column) -> Column:
@@ -99,11 +101,16 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
 
 
-def _name(kind: Column, norm: Column, stream: Column) -> Column:
+def _name(kind: Column, norm: Column, stream: Column, attempt: Column) -> Column:
     script = F.when(norm.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(norm.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
     gender = F.substring_index(kind, "_", -1)
     nibble = lambda i: F.conv(F.substring(stream, i, 1), 16, 10).cast("int")
-    by_script = [F.when(script == s, F.concat(*[F.array(*map(F.lit, t.split()))[nibble(i)] for i in (1, 2, 3, 4)])) for s, t in SYLLABLES.items()]
+
+    def syllables(known: list[Column]) -> Column:
+        more = F.transform(F.sequence(F.lit(5), 4 + 2 * F.floor(attempt / _WIDER).cast("int")), lambda i: F.array(*known)[F.conv(stream.substr(i, F.lit(1)), 16, 10).cast("int")])
+        return F.concat(*[F.array(*known)[nibble(i)] for i in (1, 2, 3, 4)], F.when(attempt < _WIDER, "").otherwise(F.array_join(more, "")))
+
+    by_script = [F.when(script == s, syllables(list(map(F.lit, t.split())))) for s, t in SYLLABLES.items()]
     ends = [F.when((script == s) & (gender == g), e) for (s, g), e in ENDINGS.items()]
     return F.initcap(F.concat(F.coalesce(*by_script), F.coalesce(*ends)))
 
@@ -111,7 +118,7 @@ def _name(kind: Column, norm: Column, stream: Column) -> Column:
 def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """The replacement of a unit: same kind, shape, script and gender, and a number's check digit holds where it held."""
     s = _stream(key, kind, norm, attempt)
-    octets = [F.conv(F.substring(s, 2 * i + 1, 2), 16, 10) for i in range(3)]
+    octets = [F.conv(F.substring(s, 2 * i + 1, 2), 16, 10) for i in range(4)]
     local, host = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     email = F.concat(_shaped(local, s), F.lit("@"), _shaped(F.substring_index(host, ".", 1), F.reverse(s)), F.lit(".example."), F.substring_index(host, ".", -1))
     drawn = _shaped(norm, s)
@@ -120,11 +127,11 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     hexes = F.substring(s, 1, 64).substr(F.lit(1), F.length(norm))
     return (
         F.when(kind == "email", email)
-        .when(kind == "ip", F.concat_ws(".", F.lit("10"), *octets))
+        .when(kind == "ip", F.concat_ws(".", F.when(attempt < _WIDER, "10").otherwise(octets[3]), *octets[:3]))
         .when(kind == "secret", F.when(norm == F.upper(norm), F.upper(hexes)).otherwise(hexes))
         .when(kind == "card", card)
         .when(kind == "iban", F.concat(F.substring(norm, 1, 2), drawn.substr(F.lit(3), F.length(norm))))
-        .when(kind.startswith("name_"), _name(kind, norm, s))
+        .when(kind.startswith("name_"), _name(kind, norm, s, attempt))
         .otherwise(drawn)
     )
 
@@ -161,12 +168,13 @@ def entity_units(docs: DataFrame) -> DataFrame:
 def exceptions(units: DataFrame, key: str) -> DataFrame:
     """(kind, norm, attempt) of the units whose surrogate was drawn again.
 
-    Each round, of the units with one surrogate the least keeps it; units whose surrogate is a found unit never keep it.
+    Each round, of the units with one surrogate that of the fewest draws keeps it (ties: the least), so what is settled
+    stays; units whose surrogate is a found unit never keep it.
     """
     at = F.col("attempt")
     now = store(units.withColumn("attempt", F.lit(0)).withColumn("s", surrogate(key, F.col("kind"), F.col("norm"), F.lit(0))))
     for _ in range(_ROUNDS):
-        keepers = now.groupBy("kind", "s").agg(F.min("norm").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        keepers = now.groupBy("kind", "s").agg(F.min(F.struct("attempt", "norm"))["norm"].alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
         real = now.select("kind", F.col("norm").alias("s"), F.lit(True).alias("real"))
         met = now.join(keepers, ["kind", "s"], "left").join(real, ["kind", "s"], "left")
         again = met.where((F.col("keeper") != F.col("norm")) | F.col("real")).select("kind", "norm")
