@@ -1,0 +1,62 @@
+"""Held-out accuracy, calibration and awkward rows."""
+
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from citeweave.llm import language
+from citeweave.llm.catalogue import op8_language_id
+
+from .common import awkward, empty
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = op8_language_id(spark, "/root/testdata/sf0.01").collect()
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    assert len(got) == len(lang)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r["held_out"] and lang[r["doc_id"]]]
+    assert len(held) > 50 and np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in held]) >= 0.97
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_prediction_reads_the_text_alone(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    train = docs.where(~language.held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
+    model = language.fit(train)
+    one = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs, model, ["doc_id"]).collect()}
+    other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit("yy")})
+    assert one == {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(other, model, ["doc_id"]).collect()}
+
+
+def test_held_out_rows_are_not_learned_from(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    changed = docs.withColumn("lang", F.when(language.held_out(F.col("doc_id")), "zz").otherwise(F.col("lang")))
+    a, b = (sorted((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in language.identify(d).collect()) for d in (docs, changed))
+    assert a == b
+
+
+def test_awkward_rows(spark):
+    rows = language.identify(awkward(spark)).collect()
+    by = {r["doc_id"]: r for r in rows}
+    assert len(rows) == 9 and all(by[d]["lang_pred"] == "und" and by[d]["score"] == 0 for d in (2, 3, 4))
+    assert by[5]["lang_pred"] in ("en", "de", "fr") and by[None]["held_out"] is False
+    assert language.identify(empty(spark)).count() == 0
+    unlabelled = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
+
+
+def test_fit_is_sparse_and_separates():
+    rows = [(k % 2, np.array([k % 2, 2, 3]), np.array([1.0, 0.001, 1.0])) for k in range(200)]
+    w = language.fit_ftrl(rows, 2, 3, language.Params())
+    assert w[0, 0] > 0 > w[0, 1] and w[1, 1] > 0 > w[1, 0] and (w[2] == 0).all()
+
+
+def test_temperature_finds_the_scale():
+    r = np.random.default_rng(0)
+    logits = r.normal(0, 1.5, (20_000, 3))
+    p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+    y = (p.cumsum(1) > r.random((len(p), 1))).argmax(1)
+    assert abs(language.temperature(logits * 4, y) - 4) < 0.3
