@@ -83,7 +83,7 @@ def plan_mixture(counted: DataFrame, m: Mixing) -> DataFrame:
         F.greatest(F.lit(1.0), F.pow("p", F.lit(a - 1)) * most).alias("passes"),
         F.least(F.lit(m.max_blocks), F.ceil(F.col("tokens") / m.block_tokens)).cast("int").alias("blocks"),
     )
-    blocks = counted.join(sources, "source_key").groupBy("source_key", _block(m).alias("block")).agg(F.sum("n_tokens").alias("n"), F.first("passes").alias("passes"), F.first("tokens").alias("tokens"))
+    blocks = counted.join(sources, "source_key").groupBy("source_key", _block(m, F.col("blocks")).alias("block")).agg(F.sum("n_tokens").alias("n"), F.first("passes").alias("passes"), F.first("tokens").alias("tokens"))
     last = F.floor("passes")
     ranked = blocks.withColumn("rank", _rank(m, F.col("source_key"), F.col("block"), last))
     # A source has max_blocks rows here at most, whatever its size.
@@ -93,8 +93,8 @@ def plan_mixture(counted: DataFrame, m: Mixing) -> DataFrame:
     return store(sources.join(cuts, "source_key", "left").withColumn("cut", F.coalesce("cut", F.lit(-1.0))))
 
 
-def _block(m: Mixing) -> Column:
-    return F.floor(_unit(F.lit(m.seed), "doc_id") * F.col("blocks")).cast("int")
+def _block(m: Mixing, blocks: Column) -> Column:
+    return F.floor(_unit(F.lit(m.seed), "doc_id") * blocks).cast("int")
 
 
 def _rank(m: Mixing, source: Column, block: Column, epoch: Column) -> Column:
@@ -106,23 +106,28 @@ def mix(docs: DataFrame, m: Mixing = Mixing()) -> DataFrame:
 
     In the order of mix_slot (ties by doc_id) sources alternate at their weights, blocks of a pass are permuted as a
     whole, and every prefix holds the mixture. Every row of docs is used once or more. A null source counts as the
-    empty name; a null or empty text as one token; an empty table gives no rows.
+    empty name; a null or empty text as one token; an empty table gives no rows. Columns of docs with one of the four
+    names are replaced.
     """
     key = F.coalesce("source", F.lit(""))
     counted = store(docs.select("doc_id", key.alias("source_key"), count_tokens(F.col("text")).alias("n_tokens")))
-    plan = plan_mixture(counted, m).select(F.col("source_key").alias("mix_key"), F.col("weight").alias("mix_weight"), "passes", "blocks", "cut")
-    inner = [c for c in plan.columns if c in docs.columns]
-    if inner:
-        raise ValueError(f"columns {inner} are made here; rename those of the documents")
-    joined = docs.join(plan, key == F.col("mix_key")).withColumn("mix_block", _block(m))
-    last = F.floor("passes")
-    partial = _rank(m, F.col("mix_key"), F.col("mix_block"), last) <= F.col("cut")
-    uses = F.when(partial & (F.col("passes") > last), last).otherwise(last - 1)
-    used = joined.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), uses.cast("bigint"))))
-    slot = (F.col("mix_epoch") + _rank(m, F.col("mix_key"), F.col("mix_block"), F.col("mix_epoch"))) / F.col("passes")
-    return used.withColumn("mix_slot", slot).select(*docs.columns, "mix_weight", "mix_epoch", "mix_block", "mix_slot")
+    own = "mix_"
+    while any(c.startswith(own) for c in docs.columns):
+        own = f"_{own}"
+    at = lambda name: F.col(own + name)
+    plan = plan_mixture(counted, m)
+    joined = docs.join(plan.select(*[F.col(c).alias(own + c) for c in plan.columns]), key == at("source_key")).withColumn(own + "block", _block(m, at("blocks")))
+    last = F.floor(at("passes"))
+    partial = _rank(m, at("source_key"), at("block"), last) <= at("cut")
+    uses = F.when(partial & (at("passes") > last), last).otherwise(last - 1)
+    used = joined.withColumn(own + "epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), uses.cast("bigint"))))
+    slot = (at("epoch") + _rank(m, at("source_key"), at("block"), at("epoch"))) / at("passes")
+    made = {"mix_weight": at("weight"), "mix_epoch": at("epoch"), "mix_block": at("block"), "mix_slot": slot}
+    return used.select(*[c for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def mixed_documents(docs: DataFrame, m: Mixing = Mixing()) -> DataFrame:
     """Documents as often as the mixture uses them, with their own columns."""
-    return mix(docs, m).select(docs.columns)
+    clashing = {c: f"_{c}" for c in docs.columns if c.startswith("mix_")}
+    renamed = mix(docs.withColumnsRenamed(clashing), m)
+    return renamed.select(*[F.col(clashing.get(c, c)).alias(c) for c in docs.columns])

@@ -111,7 +111,9 @@ def test_awkward_rows(spark):
     assert made.columns == docs.columns and docs.exceptAll(made).count() == 0
     assert mixing.mix(empty(spark)).count() == 0
     clash = docs.withColumnRenamed("rule", "mix_weight")
-    assert mixing.mixed_documents(clash).columns == clash.columns
+    kept = mixing.mixed_documents(clash)
+    assert kept.columns == clash.columns and clash.exceptAll(kept).count() == 0
+    assert sorted(mixing.mix(clash).columns) == sorted([*(c for c in clash.columns if c != "mix_weight"), "mix_weight", "mix_epoch", "mix_block", "mix_slot"])
 
 
 def test_main_path_is_native(spark, sf_dir):
