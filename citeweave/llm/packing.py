@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import blocks, texts
-from citeweave.llm.tokens import Encoder
+from citeweave.llm.common import blocks
+from citeweave.llm.tokens import ENCODED_BYTES, Encoder
 
 
 @dataclass(frozen=True)
@@ -121,8 +121,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, p: Packing
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.get(tokenizer, False)
-        for rows, data, offsets in blocks(batches):
-            ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode(texts(data, offsets))]
+        for rows, data, offsets in blocks(batches, ENCODED_BYTES):
+            ids = encoder.documents(data, offsets, end_id)
             n = np.array([len(x) for x in ids], np.int64)
             whole = [np.array([_crc(x[a : a + window]) for a in range(0, len(x) - window + 1, window)], "<u4").tobytes() for x in ids]
             tails = [x[len(x) // window * window :] for x in ids]

@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.llm.common import blocks, scratch, texts
-from citeweave.llm.tokens import Encoder
+from citeweave.llm.common import blocks, scratch
+from citeweave.llm.tokens import ENCODED_BYTES, Encoder
 
 ROUNDS, PER_ROUND, LEAST = 8, 512, 12
 SHARD_TOKENS = 1 << 18
@@ -37,9 +37,12 @@ class Grammar:
     sequence: np.ndarray
 
 
-def _frequent(keys: np.ndarray) -> np.ndarray:
+def _hashed(keys: np.ndarray) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.uint16)
+
+
+def _frequent(keys: np.ndarray, h: np.ndarray) -> np.ndarray:
     """The PER_ROUND most frequent keys that occur LEAST times or more. Hashed counts leave few keys to count exactly."""
-    h = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
     rough = np.bincount(h, minlength=1 << _HASH_BITS)
     cut = max(LEAST, int(np.partition(rough, -2 * PER_ROUND)[-2 * PER_ROUND]))
     values, n = np.unique(keys[(rough >= cut)[h]], return_counts=True)
@@ -55,17 +58,24 @@ def compress(ids: np.ndarray) -> Grammar:
         if len(s) < 2 * LEAST:
             break
         keys = (s[:-1] << np.uint64(32)) | s[1:]
-        chosen = _frequent(keys)
+        hashes = _hashed(keys)
+        chosen = _frequent(keys, hashes)
         if not len(chosen):
             break
-        at = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
-        hit = np.flatnonzero(chosen[at] == keys)
+        # Few other keys share a hash with a chosen one, so few are searched.
+        listed = np.zeros(1 << _HASH_BITS, bool)
+        listed[_hashed(chosen)] = True
+        hit = np.flatnonzero(listed[hashes])
+        at = np.minimum(np.searchsorted(chosen, keys[hit]), len(chosen) - 1)
+        same = chosen[at] == keys[hit]
+        hit, at = hit[same], at[same]
         # Of neighbouring hits, every other from the first on.
         new_run = np.ones(len(hit), bool)
         new_run[1:] = hit[1:] != hit[:-1] + 1
         run_start = hit[np.maximum.accumulate(np.where(new_run, np.arange(len(hit)), 0))]
-        hit = hit[(hit - run_start) % 2 == 0]
-        s[hit] = np.uint64(base + bounds[-1]) + at[hit].astype(np.uint64)
+        even = (hit - run_start) % 2 == 0
+        hit, at = hit[even], at[even]
+        s[hit] = np.uint64(base + bounds[-1]) + at.astype(np.uint64)
         keep = np.ones(len(s), bool)
         keep[hit + 1] = False
         s = s[keep]
@@ -146,9 +156,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
             return pa.RecordBatch.from_pylist([dict(zip(names, row))], schema=schema)
 
         schema = pa.schema([(n, {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}[t]) for n, t in (f.split(" ") for f in SHARD.split(", "))])
-        for rows, data, offsets in blocks(batches):
-            for d, x in zip(rows.column("doc_id").to_pylist(), encoder.encode(texts(data, offsets))):
-                ids.append(np.append(x, np.uint32(end_id)))
+        for rows, data, offsets in blocks(batches, ENCODED_BYTES):
+            for d, x in zip(rows.column("doc_id").to_pylist(), encoder.documents(data, offsets, end_id)):
+                ids.append(x)
                 doc_ids.append(d)
                 size += len(ids[-1])
                 if size >= SHARD_TOKENS:

@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces that a worker remembers (about 100 MB); the cache starts anew beyond.
-CACHE = 400_000
-_RUNS = re.compile(r"  |\s \s")
+#: Text bytes that are encoded at once: the larger, the fewer pieces are different.
+ENCODED_BYTES = 1 << 22
+#: Pieces that a worker remembers (about 160 MB); those not met of late go first.
+CACHE = 800_000
+#: Two characters of white space side by side, as every Unicode-aware pattern may see it.
+_RUNS = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]"
+#: Pieces that are encoded as one text, with a special token between them.
+_JOINED = 256
 _loaded: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
     """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
-    Both supported kinds of tokenizer split a text before every single blank between other characters, so the pieces
-    between blanks are encoded alone and remembered. keep_blank: a blank is part of the piece after it (byte-level
-    BPE); else blanks vanish. Texts with runs of white space around blanks are encoded whole.
+    Both supported kinds of tokenizer split a text at every single blank or line end between other characters, so the
+    pieces between are encoded alone and remembered. keep_blank: the blank or line end is part of the piece after it
+    (byte-level BPE), and texts with runs of white space are encoded whole; else all white space vanishes. Texts are
+    split, and equal pieces found, by Arrow; Python code runs for each different piece of a block, not for each word.
     """
 
     def __init__(self, path: str, keep_blank: bool):
@@ -26,7 +33,12 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.keep_blank = Tokenizer.from_file(path), keep_blank
-        self.known: dict[str, bytes] = {"": b""} if not keep_blank else {}
+        #: Pieces met of late, and those of the time before.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        special = {k: t for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
+        self.between = min(special, default=None)
+        self.mark = special[self.between].content if special else ""
 
     @classmethod
     def get(cls, path: str, keep_blank: bool) -> Encoder:
@@ -37,19 +49,73 @@ class Encoder:
     def _plain(self, found: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
 
-    def encode(self, found: list[str]) -> list[np.ndarray]:
-        pieces = [None if self.keep_blank and _RUNS.search(t) else t.split(" ") for t in found]
-        wanted = set().union(*(p[1:] if self.keep_blank else p for p in pieces if p))
-        if len(self.known) + len(wanted) > CACHE:
-            self.known = {"": b""} if not self.keep_blank else {}
-        new = [p for p in wanted if p not in self.known]
-        self.known.update(zip(new, self._plain([" " + p for p in new] if self.keep_blank else new)))
-        out, get = [], self.known.__getitem__
+    def _pieces(self, found: list[str]) -> list[bytes]:
+        """As _plain. Special tokens part a text before all else, so pieces between them have the ids that they have alone."""
+        if not self.mark or any(self.mark in p for p in found):
+            return self._plain(found)
+        groups = [found[k : k + _JOINED] for k in range(0, len(found), _JOINED)]
+        out = []
+        for own, e in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            cuts = (np.flatnonzero(ids == self.between) * 4).tolist()
+            raw = ids.tobytes()
+            parts = [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
+            out += parts if len(parts) == len(own) else self._plain(own)
+        return out
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces; of those between blanks, remembered."""
+        got = list(map(self.known.get, pieces))
+        lacking = [p for p, ids in zip(pieces, got) if ids is None] if None in got else []
+        if not lacking:
+            return got
+        if len(self.known) + len(lacking) > CACHE // 2:
+            self.known, self.older = {}, self.known
+        fresh = {p: ids for p in lacking if (ids := self.older.get(p)) is not None}
+        new = [p for p in lacking if p not in fresh]
+        fresh.update(zip(new, self._pieces(new)))
+        self.known.update(fresh)
+        return [fresh[p] if ids is None else ids for p, ids in zip(pieces, got)]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a block (UTF-8 bytes and offsets) one after another, and where each text's ids end."""
+        n = len(offsets) - 1
+        found = pa.LargeStringArray.from_buffers(n, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
+        whole = pc.match_substring_regex(found, _RUNS).to_numpy(zero_copy_only=False).astype(bool) if self.keep_blank else np.zeros(n, bool)
         if self.keep_blank:
-            first = iter(self._plain([t if p is None else p[0] for t, p in zip(found, pieces)]))
-            joined = [next(first) + (b"" if p is None else b"".join(map(get, p[1:]))) for p in pieces]
+            regular = pc.if_else(pa.array(whole), "", found) if whole.any() else found
+            split = pc.split_pattern(pc.replace_substring(regular, "\n", " \n"), " ")
         else:
-            joined = [b"".join(map(get, p)) for p in pieces]
-        for b in joined:
-            out.append(np.frombuffer(b, np.uint32))
-        return out
+            split = pc.ascii_split_whitespace(found)
+        coded = split.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if self.keep_blank:
+            # The first piece of a text has no blank before it; a text that is encoded whole is its only piece.
+            first = found.filter(pa.array(whole)).to_pylist()
+            begun = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1][~whole]))).to_pylist()
+            table = self._encoded([p if p.startswith("\n") else " " + p for p in pieces]) + self._plain(first) + self._encoded(begun)
+            own = np.empty(n, np.int64)
+            own[whole], own[~whole] = np.arange(len(first)), np.arange(len(begun)) + len(first)
+            at[bounds[:-1]] = len(pieces) + own
+        else:
+            table = self._encoded(pieces)
+        ids = np.frombuffer(b"".join(table), np.uint32)
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        starts = np.cumsum(sizes) - sizes
+        times = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(times)])
+        where = np.repeat(starts[at] - ends[:-1], times) + np.arange(ends[-1])
+        return ids[where], ends[bounds[1:]]
+
+    def documents(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> list[np.ndarray]:
+        """The ids of each text with the end id after them."""
+        ids, ends = self.encode(data, offsets)
+        ends = ends + np.arange(1, len(ends) + 1)
+        out = np.empty(len(ids) + len(ends), np.uint32)
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = False
+        out[inner], out[ends - 1] = ids, end_id
+        at = [0, *ends.tolist()]
+        return [out[a:b] for a, b in zip(at, at[1:])]
