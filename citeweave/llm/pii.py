@@ -159,10 +159,10 @@ def _matches(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
 
 
-def entity_units(docs: DataFrame) -> DataFrame:
-    """(kind, norm) of every distinct unit in the texts. An aggregate: a unit in a third of all rows shrinks in each task."""
-    found = docs.select(F.explode(_matches(F.col("text"))).alias("m")).distinct()
-    return found.select(F.explode(_units(F.col("m"))).alias("u")).select("u.kind", "u.norm").distinct()
+def occurrences(docs: DataFrame) -> DataFrame:
+    """(doc_id, kind, norm) of every distinct unit of every document: the one pass that looks for entities."""
+    units = F.array_distinct(F.flatten(F.transform(_matches(F.col("text")), _units)))
+    return docs.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.kind", "u.norm")
 
 
 def exceptions(units: DataFrame, key: str) -> DataFrame:
@@ -195,18 +195,18 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     key is part of the plan: keep event logs as private as the key. A column n_entities of docs is replaced.
     """
     kept = [c for c in docs.columns if c != "n_entities"]
-    drawn_again = store(exceptions(entity_units(docs), key))
+    found = store(occurrences(docs))
+    drawn_again = store(exceptions(found.select("kind", "norm").distinct(), key))
     text, none = F.col("text"), F.lit(0)
     matches = F.coalesce(_matches(text), F.array().cast("array<string>"))
     if drawn_again.isEmpty():
         framed, lookup = docs.select(*kept), lambda kind, norm: surrogate(key, kind, norm, none)
     else:
-        # The few documents with such a unit get their own exceptions; joined on the document, not on the entity.
-        unit = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(_matches(text), _units)))).alias("u"))
-        own = unit.select("doc_id", "u.*").join(drawn_again, ["kind", "norm"])
-        pairs = own.select(F.col("doc_id").alias("_own"), F.concat_ws(":", "kind", "norm").alias("k"), "attempt").distinct()
-        maps = pairs.groupBy("_own").agg(F.map_from_entries(F.collect_list(F.struct("k", "attempt"))).alias("_attempts"))
-        framed = docs.select(*kept).join(maps, docs["doc_id"] == maps["_own"], "left")
+        # The few documents with such a unit get their own exceptions; joined on the document, not on the entity. They
+        # are written first, so that the planner knows their size and moves no text while that is small.
+        own = found.join(drawn_again, ["kind", "norm"]).select(F.col("doc_id").alias("_own"), F.concat_ws(":", "kind", "norm").alias("k"), "attempt")
+        maps = store(own.distinct().groupBy("_own").agg(F.map_from_entries(F.collect_list(F.struct("k", "attempt"))).alias("_attempts")))
+        framed = docs.select(*kept).join(maps, docs["doc_id"].eqNullSafe(maps["_own"]), "left")
         attempt = lambda kind, norm: F.coalesce(F.element_at(F.col("_attempts"), F.concat_ws(":", kind, norm)), none)
         lookup = lambda kind, norm: surrogate(key, kind, norm, attempt(kind, norm))
     marked = framed.withColumn("_m", matches)

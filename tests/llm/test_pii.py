@@ -124,3 +124,11 @@ def test_ranges_widen(spark):
     draw = lambda kind, norm, n: one.select(pii.surrogate("key", F.lit(kind), F.lit(norm), F.lit(n))).first()[0]
     assert [len(draw("name_s", "Keller", n)) for n in (0, 3, 4, 9)] == [11, 11, 15, 19]
     assert draw("ip", "1.2.3.4", 0).startswith("10.") and not all(draw("ip", "1.2.3.4", n).startswith("10.") for n in range(4, 8))
+
+
+def test_rows_without_id_get_exceptions_too(spark):
+    """Every row has a null doc_id; distinct addresses stay distinct."""
+    docs = spark.createDataFrame([(None, f"1.{k // 250}.{k % 250}.7") for k in range(12_000)], "doc_id bigint, text string")
+    again = pii.exceptions(pii.occurrences(docs).select("kind", "norm").distinct(), "key")
+    assert again.count() > 0
+    assert len({r["text"] for r in pii.replace_entities(docs, "key").collect()}) == 12_000
