@@ -35,4 +35,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges = new
         if not unsettled:
             break
+    else:
+        raise RuntimeError(f"components still change after {max_rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
