@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import shutil
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -50,7 +49,16 @@ class PipelineArgs:
 
 
 def _read_works(spark: SparkSession, path: str) -> DataFrame:
-    return read_directory(spark, path) if Path(path).is_dir() and not list(Path(path).glob("*.tar.gz")) else read_archive(spark, path)
+    """Archives by name or in a local folder; any other path is a folder of extracted members, in any store."""
+    local = Path(path)
+    archives = path.endswith(".tar.gz") or local.is_file() or local.is_dir() and any(local.glob("*.tar.gz"))
+    return read_archive(spark, path) if archives else read_directory(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of this run, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _write_results(looked_up: DataFrame, source: str, outputs: dict[str, str], failed: dict[str, str], single: bool) -> None:
@@ -98,7 +106,7 @@ def run_pipeline(spark: SparkSession, args: PipelineArgs, resolver: Callable[[st
         if name in args.save_index and index is not None:
             write_index(index, args.save_index[name])
     if not args.keep_intermediates:
-        shutil.rmtree(temp.removeprefix("file:"), ignore_errors=True)
+        _remove(spark, temp)
     return {"temp": temp}
 
 

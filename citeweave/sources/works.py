@@ -18,6 +18,9 @@ from citeweave.schemas import WORKS
 # Reference keys that are read, in the order of the schema.
 FIELDS = ("DOI", "URL", "article-title", "journal-title", "unstructured", "doi-asserted-by")
 
+#: File names that are broadcast at most (about 10 MB).
+BROADCAST_NAMES = 100_000
+
 
 def _reference(ref: object) -> tuple:
     fields = ref if isinstance(ref, dict) else {}
@@ -89,6 +92,8 @@ def read_directory(spark: SparkSession, path: str) -> DataFrame:
     names = files.select("path").orderBy("path")
     # Ordinals of files: rank by name, from the small list of names alone.
     ranked = names.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])).toDF("path string, entry_ord bigint")
+    if names.count() <= BROADCAST_NAMES:  # so that contents are not shuffled; beyond, a sort-merge join
+        ranked = F.broadcast(ranked)
 
     def parse(batches):
         import pandas as pd
