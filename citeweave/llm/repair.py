@@ -89,17 +89,35 @@ def compress(ids: np.ndarray) -> Grammar:
     return Grammar(base, left, right, lengths[base:], np.array(bounds, np.int64), s.astype(np.int64))
 
 
-def _expand(g: Grammar, s: np.ndarray) -> np.ndarray:
+def _expanded_rules(g: Grammar) -> np.ndarray:
+    """Ids of all rules, one after another; rules of a round hold symbols of earlier ones only."""
+    s = np.arange(g.base, g.base + len(g.left))
     for a, b in reversed(list(zip(g.bounds.tolist(), g.bounds.tolist()[1:]))):
         rule = (s >= g.base + a) & (s < g.base + b)
-        if rule.any():
-            out = np.repeat(s, 1 + rule)
-            at = (np.cumsum(1 + rule) - 1 - rule)[rule]
-            out[at], out[at + 1] = g.left[s[rule] - g.base], g.right[s[rule] - g.base]
-            s = out
+        out = np.repeat(s, 1 + rule)
+        at = (np.cumsum(1 + rule) - 1 - rule)[rule]
+        out[at], out[at + 1] = g.left[s[rule] - g.base], g.right[s[rule] - g.base]
+        s = out
     return s
 
 
+def _expand(g: Grammar, s: np.ndarray) -> np.ndarray:
+    if not len(g.left):
+        return s
+    flat, lengths = _expanded_rules(g), g.lengths
+    starts = np.cumsum(lengths) - lengths
+    rule = np.flatnonzero(s >= g.base)
+    times = np.ones(len(s), np.int64)
+    times[rule] = lengths[s[rule] - g.base]
+    ends = np.cumsum(times)
+    out = np.repeat(s, times)
+    own = times[rule]
+    first = np.cumsum(own) - own
+    within = np.arange(int(own.sum())) - np.repeat(first, own)
+    out[within + np.repeat(ends[rule] - own, own)] = flat[within + np.repeat(starts[s[rule] - g.base], own)]
+    return out
+
+
 def decode(g: Grammar) -> np.ndarray:
     return _expand(g, g.sequence).astype(np.uint32)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -10,15 +11,23 @@ import pyarrow.compute as pc
 
 #: Text bytes that are encoded at once: the larger, the fewer pieces are different.
 ENCODED_BYTES = 1 << 22
-#: Pieces that a worker remembers (about 160 MB); those not met of late go first.
-CACHE = 800_000
+#: Pieces that a worker remembers (about 80 MB); those not met of late go first.
+CACHE = 400_000
 #: Two characters of white space side by side, as every Unicode-aware pattern may see it.
 _RUNS = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]"
 #: Pieces that are encoded as one text, with a special token between them.
 _JOINED = 256
+#: Before the first piece of a text, to remember it by; no other piece has a blank.
+_BEGUN = "  "
+#: Marks that are split off, where they end a piece.
+_CLOSING = ",.;:!?"
 _loaded: dict[tuple[str, bool], Encoder] = {}
 
 
+def _after_blank(piece: str) -> str:
+    return piece if piece.startswith("\n") else " " + piece
+
+
 class Encoder:
     """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
@@ -36,6 +45,7 @@ class Encoder:
         #: Pieces met of late, and those of the time before.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.closing = dict(zip(_CLOSING, self._plain(list(_CLOSING))))
         special = {k: t for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
         self.between = min(special, default=None)
         self.mark = special[self.between].content if special else ""
@@ -63,8 +73,11 @@ class Encoder:
             out += parts if len(parts) == len(own) else self._plain(own)
         return out
 
-    def _encoded(self, pieces: list[str]) -> list[bytes]:
-        """Ids of different pieces; of those between blanks, remembered."""
+    def _encoded(self, pieces: list[str], text: Callable[[str], str]) -> list[bytes]:
+        """Ids of different pieces, remembered. text: what a piece stands for.
+
+        A closing mark after a letter is a token of its own, so such a piece has the ids of its word, then of the mark.
+        """
         got = list(map(self.known.get, pieces))
         lacking = [p for p, ids in zip(pieces, got) if ids is None] if None in got else []
         if not lacking:
@@ -72,8 +85,18 @@ class Encoder:
         if len(self.known) + len(lacking) > CACHE // 2:
             self.known, self.older = {}, self.known
         fresh = {p: ids for p in lacking if (ids := self.older.get(p)) is not None}
-        new = [p for p in lacking if p not in fresh]
-        fresh.update(zip(new, self._pieces(new)))
+        closed = {p: p[:-1] for p in lacking if p not in fresh and p[-1:] in self.closing and p[-2:-1].isascii() and p[-2:-1].isalpha()}
+        wanted = dict.fromkeys([*closed.values(), *(p for p in lacking if p not in closed)])
+        new = []
+        for p in wanted:
+            if p not in fresh:
+                ids = self.known.get(p) or self.older.get(p)
+                if ids is None:
+                    new.append(p)
+                else:
+                    fresh[p] = ids
+        fresh.update(zip(new, self._pieces(list(map(text, new)))))
+        fresh.update((p, fresh[word] + self.closing[p[-1]]) for p, word in closed.items())
         self.known.update(fresh)
         return [fresh[p] if ids is None else ids for p, ids in zip(pieces, got)]
 
@@ -95,12 +118,12 @@ class Encoder:
             # The first piece of a text has no blank before it; a text that is encoded whole is its only piece.
             first = found.filter(pa.array(whole)).to_pylist()
             begun = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1][~whole]))).to_pylist()
-            table = self._encoded([p if p.startswith("\n") else " " + p for p in pieces]) + self._plain(first) + self._encoded(begun)
+            table = self._encoded(pieces, _after_blank) + self._plain(first) + self._encoded([_BEGUN + p for p in begun], lambda p: p.removeprefix(_BEGUN))
             own = np.empty(n, np.int64)
             own[whole], own[~whole] = np.arange(len(first)), np.arange(len(begun)) + len(first)
             at[bounds[:-1]] = len(pieces) + own
         else:
-            table = self._encoded(pieces)
+            table = self._encoded(pieces, str)
         ids = np.frombuffer(b"".join(table), np.uint32)
         sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
         starts = np.cumsum(sizes) - sizes

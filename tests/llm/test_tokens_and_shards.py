@@ -15,7 +15,7 @@ from citeweave.llm.tokens import Encoder
 from .common import awkward, empty
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
-TEXT = st.lists(st.sampled_from([" ", "  ", "\n", "\t", " ", "　", "'s", "'LL", "a", "Word", "ß", "É", "é", "Σ", "ΑΣ", "12", "x1", "!", "...", "<|endoftext|>", "<|startoftext|>", "\U0001f600", "中", "\0", "\r\n", "ﬁ", "İ"]), max_size=14).map("".join)
+TEXT = st.lists(st.sampled_from([" ", "  ", "\n", "\t", " ", "　", "'s", "'LL", "a", "Word", "ß", "É", "é", "Σ", "ΑΣ", "12", "x1", "x,", "y.", "z?!", "Q;", "!", ",", "...", "<|endoftext|>", "<|startoftext|>", "\U0001f600", "中", "\0", "\r\n", "ﬁ", "İ"]), max_size=14).map("".join)
 
 
 @settings(max_examples=400, deadline=None, suppress_health_check=list(HealthCheck))
