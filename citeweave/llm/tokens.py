@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 
 #: Text bytes that are encoded at once: the larger, the fewer pieces are different.
 ENCODED_BYTES = 1 << 22
-#: Pieces that a worker remembers (about 80 MB); those not met of late go first.
-CACHE = 400_000
+#: Pieces that a worker remembers (about 160 MB); those not met of late go first.
+CACHE = 800_000
 #: Two characters of white space side by side, as every Unicode-aware pattern may see it.
 _RUNS = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]"
 #: Pieces that are encoded as one text, with a special token between them.
