@@ -4,6 +4,9 @@ Entities are found by one pattern. Each has units (an address, a number, the wor
 that a keyed hash gives, so that a unit has the same surrogate wherever it occurs. Distinct units are compared over the
 whole table: surrogates that meet, or that are themselves found in the texts, are drawn again. Few units need that, so
 texts carry only these exceptions; all other surrogates are computed in place and no text waits for a join on entities.
+
+A name is found behind a title; its words are then replaced wherever they stand as whole words in that text. A word's
+stem hangs on the word alone, its ending on the gender that the text's titles show for it.
 """
 
 from __future__ import annotations
@@ -20,15 +23,28 @@ TITLES = {
     "n": r"Dr\.|Prof\.",
 }
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_V4 = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
+_HEX = "[0-9A-Fa-f]{1,4}"
+# Up to six groups before an IPv4 ending, or eight; one run of groups may be left out, but not all of them.
+_V6 = "|".join([
+    rf"(?:{_HEX}:){{6}}{_V4}", *[rf"(?:{_HEX}:){{{n}}}(?::{_HEX}){{0,{5 - n}}}:{_V4}" for n in range(1, 6)], rf":(?::{_HEX}){{0,5}}:{_V4}",
+    rf"(?:{_HEX}:){{7}}{_HEX}", *[rf"(?:{_HEX}:){{{n}}}(?::{_HEX}){{1,{7 - n}}}" for n in range(1, 7)], rf"(?:{_HEX}:){{1,7}}:", rf":(?::{_HEX}){{1,7}}",
+])
+_NAME_WORD = r"\p{Lu}(?:[\p{Ll}'-]|(?<=['-])\p{Lu})+"
+#: What may follow the name inside such a word.
+_NAME_TAIL = r"(?:'s|['-])*$"
+#: Country codes are a prefix code: 1 and 7, these of two digits, all others of three.
+_CODE = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"\b(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}\b|\(\d{3}\) ?\d{3}[ .-]\d{4}\b|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
-    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
+    "ip": rf"(?<![\d.]){_V4}(?![\d]|\.\d)",
+    "ip6": rf"(?<![\p{{L}}\d:.])(?:{_V6})(?![\p{{L}}\d:]|\.\d)",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
     "card": r"\b\d(?:[ -]?\d){12,18}\b",
-    "name": rf"(?<![\p{{L}}])(?:{'|'.join(TITLES.values())}) \p{{Lu}}[\p{{Ll}}'-]+(?: \p{{Lu}}[\p{{Ll}}'-]+){{0,2}}",
+    "name": rf"(?<![\p{{L}}])(?:{'|'.join(TITLES.values())}) {_NAME_WORD}(?: {_NAME_WORD}){{0,2}}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Sixteen syllables and endings by script; a hexadecimal digit picks one.
@@ -64,18 +80,68 @@ def _name_words(match: Column) -> Column:
     return F.slice(F.split(match, " "), 2, 8)
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _bare(word: Column) -> Column:
+    """A word of a name without a genitive ending or a loose mark."""
+    return F.regexp_replace(word, _NAME_TAIL, "")
+
+
+def _expanded(match: Column) -> Column:
+    """Eight groups of four small hexadecimal digits: all spellings of one IPv6 address are one."""
+    v4 = F.split(F.regexp_extract(match, rf"({_V4})$", 1), r"\.")
+    pair = lambda i: F.lower(F.hex(F.coalesce(F.get(v4, i).cast("int"), F.lit(0)) * 256 + F.coalesce(F.get(v4, i + 1).cast("int"), F.lit(0))))
+    six = F.when(match.contains("."), F.concat(F.regexp_replace(match, rf"{_V4}$", ""), F.concat_ws(":", pair(0), pair(2)))).otherwise(match)
+    groups = lambda part: F.filter(F.split(part, ":"), lambda g: g != "")
+
+    def filled(x: Column) -> Column:
+        head = groups(F.substring_index(x, "::", 1))
+        tail = F.when(x.contains("::"), groups(F.substring_index(x, "::", -1))).otherwise(F.array().cast("array<string>"))
+        zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(head) - F.size(tail), F.lit(0)))
+        return F.array_join(F.transform(F.concat(head, zeros, tail), lambda g: F.lpad(g, 4, "0")), ":")
+
+    return _let(F.lower(six), filled)
+
+
 def _units(match: Column) -> Column:
     """array<struct<kind, norm>>: what is replaced in a match. Spellings of one number or address have one norm."""
-    kind = _kind(match)
     unit = lambda k, n: F.struct(k.alias("kind"), n.alias("norm"))
-    words = _name_words(match)
-    names = F.transform(words, lambda w, i: unit(F.when(i == F.size(words) - 1, "name_s").otherwise(F.concat(F.lit("name_"), _gender(match))), w))
-    norm = F.when(kind == "email", F.lower(match)).when(kind.isin("ip", "secret"), match).otherwise(F.regexp_replace(match, r"[^\p{L}\d]", ""))
-    return F.when(kind == "name", names).otherwise(F.array(unit(kind, norm)))
+    names = F.transform(_name_words(match), lambda w: unit(F.lit("name"), _bare(w)))
+    plain = F.regexp_replace(match, r"[^\p{L}\d]", "")
+    # Numbers without a country code have the form of those of code 1.
+    phone = F.when(match.startswith("+"), plain).otherwise(F.concat(F.lit("1"), plain))
+
+    def found(kind: Column) -> Column:
+        norm = F.when(kind == "email", F.lower(match)).when(kind.isin("ip", "secret"), match).when(kind == "ip6", _expanded(match)).when(kind == "phone", phone).otherwise(plain)
+        return F.when(kind == "name", names).otherwise(F.array(unit(kind, norm)))
+
+    return _let(_kind(match), found)
+
+
+def _name_kinds(matches: Column) -> Column:
+    """map<word, kind> of the words of a text's names: given names by the gender that all their titles show, the rest surnames."""
+    titled = F.filter(matches, lambda m: m.rlike(f"^(?:{PATTERNS['name']})$"))
+    role = lambda w, last, g: F.struct(_bare(w).alias("w"), F.when(last, "s").otherwise(g).alias("g"))
+    of = lambda m: F.transform(_name_words(m), lambda w, i: role(w, i == F.size(_name_words(m)) - 1, _gender(m)))
+    roles = F.array_distinct(F.flatten(F.transform(titled, of)))
+    has = lambda w, g: F.exists(roles, lambda r: (r.w == w) & (r.g == g))
+    m, f = lambda w: has(w, "m"), lambda w: has(w, "f")
+    kind = lambda w: F.when(m(w) & ~f(w), "name_m").when(f(w) & ~m(w), "name_f").when(m(w) | has(w, "n"), "name_n").otherwise("name_s")
+    return F.map_from_entries(F.transform(F.array_distinct(F.transform(roles, lambda r: r.w)), lambda w: F.struct(w, kind(w))))
+
+
+def _name_pattern(words: Column) -> Column:
+    """Entities, or else one of the words, longest first."""
+    longest = F.array_sort(words, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
+    return F.concat(F.lit(rf"{ENTITY}|(?<![\p{{L}}\p{{M}}\p{{N}}_])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{M}\p{N}_])"))
 
 
 def _stream(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """128 hexadecimal digits of a nested keyed hash."""
+    kind = F.when(kind.startswith("name"), "name").otherwise(kind)
     inner = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm), 256)
     return F.sha2(F.concat(F.lit(key), inner), 512)
 
@@ -112,47 +178,65 @@ def _name(kind: Column, norm: Column, stream: Column, attempt: Column) -> Column
 
     by_script = [F.when(script == s, syllables(list(map(F.lit, t.split())))) for s, t in SYLLABLES.items()]
     ends = [F.when((script == s) & (gender == g), e) for (s, g), e in ENDINGS.items()]
-    return F.initcap(F.concat(F.coalesce(*by_script), F.coalesce(*ends)))
+    return F.initcap(F.concat(F.coalesce(*by_script), F.coalesce(*ends, F.lit(""))))
 
 
 def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
-    """The replacement of a unit: same kind, shape, script and gender, and a number's check digit holds where it held."""
-    s = _stream(key, kind, norm, attempt)
+    """The replacement of a unit: same kind, shape, script and gender, and a number's check digit holds where it held.
+
+    Kind name gives a name's stem; name_m, name_f, name_n and name_s the stem and an ending.
+    """
+    return _let(_stream(key, kind, norm, attempt), lambda s: _drawn(kind, norm, attempt, s))
+
+
+def _drawn(kind: Column, norm: Column, attempt: Column, s: Column) -> Column:
     octets = [F.conv(F.substring(s, 2 * i + 1, 2), 16, 10) for i in range(4)]
     local, host = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
     email = F.concat(_shaped(local, s), F.lit("@"), _shaped(F.substring_index(host, ".", 1), F.reverse(s)), F.lit(".example."), F.substring_index(host, ".", -1))
     drawn = _shaped(norm, s)
     shift = F.pmod(_luhn(norm) - _luhn(drawn) + F.substring(drawn, -1, 1).cast("int"), F.lit(10))
     card = F.concat(drawn.substr(F.lit(1), F.length(norm) - 1), shift.cast("string"))
+    code = F.regexp_extract(norm, _CODE, 0)
+    quads = [F.substring(s, 4 * i + 1, 4) for i in range(8)]
+    wide = lambda known, i: F.when(attempt < _WIDER, known).otherwise(quads[i])
     hexes = F.substring(s, 1, 64).substr(F.lit(1), F.length(norm))
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", F.concat_ws(".", F.when(attempt < _WIDER, "10").otherwise(octets[3]), *octets[:3]))
+        .when(kind == "ip6", F.concat_ws(":", wide("2001", 6), wide("0db8", 7), *quads[:6]))
+        .when(kind == "phone", F.concat(code, drawn.substr(F.length(code) + 1, F.length(norm))))
         .when(kind == "secret", F.when(norm == F.upper(norm), F.upper(hexes)).otherwise(hexes))
         .when(kind == "card", card)
         .when(kind == "iban", F.concat(F.substring(norm, 1, 2), drawn.substr(F.lit(3), F.length(norm))))
-        .when(kind.startswith("name_"), _name(kind, norm, s, attempt))
+        .when(kind.startswith("name"), _name(kind, norm, s, attempt))
         .otherwise(drawn)
     )
 
 
 def _formatted(match: Column, norm_surrogate: Column) -> Column:
-    """The surrogate's characters in the places of the match's letters and digits. A leading country code stays."""
+    """The surrogate's characters in the places of the match's letters and digits."""
     plain = lambda x: F.length(F.regexp_replace(x, r"[^\p{L}\d]", ""))
-    code = F.length(F.regexp_extract(match, r"^(\+\d{1,3})(?=[ .(-])", 1))
-    put = lambda c, i: F.when((i >= code) & c.rlike(r"^[\p{L}\d]$"), norm_surrogate.substr(plain(match.substr(F.lit(1), i + 1)), F.lit(1))).otherwise(c)
+    put = lambda c, i: F.when(c.rlike(r"^[\p{L}\d]$"), norm_surrogate.substr(plain(match.substr(F.lit(1), i + 1)), F.lit(1))).otherwise(c)
     return F.array_join(F.transform(F.split(match, ""), put), "")
 
 
-def _rendered(match: Column, lookup) -> Column:
-    """A match with its units replaced; lookup(kind, norm) gives a surrogate."""
-    units = F.transform(_units(match), lambda u: lookup(u.kind, u.norm))
-    kind = _kind(match)
-    return (
-        F.when(kind == "name", F.array_join(F.concat(F.slice(F.split(match, " "), 1, 1), units), " "))
-        .when(kind.isin("email", "ip", "secret"), units[0])
-        .otherwise(_formatted(match, units[0]))
-    )
+def _rendered(match: Column, kinds: Column, lookup) -> Column:
+    """A match with its units replaced; lookup(kind, norm) gives a surrogate, kinds those of the text's name words."""
+    bare = F.map_contains_key(kinds, match)
+    units = F.when(bare, F.array(F.struct(F.lit("name").alias("kind"), match.alias("norm")))).otherwise(_units(match))
+    known = F.transform(units, lambda u: F.struct(F.when(u.kind == "name", F.element_at(kinds, u.norm)).otherwise(u.kind).alias("kind"), u.norm.alias("norm")))
+    drawn = F.transform(known, lambda u: F.struct(u.kind.alias("kind"), lookup(u.kind, u.norm).alias("s")))
+
+    def put(d: Column) -> Column:
+        kind, first = d[0].kind, d[0].s
+        words = F.zip_with(d, _name_words(match), lambda u, w: F.concat(u.s, F.regexp_extract(w, _NAME_TAIL, 0)))
+        return (
+            F.when(bare | kind.isin("email", "ip", "ip6", "secret"), first)
+            .when(kind.startswith("name"), F.array_join(F.concat(F.slice(F.split(match, " "), 1, 1), words), " "))
+            .otherwise(_formatted(match, F.when((kind == "phone") & ~match.startswith("+"), F.substring(first, 2, 64)).otherwise(first)))
+        )
+
+    return _let(drawn, put)
 
 
 def _matches(text: Column) -> Column:
@@ -175,7 +259,9 @@ def exceptions(units: DataFrame, key: str) -> DataFrame:
     now = store(units.withColumn("attempt", F.lit(0)).withColumn("s", surrogate(key, F.col("kind"), F.col("norm"), F.lit(0))))
     for _ in range(_ROUNDS):
         keepers = now.groupBy("kind", "s").agg(F.min(F.struct("attempt", "norm"))["norm"].alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        real = now.select("kind", F.col("norm").alias("s"), F.lit(True).alias("real"))
+        # A stem is also refused where an ending would make it a found name.
+        stems = F.array("norm", F.when(F.col("kind") == "name", F.regexp_replace("norm", rf"(?:{'|'.join(ENDINGS.values())})$", "")).otherwise(F.col("norm")))
+        real = now.select("kind", F.explode(F.array_distinct(stems)).alias("s")).distinct().withColumn("real", F.lit(True))
         met = now.join(keepers, ["kind", "s"], "left").join(real, ["kind", "s"], "left")
         again = met.where((F.col("keeper") != F.col("norm")) | F.col("real")).select("kind", "norm")
         again = store(again)
@@ -189,7 +275,7 @@ def exceptions(units: DataFrame, key: str) -> DataFrame:
 
 
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
-    """All columns of docs, text with surrogates, and n_entities.
+    """All columns of docs, text with surrogates, and n_entities (later bare mentions of a name count too).
 
     Null texts stay null with 0 entities; texts without an entity stay as they are. Repeated rows are treated alike. The
     key is part of the plan: keep event logs as private as the key. A column n_entities of docs is replaced.
@@ -207,10 +293,16 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
         own = found.join(drawn_again, ["kind", "norm"]).select(F.col("doc_id").alias("_own"), F.concat_ws(":", "kind", "norm").alias("k"), "attempt")
         maps = store(own.distinct().groupBy("_own").agg(F.map_from_entries(F.collect_list(F.struct("k", "attempt"))).alias("_attempts")))
         framed = docs.select(*kept).join(maps, docs["doc_id"].eqNullSafe(maps["_own"]), "left")
-        attempt = lambda kind, norm: F.coalesce(F.element_at(F.col("_attempts"), F.concat_ws(":", kind, norm)), none)
+        unit = lambda kind, norm: F.concat_ws(":", F.when(kind.startswith("name"), "name").otherwise(kind), norm)
+        attempt = lambda kind, norm: F.coalesce(F.element_at(F.col("_attempts"), unit(kind, norm)), none)
         lookup = lambda kind, norm: surrogate(key, kind, norm, attempt(kind, norm))
-    marked = framed.withColumn("_m", matches)
-    gaps = F.split(text, ENTITY, -1)
-    put = F.zip_with(gaps, F.transform("_m", lambda m: _rendered(m, lookup)), lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
+    names = F.col("_names")
+    pattern = F.when(names.isNull(), ENTITY).otherwise(_name_pattern(F.map_keys(names)))
+    titled = F.exists("_found", lambda m: m.rlike(f"^(?:{PATTERNS['name']})$"))
+    marked = framed.withColumn("_found", matches).withColumn("_names", F.when(titled, _name_kinds(F.col("_found")))).withColumn("_pattern", pattern)
+    marked = marked.withColumn("_m", F.when(names.isNull(), F.col("_found")).otherwise(F.regexp_extract_all(text, F.col("_pattern"), F.lit(0))))
+    kinds = F.coalesce(names, F.create_map().cast("map<string,string>"))
+    gaps = F.split(text, F.col("_pattern"), -1)
+    put = F.zip_with(gaps, F.transform("_m", lambda m: _rendered(m, kinds, lookup)), lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
     new = F.when(F.size("_m") > 0, F.array_join(put, "")).otherwise(text)
     return marked.select(*[new.alias("text") if c == "text" else F.col(c) for c in kept], F.size("_m").cast("bigint").alias("n_entities"))

@@ -132,3 +132,22 @@ def test_rows_without_id_get_exceptions_too(spark):
     again = pii.exceptions(pii.occurrences(docs).select("kind", "norm").distinct(), "key")
     assert again.count() > 0
     assert len({r["text"] for r in pii.replace_entities(docs, "key").collect()}) == 12_000
+
+
+def test_names_without_title_and_one_surrogate_a_person(spark):
+    texts = {
+        1: "Mr. John Smith came. Smith's brother saw John, and Smith; Mr. Smith's hat. Smithson and BlackSmith stayed.",
+        2: "Dr. Anna Keller and Mrs. Anna Keller; Mr. Paul, then Mr. Paul O'Brien-Doe and O'Brien-Doe.",
+        3: "call +49 30 1234567 or +49301234567, (523) 555-1055 or +1 523 555 1055",
+        4: "from 2001:db8:0:0:1::1, 2001:0DB8::1:0:0:1, ::ffff:192.168.7.9, fe80::1ff:fe23:4567:890a; std::vector at 12:30:45",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    made = {r["doc_id"]: (r["text"], r["n_entities"]) for r in pii.replace_entities(docs, "key").collect()}
+    m = re.fullmatch(r"Mr\. (\w+rn) (\w+mer) came\. (\w+)'s brother saw (\w+), and (\w+); Mr\. (\w+)'s hat\. Smithson and BlackSmith stayed\.", made[1][0])
+    assert m and {m[2], m[3], m[5], m[6]} == {m[2]} and m[1] == m[4] and made[1][1] == 5
+    m = re.fullmatch(r"Dr\. (\w+lia) (\w+) and Mrs\. (\w+) (\w+); Mr\. (\w+rn), then Mr\. (\w+) (\w+) and (\w+)\.", made[2][0])
+    assert m and m.group(1, 2) == m.group(3, 4) and m[5] == m[6] and m[7] == m[8]
+    m = re.fullmatch(r"call \+49 (\d\d) (\d{7}) or \+49(\d{9}), \((\d{3})\) (\d{3})-(\d{4}) or \+1 (\d{3}) (\d{3}) (\d{4})", made[3][0])
+    assert m and m[1] + m[2] == m[3] != "301234567" and m.group(4, 5, 6) == m.group(7, 8, 9) != ("523", "555", "1055")
+    m = re.fullmatch(r"from ([0-9a-f:]+), ([0-9a-f:]+), ([0-9a-f:]+), ([0-9a-f:]+); std::vector at 12:30:45", made[4][0])
+    assert m and m[1] == m[2] and len({m[1], m[3], m[4]}) == 3 and all(x.startswith("2001:0db8:") for x in m.groups())
