@@ -52,6 +52,18 @@ def invert(edges: DataFrame, mode: str = "doi", keep: str = "first") -> DataFram
     return out.withColumn("arxiv_doi", arxiv_doi(F.col("cited_id"))) if mode == "arxiv" else out
 
 
+def split_counts(edges: DataFrame, asserted: bool, keep: str = "first") -> DataFrame:
+    """Citing works of one kind a cited identifier, beside all of them; works without any go. No list is gathered."""
+    is_asserted = F.coalesce("provenance", F.lit("mined")).isin("publisher", "crossref")
+    return (
+        dedup_edges(edges, keep)
+        .where(F.col("citing_doi") != F.col("cited_id"))
+        .groupBy("cited_id")
+        .agg(F.count_if(is_asserted if asserted else ~is_asserted).alias("citation_count"), F.count("citing_doi").alias("reference_count"))
+        .where("citation_count > 0")
+    )
+
+
 def ranked(inverted: DataFrame) -> DataFrame:
     return inverted.orderBy(F.desc("citation_count"), F.asc("cited_id"))
 

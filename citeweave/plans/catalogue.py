@@ -12,9 +12,9 @@ from citeweave.functions.keys import partition_key
 from citeweave.functions.provenance import provenance
 from citeweave.operators import index as ix
 from citeweave.operators.extract import extract_edges, search_text
-from citeweave.operators.invert import best_provenance, citation_counts, dedup_edges, invert
+from citeweave.operators.invert import best_provenance, citation_counts, dedup_edges, invert, split_counts
 from citeweave.operators.stats import extraction_stats, inversion_stats, partition_histogram
-from citeweave.operators.validate import lookup, split_by_provenance, validation_stats
+from citeweave.operators.validate import lookup, validation_stats
 
 
 def _edges(spark: SparkSession, d: str, mode: str = "doi") -> DataFrame:
@@ -37,7 +37,7 @@ def _lookup(spark, d, source):
 
 
 def _split(spark, d, asserted):
-    return split_by_provenance(invert(_edges(spark, d)), asserted).select("cited_id", "citation_count", "reference_count")
+    return split_counts(_edges(spark, d), asserted)
 
 
 def _refs(spark, d):

@@ -41,6 +41,12 @@ def test_corpus_has_the_hard_cases(spark, sf_dir):
     assert refs.select("kind").distinct().count() == 14
 
 
+@pytest.mark.parametrize("name", ["split_asserted", "split_mined"])
+def test_split_counts_gather_no_list(spark, sf_dir, name):
+    plan = catalogue.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
 def test_entry_without_llm(tmp_path):
     for name in ("__spark_entry__.py", "citeweave"):
         target = tmp_path / name
