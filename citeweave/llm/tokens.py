@@ -1,40 +1,69 @@
-"""Token ids by the tokenizers library, with a bounded cache of blank-separated pieces."""
+"""Token ids by the tokenizers library, with a bounded cache of words."""
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are encoded at once: the larger, the fewer pieces are different.
-ENCODED_BYTES = 1 << 22
-#: Pieces that a worker remembers (about 160 MB); those not met of late go first.
-CACHE = 800_000
+ENCODED_BYTES = 1 << 23
+#: Words that a worker remembers (about 200 MB); beyond, it begins anew with those of its last block.
+CACHE = 1_000_000
 #: Two characters of white space side by side, as every Unicode-aware pattern may see it.
 _RUNS = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]"
-#: Pieces that are encoded as one text, with a special token between them.
+#: Pieces that are encoded as one text.
 _JOINED = 256
-#: Before the first piece of a text, to remember it by; no other piece has a blank.
+#: Before a word that has no blank before it, to remember it by; no piece of a text has a blank.
 _BEGUN = "  "
-#: Marks that are split off, where they end a piece.
-_CLOSING = ",.;:!?"
+#: Marks that make a token of their own behind a letter or digit.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _loaded: dict[tuple[str, bool], Encoder] = {}
 
 
-def _after_blank(piece: str) -> str:
-    return piece if piece.startswith("\n") else " " + piece
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of every range, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class Words:
+    """Ids of words met before: word -> number; ids of all numbers in one array."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.used = 0
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """Numbers; -1 for words that are not known."""
+        return np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words that are not known, each once."""
+        a, b = len(self.number), len(self.number) + len(words)
+        self.ids, self.starts, self.sizes = _grown(self.ids, self.used + len(ids)), _grown(self.starts, b), _grown(self.sizes, b)
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.starts[a:b] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[a:b] = sizes
+        self.used += len(ids)
+        self.number.update(zip(words, range(a, b)))
+
+
+def _grown(x: np.ndarray, n: int) -> np.ndarray:
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
 
 
 class Encoder:
     """Ids of whole texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
-    Both supported kinds of tokenizer split a text at every single blank or line end between other characters, so the
-    pieces between are encoded alone and remembered. keep_blank: the blank or line end is part of the piece after it
-    (byte-level BPE), and texts with runs of white space are encoded whole; else all white space vanishes. Texts are
-    split, and equal pieces found, by Arrow; Python code runs for each different piece of a block, not for each word.
+    Both supported kinds of tokenizer split a text at every single blank or line end between other characters, and
+    before ASCII marks that end such a piece behind a letter or digit; so a piece is a word and its closing marks, which
+    are encoded alone and remembered. keep_blank: the blank before a word is part of it (byte-level BPE), and texts with
+    runs of white space are encoded whole; else all white space vanishes and ASCII case with it. Texts are split, and
+    equal pieces found, by Arrow; Python code runs for each different word of a block, not for each word of a text.
     """
 
     def __init__(self, path: str, keep_blank: bool):
@@ -42,13 +71,13 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer, self.keep_blank = Tokenizer.from_file(path), keep_blank
-        #: Pieces met of late, and those of the time before.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.closing = dict(zip(_CLOSING, self._plain(list(_CLOSING))))
-        special = {k: t for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
-        self.between = min(special, default=None)
-        self.mark = special[self.between].content if special else ""
+        self.words = Words()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Every word of letters has one token that begins (byte-level) or ends (word ends) a word.
+        edge = (lambda t: t.startswith("Ġ")) if keep_blank else (lambda t: t.endswith("</w>"))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[k for t, k in vocabulary.items() if edge(t)]] = True
 
     @classmethod
     def get(cls, path: str, keep_blank: bool) -> Encoder:
@@ -56,81 +85,112 @@ class Encoder:
             _loaded[path, keep_blank] = cls(path, keep_blank)
         return _loaded[path, keep_blank]
 
-    def _plain(self, found: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
+    def _plain(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each has."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
 
-    def _pieces(self, found: list[str]) -> list[bytes]:
-        """As _plain. Special tokens part a text before all else, so pieces between them have the ids that they have alone."""
-        if not self.mark or any(self.mark in p for p in found):
-            return self._plain(found)
+    def _lettered(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As _plain, of words of letters alone, with a blank before each that is kept. Many are one text."""
+        before, ids, sizes = " " if self.keep_blank else "", [], []
         groups = [found[k : k + _JOINED] for k in range(0, len(found), _JOINED)]
-        out = []
-        for own, e in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cuts = (np.flatnonzero(ids == self.between) * 4).tolist()
-            raw = ids.tobytes()
-            parts = [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
-            out += parts if len(parts) == len(own) else self._plain(own)
-        return out
-
-    def _encoded(self, pieces: list[str], text: Callable[[str], str]) -> list[bytes]:
-        """Ids of different pieces, remembered. text: what a piece stands for.
-
-        A closing mark after a letter is a token of its own, so such a piece has the ids of its word, then of the mark.
-        """
-        got = list(map(self.known.get, pieces))
-        lacking = [p for p, ids in zip(pieces, got) if ids is None] if None in got else []
-        if not lacking:
-            return got
-        if len(self.known) + len(lacking) > CACHE // 2:
-            self.known, self.older = {}, self.known
-        fresh = {p: ids for p in lacking if (ids := self.older.get(p)) is not None}
-        closed = {p: p[:-1] for p in lacking if p not in fresh and p[-1:] in self.closing and p[-2:-1].isascii() and p[-2:-1].isalpha()}
-        wanted = dict.fromkeys([*closed.values(), *(p for p in lacking if p not in closed)])
-        new = []
-        for p in wanted:
-            if p not in fresh:
-                ids = self.known.get(p) or self.older.get(p)
-                if ids is None:
-                    new.append(p)
-                else:
-                    fresh[p] = ids
-        fresh.update(zip(new, self._pieces(list(map(text, new)))))
-        fresh.update((p, fresh[word] + self.closing[p[-1]]) for p, word in closed.items())
-        self.known.update(fresh)
-        return [fresh[p] if ids is None else ids for p, ids in zip(pieces, got)]
+        for own, e in zip(groups, self.tokenizer.encode_batch_fast([before + " ".join(g) for g in groups], add_special_tokens=False)):
+            got = np.array(e.ids, np.uint32)
+            at = np.flatnonzero(self.edge[got])
+            if len(at) == len(own):
+                ids.append(got)
+                sizes.append(np.diff(at, append=len(got)) if self.keep_blank else np.diff(at, prepend=-1))
+            else:
+                one, n = self._plain([before + w for w in own])
+                ids.append(one)
+                sizes.append(n)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each word, which is encoded if it was not met before. Words are different."""
+        if len(self.words.number) > CACHE:
+            self.words = Words()
+        at = self.words.find(words)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            lacking = [words[k] for k in new.tolist()]
+            letters = pc.match_substring_regex(pa.array(lacking, pa.large_string()), r"^\pL+$").to_numpy(zero_copy_only=False)
+            own = [w for w, ok in zip(lacking, letters) if ok]
+            if own:
+                self.words.add(own, *self._lettered(own))
+            own = [w for w, ok in zip(lacking, letters) if not ok]
+            if own:
+                text = [w[len(_BEGUN) :] if w.startswith(_BEGUN) else " " + w for w in own] if self.keep_blank else own
+                self.words.add(own, *self._plain(text))
+            at[new] = self.words.find(lacking)
+        return at
+
+    def _parts(self, pieces: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, list[str]]:
+        """Each piece as a word and the number of its closing marks, and all sorts of closing marks; the first is none."""
+        word = pc.ascii_rtrim(pieces, characters=_MARKS)
+        whole = pc.invert(pc.match_substring_regex(word, r"(?:[0-9A-Za-z]|^\n?\pL+)$"))
+        for token in self.special:
+            whole = pc.or_(whole, pc.match_substring(pieces, token))
+        word = pc.if_else(whole, pieces, word)
+        size, own = (pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (pieces, word))
+        closed = np.flatnonzero(size > own)
+        raw, offsets = np.frombuffer(pieces.buffers()[2] or b"", np.uint8), np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset :]
+        cuts = np.concatenate([[0], np.cumsum((size - own)[closed])])
+        marks = raw[_ranges(offsets[closed] + own[closed], (size - own)[closed])]
+        coded = pa.LargeStringArray.from_buffers(len(closed), pa.py_buffer(cuts), pa.py_buffer(marks)).dictionary_encode()
+        tail = np.zeros(len(pieces), np.int64)
+        tail[closed] = coded.indices.to_numpy() + 1
+        return word, tail, ["", *coded.dictionary.to_pylist()]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block (UTF-8 bytes and offsets) one after another, and where each text's ids end."""
         n = len(offsets) - 1
         found = pa.LargeStringArray.from_buffers(n, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
-        whole = pc.match_substring_regex(found, _RUNS).to_numpy(zero_copy_only=False).astype(bool) if self.keep_blank else np.zeros(n, bool)
         if self.keep_blank:
+            whole = pc.match_substring_regex(found, _RUNS).to_numpy(zero_copy_only=False).astype(bool)
             regular = pc.if_else(pa.array(whole), "", found) if whole.any() else found
             split = pc.split_pattern(pc.replace_substring(regular, "\n", " \n"), " ")
         else:
-            split = pc.ascii_split_whitespace(found)
+            split = pc.ascii_split_whitespace(pc.ascii_lower(found))
         coded = split.flatten().dictionary_encode()
         at = coded.indices.to_numpy().astype(np.int64)
         bounds = split.offsets.to_numpy().astype(np.int64)
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        pieces = coded.dictionary
         if self.keep_blank:
-            # The first piece of a text has no blank before it; a text that is encoded whole is its only piece.
-            first = found.filter(pa.array(whole)).to_pylist()
-            begun = coded.dictionary.take(coded.indices.take(pa.array(bounds[:-1][~whole]))).to_pylist()
-            table = self._encoded(pieces, _after_blank) + self._plain(first) + self._encoded([_BEGUN + p for p in begun], lambda p: p.removeprefix(_BEGUN))
-            own = np.empty(n, np.int64)
-            own[whole], own[~whole] = np.arange(len(first)), np.arange(len(begun)) + len(first)
-            at[bounds[:-1]] = len(pieces) + own
-        else:
-            table = self._encoded(pieces, str)
-        ids = np.frombuffer(b"".join(table), np.uint32)
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+            # The first piece of a text has no blank before it; a text that is encoded whole has one piece, put in below.
+            begun = pieces.take(coded.indices.take(pa.array(bounds[:-1]))).dictionary_encode()
+            at[bounds[:-1]] = len(pieces) + begun.indices.to_numpy()
+            first = np.zeros(len(pieces) + len(begun.dictionary), bool)
+            first[len(pieces) :] = True
+            pieces = pa.concat_arrays([pieces, begun.dictionary])
+        word, tail, marks = self._parts(pieces)
+        if self.keep_blank:
+            lined = pc.starts_with(word, "\n").to_numpy(zero_copy_only=False)
+            word = pc.if_else(pa.array(lined), pc.utf8_slice_codeunits(word, 1), word)
+            bare = pa.array(lined | first)
+            word = pc.if_else(bare, pc.binary_join_element_wise(pa.scalar(_BEGUN, pa.large_string()), word, pa.scalar("", pa.large_string())), word)
+        words = word.dictionary_encode()
+        extra = [_BEGUN + m for m in [*marks, "\n"]] if self.keep_blank else marks
+        listed = words.dictionary.to_pylist()
+        number = dict(zip(wanted := list(dict.fromkeys([*extra, *listed])), self._numbers(wanted).tolist()))
+        table = self.words
+        parts = [np.fromiter(map(number.get, listed), np.int64, len(listed))[words.indices.to_numpy()], np.array([number[m] for m in extra])[tail]]
+        if self.keep_blank:
+            parts.insert(0, np.where(lined, number[_BEGUN + "\n"], number[_BEGUN]))
+        # The ids of a piece are those of its line end, its word and its closing marks.
+        which = np.stack(parts, 1).ravel()
+        sizes = table.sizes[which]
+        ids = table.ids[_ranges(table.starts[which], sizes)]
+        sizes = sizes.reshape(len(pieces), -1).sum(1)
         starts = np.cumsum(sizes) - sizes
+        if self.keep_blank and whole.any():
+            more, n_more = self._plain(found.filter(pa.array(whole)).to_pylist())
+            at[bounds[:-1][whole]] = len(sizes) + np.arange(len(n_more))
+            starts, sizes, ids = np.concatenate([starts, len(ids) + np.cumsum(n_more) - n_more]), np.concatenate([sizes, n_more]), np.concatenate([ids, more])
         times = sizes[at]
         ends = np.concatenate([[0], np.cumsum(times)])
-        where = np.repeat(starts[at] - ends[:-1], times) + np.arange(ends[-1])
-        return ids[where], ends[bounds[1:]]
+        return ids[_ranges(starts[at], times)], ends[bounds[1:]]
 
     def documents(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> list[np.ndarray]:
         """The ids of each text with the end id after them."""
