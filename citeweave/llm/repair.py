@@ -1,8 +1,9 @@
 """Token-id shards compressed by a Re-Pair grammar, with random-access decoding.
 
-A shard holds the ids of consecutive documents. In each round its most frequent adjacent pairs become nonterminals at
-once (pairs of one round that overlap are replaced from the left); rounds go on until no pair is frequent or ROUNDS are
-done. Rules of a round use only symbols of earlier ones.
+A shard holds the ids of consecutive documents. In each round its most frequent adjacent pairs become nonterminals at once:
+those at least half as often as the first, and more until SHARE of all places are theirs (of those that overlap, the left
+one goes), each used twice or more. Rounds go on until no pair occurs twice without overlap. Rules of a round use only
+symbols of earlier ones.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 from citeweave.llm.common import blocks, scratch
 from citeweave.llm.tokens import ENCODED_BYTES, Encoder
 
-ROUNDS, PER_ROUND, LEAST = 8, 512, 12
 SHARD_TOKENS = 1 << 18
-DOCS_PER_TASK = 2048
-_HASH_BITS = 16
+#: Of the places in a sequence, what one round aims at; less only means more rounds.
+SHARE = 1 / 12
+#: Symbols of a sequence between two stored positions.
+STRIDE = 256
 
 
 @dataclass
@@ -31,104 +33,135 @@ class Grammar:
     base: int
     left: np.ndarray
     right: np.ndarray
+    #: How many ids each rule stands for.
     lengths: np.ndarray
-    #: Rules before each round, and all of them.
-    bounds: np.ndarray
     sequence: np.ndarray
+    #: How many ids come before every STRIDE-th symbol of the sequence.
+    positions: np.ndarray
 
 
-def _hashed(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.uint16)
+def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys (not negative), and the number of each."""
+    bits = len(keys).bit_length()
+    if len(keys) and int(keys.max()).bit_length() + bits < 64:  # key and place in one integer sort faster than places by key
+        both = np.sort((keys.astype(np.int64) << bits) | np.arange(len(keys)))
+        ordered, by = both >> bits, both & ((1 << bits) - 1)
+    else:
+        by = np.argsort(keys, kind="stable")
+        ordered = keys[by]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int32)
+    number[by] = np.cumsum(new, dtype=np.int32) - 1
+    return ordered[new], number
 
 
-def _frequent(keys: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """The PER_ROUND most frequent keys that occur LEAST times or more. Hashed counts leave few keys to count exactly."""
-    rough = np.bincount(h, minlength=1 << _HASH_BITS)
-    cut = max(LEAST, int(np.partition(rough, -2 * PER_ROUND)[-2 * PER_ROUND]))
-    values, n = np.unique(keys[(rough >= cut)[h]], return_counts=True)
-    often = np.flatnonzero(n >= LEAST)
-    best = often[np.lexsort((values[often], -n[often]))][:PER_ROUND]
-    return np.sort(values[best])
+def _least(n: np.ndarray) -> int:
+    """The count from which on pairs are taken."""
+    by_count = np.bincount(n)
+    places = np.cumsum((by_count * np.arange(len(by_count)))[::-1])[::-1]
+    enough = np.flatnonzero(places >= SHARE * places[0])[-1]
+    return max(2, min((len(by_count) - 1) // 2, int(enough)))
+
+
+def _spaced(hit: np.ndarray) -> np.ndarray:
+    """Of neighbouring positions, every other from the first on."""
+    new = np.ones(len(hit), bool)
+    new[1:] = hit[1:] != hit[:-1] + 1
+    first = hit[np.maximum.accumulate(np.where(new, np.arange(len(hit)), 0))]
+    return hit[(hit - first) % 2 == 0]
+
+
+def _chosen(pairs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of wanted pairs that do not overlap, of pairs that have two such places or more."""
+    hit = _spaced(np.flatnonzero(wanted[pairs]))
+    return hit[np.bincount(pairs[hit], minlength=len(wanted))[pairs[hit]] > 1]
 
 
 def compress(ids: np.ndarray) -> Grammar:
+    """The number of each adjacent pair is kept beside it: only pairs that a round makes are looked up, as no earlier pair equals them."""
     base = int(ids.max()) + 1 if len(ids) else 1
-    s, rules, bounds = ids.astype(np.uint64), [], [0]
-    for _ in range(ROUNDS):
-        if len(s) < 2 * LEAST:
+    s = ids.astype(np.int32)
+    # A rule replaces two symbols twice, so there are fewer rules than ids.
+    bits = (base + len(ids)).bit_length()
+    low = (1 << bits) - 1
+    keys, pairs = _dense((s[:-1].astype(np.int64) << bits) | s[1:])
+    rules, n_rules = [], 0
+    while len(s) > 1:
+        # Numbers that no place has any more are left out.
+        seen, pairs = _dense(pairs) if len(keys) > 4 * len(pairs) + 1024 else (None, pairs)
+        keys = keys if seen is None else keys[seen]
+        n = np.bincount(pairs, minlength=len(keys))
+        if n.max() < 2:
             break
-        keys = (s[:-1] << np.uint64(32)) | s[1:]
-        hashes = _hashed(keys)
-        chosen = _frequent(keys, hashes)
-        if not len(chosen):
-            break
-        # Few other keys share a hash with a chosen one, so few are searched.
-        listed = np.zeros(1 << _HASH_BITS, bool)
-        listed[_hashed(chosen)] = True
-        hit = np.flatnonzero(listed[hashes])
-        at = np.minimum(np.searchsorted(chosen, keys[hit]), len(chosen) - 1)
-        same = chosen[at] == keys[hit]
-        hit, at = hit[same], at[same]
-        # Of neighbouring hits, every other from the first on.
-        new_run = np.ones(len(hit), bool)
-        new_run[1:] = hit[1:] != hit[:-1] + 1
-        run_start = hit[np.maximum.accumulate(np.where(new_run, np.arange(len(hit)), 0))]
-        even = (hit - run_start) % 2 == 0
-        hit, at = hit[even], at[even]
-        s[hit] = np.uint64(base + bounds[-1]) + at.astype(np.uint64)
+        hit = _chosen(pairs, n >= _least(n))
+        if not len(hit):  # all places of each pair overlap those of others: then pairs of different symbols, one alone, or of equal ones
+            twice, equal = n > 1, (keys >> bits) == (keys & low)
+            other = np.flatnonzero(twice & ~equal)
+            one = np.zeros(len(keys), bool)
+            one[other[np.argmax(n[other])] if len(other) else np.flatnonzero(twice & equal)] = True
+            hit = _chosen(pairs, one)
+            if not len(hit):
+                break
+        used, at = _dense(pairs[hit])
+        rules.append(keys[used])
+        s[hit] = base + n_rules + at
+        n_rules += len(used)
         keep = np.ones(len(s), bool)
         keep[hit + 1] = False
         s = s[keep]
-        rules.append(chosen)
-        bounds.append(bounds[-1] + len(chosen))
-    pairs = np.concatenate(rules) if rules else np.zeros(0, np.uint64)
-    left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    lengths = np.ones(base + len(pairs), np.int64)
-    for a, b in zip(bounds, bounds[1:]):
-        lengths[base + a : base + b] = lengths[left[a:b]] + lengths[right[a:b]]
-    return Grammar(base, left, right, lengths[base:], np.array(bounds, np.int64), s.astype(np.int64))
-
-
-def _expanded_rules(g: Grammar) -> np.ndarray:
-    """Ids of all rules, one after another; rules of a round hold symbols of earlier ones only."""
-    s = np.arange(g.base, g.base + len(g.left))
-    for a, b in reversed(list(zip(g.bounds.tolist(), g.bounds.tolist()[1:]))):
-        rule = (s >= g.base + a) & (s < g.base + b)
-        out = np.repeat(s, 1 + rule)
-        at = (np.cumsum(1 + rule) - 1 - rule)[rule]
-        out[at], out[at + 1] = g.left[s[rule] - g.base], g.right[s[rule] - g.base]
-        s = out
-    return s
-
-
-def _expand(g: Grammar, s: np.ndarray) -> np.ndarray:
-    if not len(g.left):
-        return s
-    flat, lengths = _expanded_rules(g), g.lengths
-    starts = np.cumsum(lengths) - lengths
-    rule = np.flatnonzero(s >= g.base)
-    times = np.ones(len(s), np.int64)
-    times[rule] = lengths[s[rule] - g.base]
-    ends = np.cumsum(times)
-    out = np.repeat(s, times)
-    own = times[rule]
-    first = np.cumsum(own) - own
-    within = np.arange(int(own.sum())) - np.repeat(first, own)
-    out[within + np.repeat(ends[rule] - own, own)] = flat[within + np.repeat(starts[s[rule] - g.base], own)]
-    return out
+        made = hit - np.arange(len(hit))
+        fresh = np.stack([made - 1, made], 1).ravel()  # ascending, with repeats side by side
+        fresh = fresh[(np.diff(fresh, prepend=-1) > 0) & (fresh < len(s) - 1)]
+        values, number = _dense((s[fresh].astype(np.int64) << bits) | s[fresh + 1])
+        pairs = pairs[keep[:-1]][: len(s) - 1]
+        pairs[fresh] = len(keys) + number
+        keys = np.concatenate([keys, values])
+    rule = np.concatenate(rules) if rules else np.zeros(0, np.int64)
+    left, right = rule >> bits, rule & low
+    lengths, a = np.ones(base + len(rule), np.int64), base
+    for r in rules:
+        lengths[a : a + len(r)] = lengths[r >> bits] + lengths[r & low]
+        a += len(r)
+    before = np.cumsum(lengths[s]) - lengths[s]
+    s = s.astype(np.int64)
+    return Grammar(base, left, right, lengths[base:], s, before[::STRIDE].copy())
 
 
 def decode(g: Grammar) -> np.ndarray:
-    return _expand(g, g.sequence).astype(np.uint32)
-
-
-def decode_range(g: Grammar, start: int, stop: int) -> np.ndarray:
-    """ids[start:stop]; expands only the symbols that cover them, found by the stored expansion lengths."""
-    symbol_length = np.where(g.sequence < g.base, 1, np.concatenate([g.lengths, [1]])[np.clip(g.sequence - g.base, 0, len(g.lengths))])
-    ends = np.cumsum(symbol_length)
-    a, b = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
-    skipped = int(ends[a - 1]) if a else 0
-    return _expand(g, g.sequence[a:b])[start - skipped : stop - skipped].astype(np.uint32)
+    """All ids. Every pass puts the two sides of each rule in its place."""
+    s = g.sequence
+    while len(at := np.flatnonzero(s >= g.base)):
+        times = np.ones(len(s), np.int64)
+        times[at] = 2
+        first = at + np.arange(len(at))
+        rule, s = s[at] - g.base, np.repeat(s, times)
+        s[first], s[first + 1] = g.left[rule], g.right[rule]
+    return s.astype(np.uint32)
+
+
+def decode_range(g: Grammar, start: int, stop: int, count: list[int] | None = None) -> np.ndarray:
+    """ids[start:stop]. Reads the sequence from the stored position before start, and expands a rule only where it covers
+    a wanted id; count gets the number of rules that each pass expands."""
+    if stop <= start or not len(g.sequence):
+        return np.zeros(0, np.uint32)
+    size = lambda x: np.where(x < g.base, 1, g.lengths[np.maximum(x - g.base, 0)] if len(g.lengths) else 1)
+    a = max(int(np.searchsorted(g.positions, start, "right")) - 1, 0)
+    b = int(np.searchsorted(g.positions, stop, "left"))
+    s = g.sequence[a * STRIDE : b * STRIDE]
+    at = g.positions[a] + np.cumsum(size(s)) - size(s)
+    while True:
+        within = (at < stop) & (at + size(s) > start)
+        s, at = s[within], at[within]
+        rule = s >= g.base
+        if not rule.any():
+            return s.astype(np.uint32)
+        if count is not None:
+            count.append(int(rule.sum()))
+        left, right = g.left[s[rule] - g.base], g.right[s[rule] - g.base]
+        s, at = np.concatenate([s[~rule], left, right]), np.concatenate([at[~rule], at[rule], at[rule] + size(left)])
+        by = np.argsort(at, kind="stable")
+        s, at = s[by], at[by]
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -141,28 +174,30 @@ def _unpack(b: bytes) -> np.ndarray:
     return np.frombuffer(b, "<u4" if b[0] == 4 else "<u2", offset=1).astype(np.int64)
 
 
-SHARD = "task int, shard int, start bigint, n_tokens bigint, doc_ids binary, doc_nulls binary, counts binary, base bigint, bounds binary, left binary, right binary, lengths binary, sequence binary"
+SHARD = "task int, shard int, start bigint, n_tokens bigint, doc_ids binary, doc_nulls binary, counts binary, base bigint, left binary, right binary, lengths binary, sequence binary, positions binary"
 
 
 def to_row(task: int, shard: int, start: int, doc_ids: list, counts: list[int], ids: np.ndarray) -> tuple:
     g = compress(ids)
     known = np.array([0 if d is None else d for d in doc_ids], "<i8")
     nulls = np.array([d is None for d in doc_ids], np.uint8)
-    return (task, shard, start, len(ids), known.tobytes(), nulls.tobytes(), np.array(counts, "<i8").tobytes(), g.base, g.bounds.astype("<i8").tobytes(),
-            _pack(g.left), _pack(g.right), g.lengths.astype("<i8").tobytes(), _pack(g.sequence))
+    return (task, shard, start, len(ids), known.tobytes(), nulls.tobytes(), np.array(counts, "<i8").tobytes(), g.base,
+            *map(_pack, (g.left, g.right, g.lengths, g.sequence, g.positions)))
 
 
 def grammar_of(row: dict) -> Grammar:
-    return Grammar(row["base"], _unpack(row["left"]), _unpack(row["right"]), np.frombuffer(row["lengths"], "<i8"), np.frombuffer(row["bounds"], "<i8"), _unpack(row["sequence"]))
+    return Grammar(row["base"], *(_unpack(row[k]) for k in ("left", "right", "lengths", "sequence", "positions")))
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Encodes whole texts and writes shards, in ascending doc_id order over tasks and shards.
 
-    Documents are dealt by ranges of doc_id, so tasks follow each other as their ids do. Null texts hold the end id
-    alone. Rows of one doc_id lie side by side.
+    Documents are dealt by ranges of doc_id into as many tasks as the session has shuffle partitions (fewer, where the
+    planner joins small ones), so tasks follow each other as their ids do; a task writes many shards and holds one. A
+    document longer than a shard is a shard of its own with those before it. Null texts hold the end id alone. Rows of
+    one doc_id lie side by side, equal rows as such; null ids come first. Only doc_id and text are read, so other columns
+    may have any name. An empty table gives no shards.
     """
-    tasks = max(1, -(-docs.count() // DOCS_PER_TASK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = Encoder.get(tokenizer, True), TaskContext.get().partitionId()
@@ -185,7 +220,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
         if ids:
             yield close()
 
-    dealt = docs.select("doc_id", "text").repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id")
+    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     dealt.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ _JOINED = 256
 _BEGUN = "  "
 #: Marks that make a token of their own behind a letter or digit.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters and digits that stay such in any normal form and lower case: marks behind them are no part of their word.
+_CLOSED = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{391}-\x{3A1}\x{3A3}-\x{3A9}\x{3B1}-\x{3C9}\x{410}-\x{44F}]$"
 _loaded: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -39,7 +42,7 @@ class Words:
 
     def find(self, words: list[str]) -> np.ndarray:
         """Numbers; -1 for words that are not known."""
-        return np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
 
     def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Words that are not known, each once."""
@@ -108,13 +111,11 @@ class Encoder:
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        """The number of each word, which is encoded if it was not met before. Words are different."""
-        if len(self.words.number) > CACHE:
-            self.words = Words()
+        """The number of each word, which is encoded if it was not met before."""
         at = self.words.find(words)
         new = np.flatnonzero(at < 0)
         if len(new):
-            lacking = [words[k] for k in new.tolist()]
+            lacking = list(dict.fromkeys(words[k] for k in new.tolist()))
             letters = pc.match_substring_regex(pa.array(lacking, pa.large_string()), r"^\pL+$").to_numpy(zero_copy_only=False)
             own = [w for w, ok in zip(lacking, letters) if ok]
             if own:
@@ -123,13 +124,13 @@ class Encoder:
             if own:
                 text = [w[len(_BEGUN) :] if w.startswith(_BEGUN) else " " + w for w in own] if self.keep_blank else own
                 self.words.add(own, *self._plain(text))
-            at[new] = self.words.find(lacking)
+            at[new] = self.words.find([words[k] for k in new.tolist()])
         return at
 
     def _parts(self, pieces: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, list[str]]:
         """Each piece as a word and the number of its closing marks, and all sorts of closing marks; the first is none."""
         word = pc.ascii_rtrim(pieces, characters=_MARKS)
-        whole = pc.invert(pc.match_substring_regex(word, r"(?:[0-9A-Za-z]|^\n?\pL+)$"))
+        whole = pc.invert(pc.match_substring_regex(word, _CLOSED))
         for token in self.special:
             whole = pc.or_(whole, pc.match_substring(pieces, token))
         word = pc.if_else(whole, pieces, word)
@@ -154,7 +155,7 @@ class Encoder:
         else:
             split = pc.ascii_split_whitespace(pc.ascii_lower(found))
         coded = split.flatten().dictionary_encode()
-        at = coded.indices.to_numpy().astype(np.int64)
+        at = coded.indices.to_numpy().copy()
         bounds = split.offsets.to_numpy().astype(np.int64)
         pieces = coded.dictionary
         if self.keep_blank:
@@ -170,14 +171,13 @@ class Encoder:
             word = pc.if_else(pa.array(lined), pc.utf8_slice_codeunits(word, 1), word)
             bare = pa.array(lined | first)
             word = pc.if_else(bare, pc.binary_join_element_wise(pa.scalar(_BEGUN, pa.large_string()), word, pa.scalar("", pa.large_string())), word)
-        words = word.dictionary_encode()
+        if len(self.words.number) > CACHE:
+            self.words = Words()
         extra = [_BEGUN + m for m in [*marks, "\n"]] if self.keep_blank else marks
-        listed = words.dictionary.to_pylist()
-        number = dict(zip(wanted := list(dict.fromkeys([*extra, *listed])), self._numbers(wanted).tolist()))
-        table = self.words
-        parts = [np.fromiter(map(number.get, listed), np.int64, len(listed))[words.indices.to_numpy()], np.array([number[m] for m in extra])[tail]]
+        number, closing, table = self._numbers(word.to_numpy(zero_copy_only=False).tolist()), self._numbers(extra), self.words
+        parts = [number, closing[tail]]
         if self.keep_blank:
-            parts.insert(0, np.where(lined, number[_BEGUN + "\n"], number[_BEGUN]))
+            parts.insert(0, np.where(lined, closing[-1], closing[0]))
         # The ids of a piece are those of its line end, its word and its closing marks.
         which = np.stack(parts, 1).ravel()
         sizes = table.sizes[which]

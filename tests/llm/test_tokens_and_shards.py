@@ -57,6 +57,35 @@ def test_grammar_round_trip(small, offset, data):
     b = data.draw(st.integers(a, len(ids)))
     assert repair.decode_range(stored, a, b).tolist() == ids[a:b].tolist()
     assert (g.lengths >= 2).all()
+    assert not repeated_pairs(g.sequence)
+
+
+def repeated_pairs(sequence):
+    """Pairs with two places or more that do not overlap."""
+    last, n = {}, {}
+    for k, pair in enumerate(zip(sequence.tolist(), sequence.tolist()[1:])):
+        if last.get(pair, -2) < k - 1:
+            last[pair], n[pair] = k, n.get(pair, 0) + 1
+    return [pair for pair, k in n.items() if k > 1]
+
+
+def test_every_rule_is_used_twice():
+    ids = np.random.default_rng(5).integers(0, 9, 5000).astype(np.uint32)
+    g = repair.compress(ids)
+    used = np.bincount(np.concatenate([g.sequence, g.left, g.right]))
+    # Later rounds may replace a pair that holds a rule, so a rule's uses are at least once in a rule or in the sequence.
+    assert len(g.left) and (used[g.base :] >= 1).all()
+    assert not repeated_pairs(g.sequence)
+
+
+def test_random_access_expands_only_what_covers_the_range():
+    ids = np.tile(np.random.default_rng(5).integers(0, 900, 3000).astype(np.uint32), 16)
+    g = repair.compress(ids)
+    for start in (0, 17, 20_000, len(ids) - 5):
+        expanded = []
+        assert repair.decode_range(g, start, start + 5, expanded).tolist() == ids[start : start + 5].tolist()
+        # Of each level of the grammar, the few rules that cover five ids; not the rules of the shard.
+        assert all(n <= 6 for n in expanded) and sum(expanded) < 6 * 40 < len(g.left)
 
 
 def test_grammar_shortens_repeats():
@@ -79,7 +108,7 @@ def test_token_query(spark, sf_dir):
 
 
 def test_small_shards_and_tasks(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(repair, "DOCS_PER_TASK", 30)
+    monkeypatch.setattr(repair, "SHARD_TOKENS", 5000)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     check_shards(sorted(repair.encode_documents(docs, BYTE).collect()), sorted((r["doc_id"], r["text"]) for r in docs.collect()))
 
