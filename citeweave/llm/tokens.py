@@ -26,7 +26,7 @@ _CLOSED = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{
 _loaded: dict[tuple[str, bool], Encoder] = {}
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, ... of every range, one after another."""
     ends = np.cumsum(sizes)
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
@@ -138,7 +138,7 @@ class Encoder:
         closed = np.flatnonzero(size > own)
         raw, offsets = np.frombuffer(pieces.buffers()[2] or b"", np.uint8), np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset :]
         cuts = np.concatenate([[0], np.cumsum((size - own)[closed])])
-        marks = raw[_ranges(offsets[closed] + own[closed], (size - own)[closed])]
+        marks = raw[ranges(offsets[closed] + own[closed], (size - own)[closed])]
         coded = pa.LargeStringArray.from_buffers(len(closed), pa.py_buffer(cuts), pa.py_buffer(marks)).dictionary_encode()
         tail = np.zeros(len(pieces), np.int64)
         tail[closed] = coded.indices.to_numpy() + 1
@@ -181,7 +181,7 @@ class Encoder:
         # The ids of a piece are those of its line end, its word and its closing marks.
         which = np.stack(parts, 1).ravel()
         sizes = table.sizes[which]
-        ids = table.ids[_ranges(table.starts[which], sizes)]
+        ids = table.ids[ranges(table.starts[which], sizes)]
         sizes = sizes.reshape(len(pieces), -1).sum(1)
         starts = np.cumsum(sizes) - sizes
         if self.keep_blank and whole.any():
@@ -190,7 +190,7 @@ class Encoder:
             starts, sizes, ids = np.concatenate([starts, len(ids) + np.cumsum(n_more) - n_more]), np.concatenate([sizes, n_more]), np.concatenate([ids, more])
         times = sizes[at]
         ends = np.concatenate([[0], np.cumsum(times)])
-        return ids[_ranges(starts[at], times)], ends[bounds[1:]]
+        return ids[ranges(starts[at], times)], ends[bounds[1:]]
 
     def documents(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> list[np.ndarray]:
         """The ids of each text with the end id after them."""

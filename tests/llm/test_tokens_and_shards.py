@@ -162,7 +162,7 @@ def test_awkward_packing(spark):
 
 def test_bm25_ranks_by_shared_rare_terms():
     tails = [np.array(x, np.uint32) for x in ([1, 2, 3, 4], [9, 9, 9, 1], [2, 3, 4, 5], [7, 8], [1, 9])]
-    index = packing.Bm25(tails, packing.Packing())
+    index = packing.Bm25(tails, packing.Packing(), packing.corpus_of(tails))
     order = index.neighbours(0).tolist()
     assert order[0] == 0 and order[1] == 2 and 3 not in order
 
@@ -183,3 +183,24 @@ def test_neighbours_share_windows():
     mixed = [x for pair in zip(a, b) for x in pair]
     windows = packing.fill(mixed, packing.Packing(window=4000))
     assert [{k % 2 for k, _, _ in w} for w in windows] == [{0}, {1}]
+
+
+def test_passes_of_a_document_lie_in_different_windows():
+    tails = [np.arange(100, 1100, dtype=np.uint32)] * 2 + [np.arange(3000 + 1000 * k, 4000 + 1000 * k, dtype=np.uint32) for k in range(2)] + [np.arange(100, 2100, dtype=np.uint32)] * 2
+    windows = packing.fill(tails, packing.Packing(window=3000), own=[1, 1, 2, 3, 4, 4])
+    for w in windows:
+        own = [[1, 1, 2, 3, 4, 4][k] for k, _, _ in w]
+        assert len(set(own)) == len(own)
+
+
+def test_like_texts_meet_in_one_shard_of_a_large_table(spark):
+    """Two texts on each of many topics, far apart by doc_id: nearly all partners share a sequence."""
+    rng = np.random.default_rng(1)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(40)] for _ in range(600)]
+    rows = [(k + 1000 * half, " ".join(rng.choice(words[k], 700))) for half in (0, 1) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = packing.pack_documents(docs, WORD, p=packing.Packing(shard_docs=64)).collect()
+    of = {}
+    for r in found:
+        of.setdefault(r["doc_id"], set()).add(r["sequence_id"])
+    assert sum(bool(of[k] & of[k + 1000]) for k in range(600)) > 450
