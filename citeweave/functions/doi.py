@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,10 +26,15 @@ def doi_prefix(doi: Column) -> Column:
     return F.when(doi.like("10.%/%"), F.lower(F.substring_index(doi, "/", 1)))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once a row however often use mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def keep_first(matches: Column, field: str = "id") -> Column:
-    """Drop later elements with an id that an earlier one has. Arrays are per reference, so they are short."""
-    ids = F.transform(matches, lambda m: m[field])
-    return F.filter(matches, lambda m, i: F.array_position(ids, m[field]) == i + 1)
+    """Drop later elements with an id that an earlier one has. Matches, and their ids, are computed once a row."""
+    first = lambda ms, ids: F.filter(ms, lambda m, i: F.array_position(ids, m[field]) == i + 1)
+    return bind(matches, lambda ms: bind(F.transform(ms, lambda m: m[field]), lambda ids: first(ms, ids)))
 
 
 def doi_matches(text: Column) -> Column:

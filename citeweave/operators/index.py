@@ -33,10 +33,8 @@ def with_known_prefix(frame: DataFrame, index: DataFrame, column: str = "cited_i
 
 def prefix_source(frame: DataFrame, a: DataFrame, b: DataFrame, column: str = "cited_id") -> DataFrame:
     """Adds prefix_source: none, crossref, datacite or both, by whose index knows the prefix."""
-    pa = index_prefixes(a).select(F.col("prefix").alias("p"), F.lit(True).alias("in_a"))
-    pb = index_prefixes(b).select(F.col("prefix").alias("p"), F.lit(True).alias("in_b"))
-    known = (
-        F.when(F.col("in_a") & F.col("in_b"), "both").when(F.col("in_a"), "crossref").when(F.col("in_b"), "datacite").otherwise("none")
-    )
+    in_a, in_b = (index_prefixes(x).withColumn("side", F.lit(side)) for x, side in ((a, "crossref"), (b, "datacite")))
+    # One small table of prefixes, so that frame meets one join, broadcast while that table is small.
+    sides = in_a.unionByName(in_b).groupBy(F.col("prefix").alias("p")).agg(F.when(F.count(F.lit(1)) > 1, "both").otherwise(F.min("side")).alias("prefix_source"))
     keyed = frame.withColumn("p", doi_prefix(F.col(column)))
-    return keyed.join(pa, "p", "left").join(pb, "p", "left").withColumn("prefix_source", known).drop("p", "in_a", "in_b")
+    return keyed.join(sides, "p", "left").withColumn("prefix_source", F.coalesce("prefix_source", F.lit("none"))).drop("p")

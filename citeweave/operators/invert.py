@@ -22,11 +22,12 @@ def dedup_edges(edges: DataFrame, keep: str = "first") -> DataFrame:
     return edges.groupBy("citing_doi", "cited_id").agg(best.alias("b")).select("citing_doi", "cited_id", "b.*")
 
 
-def citation_counts(edges: DataFrame, keep: str = "first") -> DataFrame:
-    """Counts only: no list is gathered, so hot works cost no memory."""
+def citation_counts(edges: DataFrame) -> DataFrame:
+    """Counts only: distinct pairs are shuffled without what else an edge has, and no list is gathered."""
     return (
-        dedup_edges(edges, keep)
-        .where(F.col("citing_doi") != F.col("cited_id"))
+        edges.where(F.col("citing_doi") != F.col("cited_id"))
+        .select("citing_doi", "cited_id")
+        .distinct()
         .groupBy("cited_id")
         .agg(F.count("citing_doi").alias("citation_count"), F.count("citing_doi").alias("reference_count"))
     )

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 Resolver = Callable[[str], bool]
 
@@ -83,7 +84,9 @@ def validation_stats(looked_up: DataFrame) -> DataFrame:
 
 def split_by_provenance(citations: DataFrame, asserted: bool) -> DataFrame:
     """Keeps the citing entries of one kind, recounts, drops works left without any. reference_count stays."""
-    is_asserted = lambda x: F.coalesce(x.provenance, F.lit("mined")).isin("publisher", "crossref")
+    opaque = isinstance(citations.schema["cited_by"].dataType.elementType, VariantType)
+    found = lambda x: F.try_variant_get(x, "$.provenance", "string") if opaque else x.provenance
+    is_asserted = lambda x: F.coalesce(found(x), F.lit("mined")).isin("publisher", "crossref")
     kept = F.filter("cited_by", lambda x: is_asserted(x) if asserted else ~is_asserted(x))
     out = citations.withColumn("cited_by", kept)
     return out.withColumn("citation_count", F.size("cited_by").cast("bigint")).where(F.col("citation_count") > 0)

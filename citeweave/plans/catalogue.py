@@ -9,12 +9,13 @@ from citeweave import fixtures
 from citeweave.functions.arxiv import arxiv_doi, normalize_arxiv
 from citeweave.functions.doi import doi_prefix, normalize_doi
 from citeweave.functions.keys import partition_key
-from citeweave.functions.provenance import provenance
+from citeweave.functions.provenance import rank
 from citeweave.operators import index as ix
 from citeweave.operators.extract import extract_edges, search_text
 from citeweave.operators.invert import best_provenance, citation_counts, dedup_edges, invert, split_counts
 from citeweave.operators.stats import extraction_stats, inversion_stats, partition_histogram
 from citeweave.operators.validate import lookup, validation_stats
+from citeweave.plans import stored
 
 
 def _edges(spark: SparkSession, d: str, mode: str = "doi") -> DataFrame:
@@ -49,16 +50,16 @@ KEY = ("citing_doi", "item_ord", "ref_index")
 
 def queries() -> dict:
     idx = {"a": fixtures.index_a, "b": fixtures.index_b}
-    return {
+    return stored.queries() | {
         "search_text": lambda s, d: _refs(s, d).select(*KEY, "text"),
         "doi_extract": lambda s, d: _edges(s, d).select(*KEY, "match_ord", "raw_match", "cited_id"),
         "doi_normalize": lambda s, d: _refs(s, d).select(*KEY, normalize_doi(F.col("text")).alias("normal")),
         "doi_prefix": lambda s, d: _edges(s, d).select("cited_id", doi_prefix(F.col("cited_id")).alias("prefix")).distinct(),
         "partition_key": lambda s, d: _edges(s, d).unionByName(_edges(s, d, "arxiv")).select("cited_id", partition_key(F.col("cited_id")).alias("pkey")).distinct(),
         "arxiv_extract": lambda s, d: _edges(s, d, "arxiv").select(*KEY, "raw_match", "cited_id"),
-        "arxiv_normalize": lambda s, d: _refs(s, d).select(*KEY, normalize_arxiv(F.concat(F.substring("text", 1, 20), F.lit("v3"))).alias("normal")),
+        "arxiv_normalize": lambda s, d: _refs(s, d).select(*KEY, normalize_arxiv(F.concat("text", F.lit("v3"))).alias("normal")),
         "arxiv_doi": lambda s, d: _edges(s, d, "arxiv").select("cited_id", arxiv_doi(F.col("cited_id")).alias("arxiv_doi")).distinct(),
-        "provenance": lambda s, d: _edges(s, d).select(*KEY, "cited_id", "provenance"),
+        "provenance": lambda s, d: _edges(s, d).groupBy("provenance", rank(F.col("provenance")).alias("level")).agg(F.count(F.lit(1)).alias("n_edges")),
         "edges": lambda s, d: _edges(s, d).select(*KEY, "match_ord", "raw_match", "cited_id", "provenance"),
         "self_citation_filter": lambda s, d: _edges(s, d).groupBy("citing_doi").agg(F.count(F.lit(1)).alias("n_edges")),
         "edge_dedup_first": lambda s, d: dedup_edges(_edges(s, d)).select("citing_doi", "cited_id", "raw_match", "provenance", "ref_index"),
@@ -144,9 +145,9 @@ def oracle_sql() -> dict[str, str]:
         "doi_prefix": f"SELECT DISTINCT cited_id, {prefix.format('cited_id')} AS prefix FROM e",
         "partition_key": f"SELECT DISTINCT cited_id, {pkey} AS pkey FROM (SELECT cited_id FROM e UNION ALL SELECT cited_id FROM ea)",
         "arxiv_extract": "SELECT citing_doi, item_ord, ref_index, raw_match, cited_id FROM ea",
-        "arxiv_normalize": f"SELECT citing_doi, item_ord, ref_index, {_arxiv_normal(chr(39).join(('concat(substr(text, 1, 20), ', 'v3', ')')))} AS normal FROM rt",
+        "arxiv_normalize": f"SELECT citing_doi, item_ord, ref_index, {_arxiv_normal("concat(text, 'v3')")} AS normal FROM rt",
         "arxiv_doi": "SELECT DISTINCT cited_id, concat('10.48550/arXiv.', cited_id) AS arxiv_doi FROM ea",
-        "provenance": "SELECT citing_doi, item_ord, ref_index, cited_id, provenance FROM e",
+        "provenance": "SELECT provenance, CASE provenance WHEN 'publisher' THEN 2 WHEN 'crossref' THEN 1 ELSE 0 END AS level, count(*) AS n_edges FROM e GROUP BY ALL",
         "edges": "SELECT * FROM e",
         "self_citation_filter": "SELECT citing_doi, count(*) AS n_edges FROM e GROUP BY 1",
         "edge_dedup_first": "SELECT citing_doi, cited_id, raw_match, provenance, ref_index FROM u",
@@ -172,4 +173,4 @@ def oracle_sql() -> dict[str, str]:
         "validate_stats": "SELECT count(*) AS total, count(*) FILTER (WHERE matched_source = 'crossref') AS crossref_matched, count(*) FILTER (WHERE matched_source = 'datacite') AS datacite_matched, count(*) FILTER (WHERE matched_source IS NULL) AS failed FROM cs",
         "ranked_citations": "SELECT * FROM c ORDER BY citation_count DESC, cited_id",
     }
-    return {k: _with() + v for k, v in selects.items()}
+    return {k: _with() + v for k, v in (selects | stored.oracle_selects(pkey, prefix)).items()}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -13,9 +12,11 @@ from pyspark.sql import functions as F
 from citeweave.operators.extract import explode_references, extract_edges
 from citeweave.operators.invert import invert
 from citeweave.operators.validate import head_resolver, lookup, resolve_unmatched
-from citeweave.sinks.outputs import write_inverted, write_partitioned_edges, write_split
+from citeweave.scratch import scratch
+from citeweave.sinks.outputs import write_partitioned_edges, write_split
 from citeweave.sources.records import read_citations, read_index, read_records, write_index
 from citeweave.sources.works import read_archive, read_directory, works_index
+from citeweave.streaming.manifest import PHASES, Manifest
 
 SOURCES = ("all", "crossref", "datacite", "arxiv")
 
@@ -33,6 +34,8 @@ class PipelineArgs:
     concurrency: int = 50
     timeout: float = 5.0
     keep_intermediates: bool = False
+    #: A run of this name goes on where it ended; its intermediates are kept until it is complete.
+    run_id: str | None = None
     temp_dir: str | None = None
     single_file: bool = False
 
@@ -61,7 +64,7 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _write_results(looked_up: DataFrame, source: str, outputs: dict[str, str], failed: dict[str, str], single: bool) -> None:
+def write_results(looked_up: DataFrame, source: str, outputs: dict[str, str], failed: dict[str, str], single: bool) -> None:
     arxiv, bad = source == "arxiv", looked_up.where(F.col("matched_source").isNull())
     for s in ("crossref", "datacite") if source == "all" else (source,):
         good = looked_up.where(F.col("matched_source") == s) if source == "all" else looked_up.where(F.col("matched_source").isNotNull())
@@ -77,10 +80,20 @@ def run_pipeline(spark: SparkSession, args: PipelineArgs, resolver: Callable[[st
     Works without any match give empty outputs.
     """
     args.check()
-    temp = f"{args.temp_dir or spark.conf.get('spark.checkpoint.dir', None) or '/tmp/citeweave'}/run-{uuid.uuid4().hex}"
-    works = _read_works(spark, args.input)
-    works.write.parquet(f"{temp}/works")  # an archive is sequential: it is read once
-    works = spark.read.parquet(f"{temp}/works")
+    temp = scratch(spark, args.temp_dir)
+    if args.run_id:
+        temp = f"{temp.rpartition('/')[0]}/run-{args.run_id}"
+    run = Manifest.load(spark, f"{temp}/manifest") or Manifest()
+
+    def stage(phase: str, name: str, frame: Callable[[], DataFrame]) -> DataFrame:
+        """Written once; a run that goes on reads what an earlier one finished."""
+        if PHASES.index(run.phase) <= PHASES.index(phase):
+            frame().write.mode("overwrite").option("compression", "zstd").parquet(f"{temp}/{name}")
+            run.advance(PHASES[PHASES.index(phase) + 1])
+            run.save(spark, f"{temp}/manifest")
+        return spark.read.parquet(f"{temp}/{name}")
+
+    works = stage("extract", "works", lambda: _read_works(spark, args.input))  # an archive is sequential: it is read once
     index_a = read_index(spark, args.load_index["crossref"]) if "crossref" in args.load_index else works_index(works)
     index_b = None
     if "datacite" in args.load_index:
@@ -91,17 +104,19 @@ def run_pipeline(spark: SparkSession, args: PipelineArgs, resolver: Callable[[st
     edges = extract_edges(explode_references(works), mode)
     if args.keep_intermediates:
         write_partitioned_edges(edges, f"{temp}/edges")
-    write_inverted(invert(edges, mode), f"{temp}/inverted")
-    inverted = spark.read.parquet(f"{temp}/inverted")
+    inverted = stage("invert", "inverted", lambda: invert(edges, mode))
     if mode == "arxiv":
         cited = inverted.select(F.col("arxiv_doi").alias("doi"), F.col("cited_id").alias("arxiv_id"), "reference_count", "citation_count", "cited_by")
     else:
         cited = inverted.withColumnRenamed("cited_id", "doi")
-    looked_up = lookup(cited, args.source, index_a, index_b)
-    if args.source in args.http_fallback or args.source == "all" and args.http_fallback:
-        looked_up = resolve_unmatched(looked_up, resolver or head_resolver(args.timeout), args.source, args.concurrency)
-    looked_up.write.parquet(f"{temp}/validated")
-    _write_results(spark.read.parquet(f"{temp}/validated"), args.source, args.outputs, args.failed, args.single_file)
+
+    def validated() -> DataFrame:
+        looked_up = lookup(cited, args.source, index_a, index_b)
+        if args.source in args.http_fallback or args.source == "all" and args.http_fallback:
+            looked_up = resolve_unmatched(looked_up, resolver or head_resolver(args.timeout), args.source, args.concurrency)
+        return looked_up
+
+    write_results(stage("validate", "validated", validated), args.source, args.outputs, args.failed, args.single_file)
     for name, index in (("crossref", index_a), ("datacite", index_b)):
         if name in args.save_index and index is not None:
             write_index(index, args.save_index[name])

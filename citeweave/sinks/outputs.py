@@ -6,6 +6,7 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from citeweave.functions.arxiv import arxiv_id_of_doi
 from citeweave.functions.keys import partition_key
@@ -35,7 +36,9 @@ def cited_by_json(cited_by: Column) -> Column:
 
 def to_jsonl(citations: DataFrame, arxiv: bool = False, keep_null_id: bool = False) -> DataFrame:
     """One JSON text per record, in column value."""
-    counts = [F.col("reference_count"), F.col("citation_count"), cited_by_json(F.col("cited_by")).alias("cited_by")]
+    opaque = isinstance(citations.schema["cited_by"].dataType.elementType, VariantType)
+    entries = F.col("cited_by") if opaque else cited_by_json(F.col("cited_by"))
+    counts = [F.col("reference_count"), F.col("citation_count"), entries.alias("cited_by")]
     head = [F.col("doi")]
     if arxiv:
         known = F.coalesce("arxiv_id", arxiv_id_of_doi(F.col("doi"))) if "arxiv_id" in citations.columns else arxiv_id_of_doi(F.col("doi"))
@@ -59,10 +62,10 @@ def write_split(citations: DataFrame, path: str, arxiv: bool = False, single: bo
         write_jsonl(split_by_provenance(citations, kind == "asserted"), split_path(path, kind), arxiv, keep_null_id=True, single=single)
 
 
-def write_partitioned_edges(edges: DataFrame, path: str) -> None:
-    """Keeps edges by partition key. Large keys stay in as many files as tasks hold them."""
+def write_partitioned_edges(edges: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Keeps edges by partition key, or appends to those kept. Large keys stay in as many files as tasks hold them."""
     keyed = edges.withColumn("pkey", partition_key(F.col("cited_id")))
-    keyed.write.mode("overwrite").partitionBy("pkey").option("compression", "zstd").parquet(path)
+    keyed.write.mode(mode).partitionBy("pkey").option("compression", "zstd").parquet(path)
 
 
 def write_inverted(inverted: DataFrame, path: str) -> None:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.operators.index import build_index
-from citeweave.schemas import CITED_BY
 
 
 def _string(variant: str, field: str):
@@ -36,8 +35,11 @@ def write_index(index: DataFrame, path: str) -> None:
 
 
 def read_citations(spark: SparkSession, path: str) -> DataFrame:
-    """Citation records; a malformed line or one without doi, counts or cited_by fails the job."""
-    schema = f"doi string, arxiv_doi string, arxiv_id string, reference_count bigint, citation_count bigint, cited_by {CITED_BY}"
+    """Citation records; a malformed line or one without doi, counts or cited_by fails the job.
+
+    Entries of cited_by are opaque (variants): fields that this engine does not know pass through.
+    """
+    schema = "doi string, arxiv_doi string, arxiv_id string, reference_count bigint, citation_count bigint, cited_by array<variant>"
     lines = spark.read.text(path).where(F.trim("value") != "")
     rows = lines.select("value", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("value", "r.*")
     doi = F.coalesce("doi", "arxiv_doi")

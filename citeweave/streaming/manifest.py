@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from citeweave.functions.keys import partition_key
 from citeweave.operators.extract import extract_edges
 from citeweave.schemas import REFS
 
@@ -39,16 +40,32 @@ class Manifest:
             raise ValueError(f"a run does not go back from {self.phase} to {phase}")
         self.phase = phase
 
-    def save(self, path: str) -> None:
-        target = Path(path)
-        part = target.with_suffix(".part")
-        part.write_text(json.dumps(asdict(self), indent=2))
-        part.replace(target)
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Writes a new folder beside the last one, in whatever store; the one of the highest number holds."""
+        n = max(_saved(spark, path), default=0) + 1
+        spark.createDataFrame([(json.dumps(asdict(self), indent=2),)], "value string").coalesce(1).write.option("lineSep", "\0").text(f"{path}/{n:08d}")
 
     @classmethod
-    def load(cls, path: str) -> Manifest | None:
-        source = Path(path)
-        return cls(**json.loads(source.read_text())) if source.exists() else None
+    def load(cls, spark: SparkSession, path: str) -> Manifest | None:
+        found = _saved(spark, path)
+        if not found:
+            return None
+        text = spark.read.text(f"{path}/{max(found):08d}", wholetext=True).where(F.trim("value") != "").first()[0]
+        return cls(**json.loads(text.rstrip("\0")))
+
+
+def _saved(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the saves that were finished."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath() for f in store.listStatus(target)] if store.exists(target) else []
+    return [int(p.getName()) for p in names if store.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+
+
+def pending_edges(edges: DataFrame, manifest: Manifest) -> DataFrame:
+    """Edges of the partition keys that a run has not inverted yet."""
+    done = edges.sparkSession.createDataFrame([(k,) for k in manifest.partitions_inverted], "done string")
+    return edges.join(done, partition_key(F.col("cited_id")) == F.col("done"), "left_anti")
 
 
 def stream_edges(spark: SparkSession, source: str, sink: str, checkpoint: str, mode: str = "doi") -> StreamingQuery:
