@@ -24,9 +24,8 @@ class Mixing:
     target_entropy: float | None = None
     max_repetition: float | None = 1.5
     seed: int = 7
-    block_tokens: int = 65_536
-    #: Blocks of a source at most, which bounds the table of blocks.
-    max_blocks: int = 1024
+    #: Blocks of every source, whatever its size: a block is about a thousandth of its source, or one document.
+    blocks: int = 1024
 
 
 def count_tokens(text: Column) -> Column:
@@ -65,10 +64,12 @@ def bisect_exponent(sources: DataFrame, m: Mixing, rounds: int = 6) -> float:
 
 
 def plan_mixture(counted: DataFrame, m: Mixing) -> DataFrame:
-    """source_key, tokens, weight, passes, blocks, cut: what each source contributes. counted: doc_id, source_key, n_tokens.
+    """source_key, tokens, weight, passes, cut, more: what each source contributes. counted: doc_id, source_key, n_tokens.
 
     passes is the budget of a source over its tokens. The last, partial pass takes the blocks whose rank hash is at
-    most cut: the longest beginning of its permutation that keeps to the budget within half a block.
+    most cut, the longest beginning of its permutation that keeps to the budget, and the blocks in more: of those behind,
+    again and again the longest run of blocks that fit into what is left, until none fits. So a source misses its budget
+    by less than its smallest block that is left out.
     """
     sources = counted.groupBy("source_key").agg(F.sum("n_tokens").alias("tokens"))
     total = sources.agg(F.sum("tokens")).first()[0] or 0
@@ -81,20 +82,30 @@ def plan_mixture(counted: DataFrame, m: Mixing) -> DataFrame:
         "source_key", "tokens",
         (F.pow("p", F.lit(a)) / z).alias("weight"),
         F.greatest(F.lit(1.0), F.pow("p", F.lit(a - 1)) * most).alias("passes"),
-        F.least(F.lit(m.max_blocks), F.ceil(F.col("tokens") / m.block_tokens)).cast("int").alias("blocks"),
     )
-    blocks = counted.join(sources, "source_key").groupBy("source_key", _block(m, F.col("blocks")).alias("block")).agg(F.sum("n_tokens").alias("n"), F.first("passes").alias("passes"), F.first("tokens").alias("tokens"))
+    blocks = counted.groupBy("source_key", _block(m).alias("block")).agg(F.sum("n_tokens").alias("n")).join(sources, "source_key")
     last = F.floor("passes")
-    ranked = blocks.withColumn("rank", _rank(m, F.col("source_key"), F.col("block"), last))
-    # A source has max_blocks rows here at most, whatever its size.
+    budget = (F.col("passes") - last) * F.col("tokens")
+    # A source has m.blocks rows here, whatever its size.
+    open_ = store(blocks.select("source_key", "block", "n", _rank(m, F.col("source_key"), F.col("block"), last).alias("rank"), budget.alias("left"), F.lit(0).alias("round")))
     running = F.expr("sum(n) OVER (PARTITION BY source_key ORDER BY rank, block ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
-    within = running - F.col("n") / 2 <= (F.col("passes") - last) * F.col("tokens")
-    cuts = ranked.withColumn("within", within).where("within").groupBy("source_key").agg(F.max("rank").alias("cut"))
-    return store(sources.join(cuts, "source_key", "left").withColumn("cut", F.coalesce("cut", F.lit(-1.0))))
+    taken = None
+    for k in range(m.blocks):
+        placed = open_.withColumn("fits", running <= F.col("left"))
+        new = placed.where("fits").select("source_key", "block", "rank", F.lit(k).alias("round"))
+        used = placed.where("fits").groupBy("source_key").agg(F.sum("n").alias("used"))
+        rest = placed.where("NOT fits").drop("fits").join(used, "source_key", "left").withColumn("left", F.col("left") - F.coalesce("used", F.lit(0))).drop("used")
+        taken = new if taken is None else taken.unionByName(new)
+        open_, taken = store(rest.where("n <= left")), store(taken)
+        if open_.isEmpty():
+            break
+    cuts = taken.groupBy("source_key").agg(F.max(F.when(F.col("round") == 0, F.col("rank"))).alias("cut"), F.collect_list(F.when(F.col("round") > 0, F.col("block"))).alias("more"))
+    joined = sources.join(cuts, "source_key", "left")
+    return store(joined.withColumn("cut", F.coalesce("cut", F.lit(-1.0))).withColumn("more", F.coalesce("more", F.array().cast("array<int>"))))
 
 
-def _block(m: Mixing, blocks: Column) -> Column:
-    return F.floor(_unit(F.lit(m.seed), "doc_id") * blocks).cast("int")
+def _block(m: Mixing) -> Column:
+    return F.floor(_unit(F.lit(m.seed), "doc_id") * m.blocks).cast("int")
 
 
 def _rank(m: Mixing, source: Column, block: Column, epoch: Column) -> Column:
@@ -116,9 +127,9 @@ def mix(docs: DataFrame, m: Mixing = Mixing()) -> DataFrame:
         own = f"_{own}"
     at = lambda name: F.col(own + name)
     plan = plan_mixture(counted, m)
-    joined = docs.join(plan.select(*[F.col(c).alias(own + c) for c in plan.columns]), key == at("source_key")).withColumn(own + "block", _block(m, at("blocks")))
+    joined = docs.join(plan.select(*[F.col(c).alias(own + c) for c in plan.columns]), key == at("source_key")).withColumn(own + "block", _block(m))
     last = F.floor(at("passes"))
-    partial = _rank(m, at("source_key"), at("block"), last) <= at("cut")
+    partial = (_rank(m, at("source_key"), at("block"), last) <= at("cut")) | F.array_contains(at("more"), at("block"))
     uses = F.when(partial & (at("passes") > last), last).otherwise(last - 1)
     used = joined.withColumn(own + "epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), uses.cast("bigint"))))
     slot = (at("epoch") + _rank(m, at("source_key"), at("block"), at("epoch"))) / at("passes")
@@ -127,7 +138,11 @@ def mix(docs: DataFrame, m: Mixing = Mixing()) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, m: Mixing = Mixing()) -> DataFrame:
-    """Documents as often as the mixture uses them, with their own columns."""
+    """Documents as often as the mixture uses them, with their own columns, dealt out and sorted by mix_slot.
+
+    So every file of the result, and their order, holds the mixture; slots are hashes, and thus no range of them is hot.
+    """
     clashing = {c: f"_{c}" for c in docs.columns if c.startswith("mix_")}
-    renamed = mix(docs.withColumnsRenamed(clashing), m)
-    return renamed.select(*[F.col(clashing.get(c, c)).alias(c) for c in docs.columns])
+    mixed = mix(docs.withColumnsRenamed(clashing), m)
+    ordered = mixed.repartitionByRange("mix_slot", F.xxhash64("doc_id")).sortWithinPartitions("mix_slot", F.xxhash64("doc_id"))
+    return ordered.select(*[F.col(clashing.get(c, c)).alias(c) for c in docs.columns])
