@@ -30,24 +30,55 @@ def _chunk(kind: bytes, data: bytes) -> bytes:
     return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
 
 
-def encode_png(pixels: np.ndarray, row_filter: int = NONE, level: int = 1) -> bytes:
-    """8-bit image (height, width) or (height, width, channels) as PNG. row_filter: none, sub or up for all rows."""
-    image = pixels.reshape(*pixels.shape[:2], -1)
-    height, width, channels = image.shape
-    rows = image.reshape(height, -1)
-    if row_filter == SUB:
-        rows = rows.copy()
-        rows[:, channels:] -= image.reshape(height, -1)[:, :-channels]
-    elif row_filter == UP:
-        rows = rows.copy()
-        rows[1:] -= image.reshape(height, -1)[:-1]
-    raw = np.empty((height, rows.shape[1] + 1), np.uint8)
-    raw[:, 0], raw[:, 1:] = row_filter, rows
+def _predicted(kind: int, left: np.ndarray, up: np.ndarray, corner: np.ndarray) -> np.ndarray:
+    """What a filter expects of samples, from those on the left, above, and above on the left (int16)."""
+    if kind == SUB:
+        return left
+    if kind == UP:
+        return up
+    if kind == AVERAGE:
+        return (left + up) >> 1
+    if kind == PAETH:
+        a, b = np.abs(up - corner), np.abs(left - corner)
+        c = np.abs(left + up - 2 * corner)
+        return np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
+    return np.zeros_like(left)
+
+
+def filter_rows(rows: np.ndarray, first: np.ndarray, channels: int, kind: int | None = None) -> np.ndarray:
+    """Rows of images of one width, one after another, each behind the number of its filter. first: where an image begins.
+
+    Without a kind, each row gets the filter whose result, read as signed bytes, has the least sum of sizes (ties: the
+    lower number).
+    """
+    here = rows.astype(np.int16)
+    up = np.zeros_like(here)
+    up[1:] = here[:-1]
+    up[first] = 0
+    left, corner = (np.pad(x, ((0, 0), (channels, 0)))[:, : x.shape[1]] for x in (here, up))
+    best, cost = np.empty((len(rows), rows.shape[1] + 1), np.uint8), np.full(len(rows), np.iinfo(np.int64).max)
+    for k in range(PAETH + 1) if kind is None else (kind,):
+        made = (here - _predicted(k, left, up, corner)).astype(np.uint8)
+        size = np.abs(made.view(np.int8).astype(np.int16)).sum(1, dtype=np.int64)
+        better = size < cost
+        best[better, 0], best[better, 1:], cost[better] = k, made[better], size[better]
+    return best
+
+
+def _file(raw: np.ndarray, width: int, channels: int, level: int) -> bytes:
     colour = {n: c for c, n in CHANNELS.items()}[channels]
-    head = struct.pack(">IIBBBBB", width, height, 8, colour, 0, 0, 0)
+    head = struct.pack(">IIBBBBB", width, len(raw), 8, colour, 0, 0, 0)
     return SIGNATURE + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(raw.tobytes(), level)) + _chunk(b"IEND", b"")
 
 
+def encode_png(pixels: np.ndarray, row_filter: int | None = None, level: int = 1) -> bytes:
+    """8-bit image (height, width) or (height, width, channels) as PNG. row_filter: one for all rows, or the best of each."""
+    image = pixels.reshape(*pixels.shape[:2], -1)
+    height, width, channels = image.shape
+    raw = filter_rows(image.reshape(height, -1), np.arange(1), channels, row_filter)
+    return _file(raw, width, channels, level)
+
+
 def chunks(png: bytes) -> Iterator[tuple[bytes, bytes]]:
     """(kind, data) of every chunk; raises when a checksum or length is wrong."""
     if png[:8] != SIGNATURE:
@@ -66,63 +97,102 @@ def chunks(png: bytes) -> Iterator[tuple[bytes, bytes]]:
         at = end + 4
 
 
-def _predictor(a: int, b: int, c: int) -> int:
-    p = a + b - c
-    return min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+def unfilter(raw: np.ndarray, channels: int, first: np.ndarray | None = None) -> np.ndarray:
+    """Rows of images of one width, one after another, without their filters. first: where an image begins.
 
-
-def unfilter(raw: np.ndarray, channels: int) -> np.ndarray:
-    """Rows without their filters. None, sub and runs of up are array sums; average and Paeth go by pixel."""
-    kinds, rows = raw[:, 0], raw[:, 1:].copy()
+    A sample hangs on those left, above, and above on the left, so all samples of one diagonal, of all images, are
+    made at once.
+    """
+    kinds, rows = raw[:, 0].astype(np.int64), raw[:, 1:]
     if (kinds > PAETH).any():
         raise MediaError("unknown filter")
     if not kinds.any():
-        return rows
-    width, y = rows.shape[1] // channels, 0
-    while y < len(rows):
-        kind, end = kinds[y], y + 1
-        if kind in (NONE, SUB, UP):
-            while end < len(rows) and kinds[end] == kind:
-                end += 1
-        above = rows[y - 1] if y else np.zeros(rows.shape[1], np.uint8)
-        if kind == SUB:
-            part = rows[y:end].reshape(end - y, width, channels)
-            rows[y:end] = np.cumsum(part, axis=1, dtype=np.uint8).reshape(end - y, -1)
-        elif kind == UP:
-            rows[y:end] = np.cumsum(rows[y:end], axis=0, dtype=np.uint8) + above
-        elif kind in (AVERAGE, PAETH):
-            line, up = rows[y].tolist(), above.tolist()
-            for x in range(len(line)):
-                a, c = (line[x - channels], up[x - channels]) if x >= channels else (0, 0)
-                line[x] = (line[x] + ((a + up[x]) // 2 if kind == AVERAGE else _predictor(a, up[x], c))) & 255
-            rows[y] = line
-        y = end
-    return rows
-
-
-def decode_png(png: bytes) -> np.ndarray:
-    """Pixels (height, width, channels) of an 8-bit image that is not interlaced; tests every checksum."""
+        return rows.copy()
+    first = np.arange(1) if first is None else first
+    n, width = len(rows), rows.shape[1] // channels
+    starts = np.zeros(n, np.int64)
+    starts[first] = first
+    depth = np.arange(n) - np.maximum.accumulate(starts)  # rows above in the same image
+    by = np.argsort(depth, kind="stable")
+    ends = np.searchsorted(depth[by], np.arange(int(depth.max()) + width + 1), "right")
+    # Behind a column of zeros, and a row of zeros that is above all first rows.
+    out = np.zeros((n + 1, width + 1, channels), np.int16)
+    given = rows.reshape(n, width, channels).astype(np.int16)
+    above = np.where(depth > 0, np.arange(n) - 1, n)
+    for d in range(int(depth.max()) + width):
+        at = by[ends[d - width] if d >= width else 0 : ends[d]]
+        x = d - depth[at]
+        left, up, corner = out[at, x], out[above[at], x + 1], out[above[at], x]
+        kind = kinds[at]
+        guess = np.zeros_like(left)
+        for k in range(SUB, PAETH + 1):
+            own = np.flatnonzero(kind == k)
+            if len(own):
+                guess[own] = _predicted(k, left[own], up[own], corner[own])
+        out[at, x + 1] = (given[at, x] + guess) & 255
+    return out[:n, 1:].reshape(n, -1).astype(np.uint8)
+
+
+def _scanlines(png: bytes) -> tuple[np.ndarray, int, int]:
+    """Filtered rows, width and channels; tests every checksum and everything that the header states."""
     head, data, ended = None, [], False
-    for kind, body in chunks(png):
+    for k, (kind, body) in enumerate(chunks(png)):
+        if ended:
+            raise MediaError("bytes behind the end")
+        if (kind == b"IHDR") != (k == 0):
+            raise MediaError("header is not the first chunk")
         if kind == b"IHDR":
+            if len(body) != 13:
+                raise MediaError("wrong header")
             head = struct.unpack(">IIBBBBB", body)
         elif kind == b"IDAT":
             data.append(body)
         elif kind == b"IEND":
             ended = True
+        elif not kind[0] & 32:
+            raise MediaError(f"unknown critical chunk {kind!r}")
     if head is None or not ended:
         raise MediaError("no header or end")
-    width, height, depth, colour, _, _, interlaced = head
-    if depth != 8 or colour not in CHANNELS or interlaced:
-        raise MediaError("only 8-bit images that are not interlaced")
-    channels = CHANNELS[colour]
+    width, height, depth, colour, compression, filters, interlaced = head
+    if depth != 8 or colour not in CHANNELS or interlaced or compression or filters or not width or not height:
+        raise MediaError("only 8-bit images that are not interlaced, of the standard methods")
+    size = height * (width * CHANNELS[colour] + 1)
+    stream = zlib.decompressobj()
     try:
-        raw = np.frombuffer(zlib.decompress(b"".join(data)), np.uint8)
+        raw = stream.decompress(b"".join(data), size + 1)  # never more than the header states
     except zlib.error as e:
         raise MediaError(str(e)) from e
-    if len(raw) != height * (width * channels + 1):
+    if len(raw) != size or not stream.eof or stream.unused_data:
         raise MediaError("wrong amount of data")
-    return unfilter(raw.reshape(height, -1), channels).reshape(height, width, channels)
+    return np.frombuffer(raw, np.uint8).reshape(height, -1), width, CHANNELS[colour]
+
+
+def decode_many(pngs: list[bytes]) -> list[np.ndarray | str]:
+    """Pixels (height, width, channels) of each 8-bit image, or what is wrong with it. Images of one form are unfiltered together."""
+    out: list[np.ndarray | str] = [""] * len(pngs)
+    forms: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
+    for k, png in enumerate(pngs):
+        try:
+            raw, width, channels = _scanlines(png)
+            if (raw[:, 0] > PAETH).any():
+                raise MediaError("unknown filter")
+            forms.setdefault((width, channels), []).append((k, raw))
+        except (MediaError, struct.error) as e:
+            out[k] = str(e)
+    for (width, channels), held in forms.items():
+        heights = np.array([len(raw) for _, raw in held])
+        rows = unfilter(np.concatenate([raw for _, raw in held]), channels, np.cumsum(heights) - heights)
+        for (k, _), part in zip(held, np.split(rows, np.cumsum(heights)[:-1])):
+            out[k] = part.reshape(len(part), width, channels)
+    return out
+
+
+def decode_png(png: bytes) -> np.ndarray:
+    """Pixels (height, width, channels) of an 8-bit image that is not interlaced; tests every checksum."""
+    pixels = decode_many([png])[0]
+    if isinstance(pixels, str):
+        raise MediaError(pixels)
+    return pixels
 
 
 GRID, LOW = 32, 8
@@ -152,13 +222,19 @@ def payload_image(text: bytes) -> np.ndarray:
 
 
 def to_media(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds a binary column media: each whole text (null: empty) as a PNG. A column media of docs is replaced."""
+    """Adds a binary column media: each whole text (null: empty) as a PNG, each row with the filter that suits it.
+
+    A column media of docs is replaced, other columns stay; an empty table gives no rows. A very long text is one image.
+    """
     kept = [c for c in docs.columns if c != "media"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in blocks(batches, text=text):
             raw, at = data.tobytes(), offsets.tolist()
-            made = pa.array([encode_png(payload_image(raw[a:b])) for a, b in zip(at, at[1:])], pa.binary())
+            images = [payload_image(raw[a:b]) for a, b in zip(at, at[1:])]
+            heights = np.array(list(map(len, images)))
+            filtered = np.split(filter_rows(np.concatenate(images), np.cumsum(heights) - heights, 1), np.cumsum(heights)[:-1])
+            made = pa.array([_file(x, WIDTH, 1, 1) for x in filtered], pa.binary())
             yield pa.RecordBatch.from_arrays([*rows.columns, made], [*kept, "media"])
 
     schema = docs.select(*kept).schema.add("media", "binary")
@@ -172,14 +248,12 @@ def describe_media(frame: DataFrame, keys: list[str], media: str = "media") -> D
     """
     added = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "phash": pa.binary(), "error": pa.string()}
 
-    def one(png: bytes | None) -> tuple:
+    def one(png: bytes | None, pixels: np.ndarray | str) -> tuple:
         if png is None:
             return (None,) * 7 + ("no image",)
         stored = (len(png), hashlib.sha256(png).hexdigest())
-        try:
-            pixels = decode_png(png)
-        except (MediaError, struct.error) as e:
-            return (None, None, None, *stored, None, None, str(e))
+        if isinstance(pixels, str):
+            return (None, None, None, *stored, None, None, pixels)
         payload = pixels.tobytes()
         low = cosine_hash(pixels)
         return (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *stored, low.hex(), low, None)
@@ -188,7 +262,8 @@ def describe_media(frame: DataFrame, keys: list[str], media: str = "media") -> D
         for batch in batches:
             for a in range(0, len(batch), 256):
                 part = batch.slice(a, 256)
-                cols = list(zip(*[one(v.as_py()) for v in part.column(len(keys))]))
+                found = part.column(len(keys)).to_pylist()
+                cols = list(zip(*map(one, found, decode_many([v or b"" for v in found]))))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], *[pa.array(c, t) for c, t in zip(cols, added.values())]], [*keys, *added])
 
     schema = frame.select(*keys).schema
@@ -198,6 +273,10 @@ def describe_media(frame: DataFrame, keys: list[str], media: str = "media") -> D
 
 
 def text_media(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes and the media columns of every document; narrow, no shuffle. Equal texts give equal values."""
+    """doc_id, n_bytes and the media columns of every document; narrow, no shuffle. Equal texts give equal values.
+
+    A null text counts as empty; a very long one is one image. Rows of a repeated doc_id are described each. An empty
+    table gives no rows. Only doc_id and text are read, so other columns may have any name.
+    """
     sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), "text")
     return describe_media(to_media(sized), ["doc_id", "n_bytes"])
