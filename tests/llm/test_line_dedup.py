@@ -13,8 +13,8 @@ from citeweave.llm.line_dedup import Chunking, chunk_lines
 from .common import awkward, empty, words
 
 
-def plain(texts, c):
-    """{doc_id: (text, lines removed)} by dictionaries over the bytes of chunks."""
+def plain(texts, c, avoid=frozenset()):
+    """{doc_id: (text, lines removed)} by dictionaries over the bytes of chunks; those in avoid stay."""
     parts, first = {}, {}
     for d, t in texts:
         if t is None:
@@ -34,8 +34,8 @@ def plain(texts, c):
         kept, gone, here = [], 0, set()
         for p in parts[d]:
             key = tuple(p)
-            eligible = sum(bool(words(x)) for x in p) >= c.least_lines and len("\n".join(p).encode()) >= c.least_bytes
-            if eligible and count[key] > 1 and (first[key] != d or key in here):
+            eligible = (sum(bool(words(x)) for x in p) >= c.least_lines or sum(len(x.split()) for x in p) >= c.long_words) and len("\n".join(p).encode()) >= c.least_bytes
+            if eligible and key not in avoid and count[key] > 1 and (first[key] != d or key in here):
                 gone += len(p)
             else:
                 kept += p
@@ -77,20 +77,46 @@ def test_boundaries_shift_with_content(lines, before):
     shifted = chunk_lines(before + lines, c)
     ends = {b for _, b in alone[:-1]}
     moved = {b - len(before) for _, b in shifted[:-1]}
-    # From the first boundary that both have, all are the same.
-    both = sorted(ends & moved)
+    # From the first boundary that both have behind a whole window, all are the same.
+    both = sorted(b for b in ends & moved if b >= c.window)
     if both:
         assert {b for b in ends if b >= both[0]} == {b for b in moved if b >= both[0]}
 
 
-def test_equal_hashes_with_other_bytes_stay(spark, monkeypatch):
-    import hashlib
-
-    texts = [(k, f"first line of chunk {k} with enough bytes to count as one\nsecond line of chunk {k} with enough bytes too") for k in range(6)]
+def test_equal_hashes_with_other_bytes_stay(spark):
+    """A hash of one byte: different chunks meet under it, and all that do are left alone."""
+    r, c = random.Random(5), Chunking(digest_size=1)
+    pool = [f"line {k} of the pool with enough bytes to count {r.random()}" for k in range(60)]
+    texts = [(d, "\n".join(pool[k] for k in (r.randrange(0, 50) + j for j in range(8)) if k < 60)) for d in range(120)]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
-    found = line_dedup._occurrences(docs, Chunking())
-    assert found.count() >= 6 and hashlib.blake2b
-    assert {r["n_removed"] for r in line_dedup.dedup_lines(docs).collect()} == {0}
+    under = {}
+    for _, t in texts:
+        for a, b, h, raw in line_dedup._chunks(t, c)[1]:
+            if h:
+                under.setdefault(h, set()).add(raw)
+    avoid = {tuple(raw.decode().split("\n")) for found in under.values() if len(found) > 1 for raw in found}
+    alone = {tuple(raw.decode().split("\n")) for found in under.values() if len(found) == 1 for raw in found}
+    assert avoid and alone
+    got = {x["doc_id"]: (x["text"], x["n_removed"]) for x in line_dedup.dedup_lines(docs, c).collect()}
+    assert got == plain(texts, c, avoid) != plain(texts, c)
+
+
+def test_long_lines_are_passages(spark):
+    """A line of 50 words goes wherever it stands again: first, last, between others, behind a blank line."""
+    passage = " ".join(f"word{k}" for k in range(50))
+    texts = [(1, f"own one\n{passage}\nown two"), (2, f"{passage}\nother"), (3, f"other start\n{passage}"), (4, f"some\nlines\n\n{passage}\n\nend"), (5, passage)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert got == {1: texts[0][1], 2: "other", 3: "other start", 4: "some\nlines\n\n\nend", 5: ""}
+
+
+def test_rolling_hash_is_that_of_the_window():
+    r = random.Random(1)
+    lines = [f"line {r.random()}" for _ in range(300)]
+    cuts = lambda x: {b for _, b in chunk_lines(x, Chunking(least_lines=1))}
+    whole = cuts(lines)
+    for k in range(3, 300, 7):
+        # Whether a chunk ends behind line k hangs on it and the two before alone.
+        assert (k + 1 in whole) == (3 in cuts(lines[k - 2 : k + 1] + ["x"]))
 
 
 @pytest.mark.parametrize("verify", [True, False])
