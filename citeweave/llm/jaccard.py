@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import blocks, mix64, store, windows, word_hashes
@@ -21,8 +21,10 @@ from citeweave.llm.graph import components
 
 #: Shingles that are put last, at most (8 MB broadcast). Which these are changes the work, never the links.
 MAX_FREQUENT = 1 << 20
-#: Shingles in a bucket. Larger buckets are dealt by pairs of shares, which together hold every pair.
+#: Shingles in a bucket, where a set counts for LEAST_WEIGHT at least, so that its pairs are bounded too (2^25). Larger
+#: buckets are dealt by pairs of shares, which together hold every pair.
 BUCKET_SHINGLES = 1 << 19
+LEAST_WEIGHT = 64
 SKETCH_BITS = 512
 
 
@@ -215,6 +217,10 @@ def bucket_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return [(x, y) for x in rank for y in trie.link(x, percent)]
 
 
+def _weight() -> Column:
+    return F.greatest("n", F.lit(LEAST_WEIGHT))
+
+
 def _candidate_rows(prefixes: DataFrame) -> DataFrame:
     """(bucket, d1, d2, n) in buckets of at least two different sets, each bucket of the same members once.
 
@@ -224,8 +230,9 @@ def _candidate_rows(prefixes: DataFrame) -> DataFrame:
     several = counted.where("lo <> hi").select("tok")
     rows = store(prefixes.join(several, "tok").dropDuplicates(["tok", "d1", "d2"]))
     h = F.xxhash64("d1", "d2")
-    buckets = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("shingles"), F.bit_xor(h).alias("x"), F.sum(F.xxhash64("d2", "d1") / 2).cast("decimal(38,0)").alias("y"))
-    chosen = buckets.groupBy("c", "shingles", "x").agg(F.min("tok").alias("tok"))
+    buckets = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("c"), F.sum(_weight()).alias("shingles"), F.bit_xor(h).alias("x"), F.sum(F.xxhash64("d2", "d1") / 2).cast("decimal(38,0)").alias("y"))
+    # One of the buckets of the same members: their number, size and two sums of independent hashes agree.
+    chosen = buckets.groupBy("c", "shingles", "x", "y").agg(F.min("tok").alias("tok"))
     return rows.join(chosen.select("tok", "c", "shingles"), "tok")
 
 
@@ -236,7 +243,7 @@ def _dealt(rows: DataFrame, percent: int) -> DataFrame:
     level = F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int")
     levels = F.when(small, F.array(F.lit(-1))).otherwise(F.array(level, level + 1))
     by_level = rows.withColumn("level", F.explode(levels))
-    weight = by_level.groupBy("tok", "level").agg(F.sum("n").alias("w"))
+    weight = by_level.groupBy("tok", "level").agg(F.sum(_weight()).alias("w"))
     weighed = by_level.join(weight, ["tok", "level"])
     shares = F.when(small, F.lit(1)).otherwise(F.ceil(2 * F.col("w") / BUCKET_SHINGLES).cast("int"))
     own = F.pmod(F.xxhash64("d2", "d1"), F.col("shares")).cast("int")
@@ -309,7 +316,7 @@ def _regrouped(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
     roots = components(pairs.select("a", "b"))
     both = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
     named = both.join(firsts.select(F.col("first").alias("node"), "d1", "d2", "n"), "node")
-    weight = named.groupBy("root").agg(F.sum("n").alias("w"))
+    weight = named.groupBy("root").agg(F.sum(_weight()).alias("w"))
     weighed = store(named.join(weight, "root"))
     small = weighed.where(F.col("w") <= BUCKET_SHINGLES).select(F.xxhash64(F.lit(1), "root").alias("bucket"), F.col("node").alias("doc_id"), "d1", "d2")
     rows = pairs.select("bucket", F.col("a").alias("node")).union(pairs.select("bucket", "b")).distinct()
@@ -348,7 +355,8 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
     Documents link when 100 * overlap >= percent * union. Null and empty texts have an empty set and link with nothing;
     equal sets link. component_id is the least doc_id that links reach. Rows of a repeated doc_id are treated as documents
-    of their own that share that id. Columns other than doc_id and text are not read.
+    of their own that share that id; a row without doc_id is left out, as no link can name it. Very long texts are sets like
+    others. An empty table gives no rows. Columns other than doc_id and text are not read, so they may have any name.
     """
     sets, frequent = shingle_sets(docs, join)
     firsts = store(sets.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("sketch").alias("sketch")))
@@ -365,6 +373,9 @@ def link_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """The documents without those that another of their component stands for; the least doc_id stays."""
+    """The documents without those that another of their component stands for; the least doc_id stays, with its repeated rows.
+
+    Rows without doc_id stay. An empty table gives no rows; all columns of docs stay, whatever their names.
+    """
     rest = link_components(docs, join).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(rest, "doc_id", "left_anti").select(docs.columns)
