@@ -64,11 +64,13 @@ _WIDER = 4
 
 
 def _kind(match: Column) -> Column:
-    out = F.lit(None).cast("string")
+    """Null for a long number whose last digit checks nothing: that is no card, and stays."""
+    number = _luhn(F.regexp_replace(match, r"\D", "")) == 0
+    out = F.when(match.rlike(rf"^(?:{PATTERNS['card']})$") & number, "card")
     for kind, pattern in reversed(PATTERNS.items()):
-        out = F.when(match.rlike(rf"^(?:{pattern})$"), kind).otherwise(out)
-    # A number in its context may lack it alone; what matched at all is of some kind.
-    return F.coalesce(out, F.lit("card"))
+        if kind != "card":
+            out = F.when(match.rlike(rf"^(?:{pattern})$"), kind).otherwise(out)
+    return out
 
 
 def _gender(match: Column) -> Column:
@@ -116,7 +118,7 @@ def _units(match: Column) -> Column:
 
     def found(kind: Column) -> Column:
         norm = F.when(kind == "email", F.lower(match)).when(kind.isin("ip", "secret"), match).when(kind == "ip6", _expanded(match)).when(kind == "phone", phone).otherwise(plain)
-        return F.when(kind == "name", names).otherwise(F.array(unit(kind, norm)))
+        return F.when(kind.isNull(), F.slice(names, 1, 0)).when(kind == "name", names).otherwise(F.array(unit(kind, norm)))
 
     return _let(_kind(match), found)
 
@@ -167,6 +169,20 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
 
 
+def _mod97(country: Column, check: Column, rest: Column) -> Column:
+    """The remainder that is 1 for a valid account number: letters count from 10, country and check digits stand last."""
+    value = lambda c: F.when(c.rlike(r"^\d$"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    step = lambda a, c: F.pmod(a * F.when(c.rlike(r"^\d$"), 10).otherwise(100) + F.coalesce(value(c), F.lit(0)), F.lit(97))
+    return F.aggregate(F.split(F.concat(rest, country, check), ""), F.lit(0), step)
+
+
+def _iban(norm: Column, drawn: Column) -> Column:
+    country, rest = F.substring(norm, 1, 2), drawn.substr(F.lit(5), F.length(norm))
+    held = _mod97(country, F.substring(norm, 3, 2), norm.substr(F.lit(5), F.length(norm))) == 1
+    check = F.lpad((98 - _mod97(country, F.lit("00"), rest)).cast("string"), 2, "0")
+    return F.concat(country, F.when(held, check).otherwise(F.substring(drawn, 3, 2)), rest)
+
+
 def _name(kind: Column, norm: Column, stream: Column, attempt: Column) -> Column:
     script = F.when(norm.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(norm.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
     gender = F.substring_index(kind, "_", -1)
@@ -207,7 +223,7 @@ def _drawn(kind: Column, norm: Column, attempt: Column, s: Column) -> Column:
         .when(kind == "phone", F.concat(code, drawn.substr(F.length(code) + 1, F.length(norm))))
         .when(kind == "secret", F.when(norm == F.upper(norm), F.upper(hexes)).otherwise(hexes))
         .when(kind == "card", card)
-        .when(kind == "iban", F.concat(F.substring(norm, 1, 2), drawn.substr(F.lit(3), F.length(norm))))
+        .when(kind == "iban", _iban(norm, drawn))
         .when(kind.startswith("name"), _name(kind, norm, s, attempt))
         .otherwise(drawn)
     )
@@ -230,23 +246,31 @@ def _rendered(match: Column, kinds: Column, lookup) -> Column:
     def put(d: Column) -> Column:
         kind, first = d[0].kind, d[0].s
         words = F.zip_with(d, _name_words(match), lambda u, w: F.concat(u.s, F.regexp_extract(w, _NAME_TAIL, 0)))
+        shouted = (kind == "email") & (match == F.upper(match)) & match.rlike("[A-Z]")
         return (
-            F.when(bare | kind.isin("email", "ip", "ip6", "secret"), first)
+            F.when(shouted, F.upper(first))
+            .when(bare | kind.isin("email", "ip", "ip6", "secret"), first)
             .when(kind.startswith("name"), F.array_join(F.concat(F.slice(F.split(match, " "), 1, 1), words), " "))
             .otherwise(_formatted(match, F.when((kind == "phone") & ~match.startswith("+"), F.substring(first, 2, 64)).otherwise(first)))
         )
 
-    return _let(drawn, put)
+    return F.when(F.size(drawn) == 0, match).otherwise(_let(drawn, put))
 
 
 def _matches(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, kind, norm) of every distinct unit of every document: the one pass that looks for entities."""
-    units = F.array_distinct(F.flatten(F.transform(_matches(F.col("text")), _units)))
-    return docs.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.kind", "u.norm")
+def scan(docs: DataFrame, kept: list[str]) -> DataFrame:
+    """row (the kept columns but text), doc_id, text and found, its entities: the one pass that looks for them, written."""
+    rest = F.struct(*[c for c in kept if c != "text"]).alias("row")
+    return store(docs.select(rest, "doc_id", "text", F.coalesce(_matches(F.col("text")), F.array().cast("array<string>")).alias("found")))
+
+
+def occurrences(scanned: DataFrame) -> DataFrame:
+    """(doc_id, kind, norm) of every distinct unit of every document."""
+    units = F.array_distinct(F.flatten(F.transform("found", _units)))
+    return scanned.where(F.size("found") > 0).select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.kind", "u.norm")
 
 
 def exceptions(units: DataFrame, key: str) -> DataFrame:
@@ -277,32 +301,42 @@ def exceptions(units: DataFrame, key: str) -> DataFrame:
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """All columns of docs, text with surrogates, and n_entities (later bare mentions of a name count too).
 
-    Null texts stay null with 0 entities; texts without an entity stay as they are. Repeated rows are treated alike. The
-    key is part of the plan: keep event logs as private as the key. A column n_entities of docs is replaced.
+    Null texts stay null with 0 entities; texts without an entity stay as they are; very long texts are one row like
+    others. Repeated rows are treated alike. An empty table gives no rows. The key is part of the plan: keep event logs as
+    private as the key. A column n_entities of docs is replaced; other columns may have any name.
     """
     kept = [c for c in docs.columns if c != "n_entities"]
-    found = store(occurrences(docs))
+    scanned = scan(docs, kept)
+    found = store(occurrences(scanned))
     drawn_again = store(exceptions(found.select("kind", "norm").distinct(), key))
     text, none = F.col("text"), F.lit(0)
-    matches = F.coalesce(_matches(text), F.array().cast("array<string>"))
     if drawn_again.isEmpty():
-        framed, lookup = docs.select(*kept), lambda kind, norm: surrogate(key, kind, norm, none)
+        framed, lookup = scanned, lambda kind, norm: surrogate(key, kind, norm, none)
     else:
         # The few documents with such a unit get their own exceptions; joined on the document, not on the entity. They
-        # are written first, so that the planner knows their size and moves no text while that is small.
-        own = found.join(drawn_again, ["kind", "norm"]).select(F.col("doc_id").alias("_own"), F.concat_ws(":", "kind", "norm").alias("k"), "attempt")
-        maps = store(own.distinct().groupBy("_own").agg(F.map_from_entries(F.collect_list(F.struct("k", "attempt"))).alias("_attempts")))
-        framed = docs.select(*kept).join(maps, docs["doc_id"].eqNullSafe(maps["_own"]), "left")
+        # are written first, so that the planner knows their size and moves no text while that is small. Rows without
+        # doc_id get those of all such rows.
+        own = found.join(drawn_again, ["kind", "norm"]).select(F.col("doc_id").alias("own"), F.concat_ws(":", "kind", "norm").alias("k"), "attempt")
+        maps = store(own.distinct().groupBy("own").agg(F.map_from_entries(F.collect_list(F.struct("k", "attempt"))).alias("attempts")))
+        framed = scanned.join(maps, scanned["doc_id"].eqNullSafe(maps["own"]), "left")
         unit = lambda kind, norm: F.concat_ws(":", F.when(kind.startswith("name"), "name").otherwise(kind), norm)
-        attempt = lambda kind, norm: F.coalesce(F.element_at(F.col("_attempts"), unit(kind, norm)), none)
+        attempt = lambda kind, norm: F.coalesce(F.element_at(F.col("attempts"), unit(kind, norm)), none)
         lookup = lambda kind, norm: surrogate(key, kind, norm, attempt(kind, norm))
-    names = F.col("_names")
+    titled = F.exists("found", lambda m: m.rlike(f"^(?:{PATTERNS['name']})$"))
+    named = framed.withColumn("names", F.when((F.size("found") > 0) & titled, _name_kinds(F.col("found"))))
+    names = F.col("names")
     pattern = F.when(names.isNull(), ENTITY).otherwise(_name_pattern(F.map_keys(names)))
-    titled = F.exists("_found", lambda m: m.rlike(f"^(?:{PATTERNS['name']})$"))
-    marked = framed.withColumn("_found", matches).withColumn("_names", F.when(titled, _name_kinds(F.col("_found")))).withColumn("_pattern", pattern)
-    marked = marked.withColumn("_m", F.when(names.isNull(), F.col("_found")).otherwise(F.regexp_extract_all(text, F.col("_pattern"), F.lit(0))))
     kinds = F.coalesce(names, F.create_map().cast("map<string,string>"))
-    gaps = F.split(text, F.col("_pattern"), -1)
-    put = F.zip_with(gaps, F.transform("_m", lambda m: _rendered(m, kinds, lookup)), lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
-    new = F.when(F.size("_m") > 0, F.array_join(put, "")).otherwise(text)
-    return marked.select(*[new.alias("text") if c == "text" else F.col(c) for c in kept], F.size("_m").cast("bigint").alias("n_entities"))
+
+    def put(pattern: Column) -> Column:
+        matches = F.when(names.isNull(), F.col("found")).otherwise(F.regexp_extract_all(text, pattern, F.lit(0)))
+        return _let(matches, lambda ms: _let(F.transform(ms, lambda m: _rendered(m, kinds, lookup)), lambda rs: joined(pattern, ms, rs)))
+
+    def joined(pattern: Column, matches: Column, rendered: Column) -> Column:
+        gaps = F.zip_with(F.split(text, pattern, -1), rendered, lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
+        n = F.size(F.filter(F.zip_with(matches, rendered, lambda m, r: m != r), lambda x: x))
+        return F.struct(F.array_join(gaps, "").alias("text"), n.cast("bigint").alias("n"))
+
+    whole = F.struct(text.alias("text"), F.lit(0).cast("bigint").alias("n"))
+    done = named.select("row", F.when(F.size("found") > 0, _let(pattern, put)).otherwise(whole).alias("new"))
+    return done.select(*[F.col("new.text").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in kept], F.col("new.n").alias("n_entities"))
