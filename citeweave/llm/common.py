@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -15,10 +16,12 @@ BLOCK_BYTES = 1 << 20
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; that setting is only made here when it is unset, as in tests."""
+    """A new folder under spark.checkpoint.dir, which executors and driver share. Only a session on this machine alone may lack it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file:///tmp/checkpoints"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        root = f"file://{tempfile.gettempdir()}/checkpoints"
     return f"{root.rstrip('/')}/citeweave-{uuid.uuid4().hex}"
 
 

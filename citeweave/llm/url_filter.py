@@ -17,6 +17,8 @@ class PathNode:
     below: dict[str, PathNode] = field(default_factory=dict)
     #: Beginning of the next segment -> (rule, verdict).
     rules: dict[str, tuple[str, str]] = field(default_factory=dict)
+    #: Length of the longest of these beginnings.
+    longest: int = 0
 
 
 @dataclass
@@ -39,6 +41,7 @@ def build_trie(rules: list[tuple[str, str, str]]) -> HostNode:
         for segment in whole:
             at = at.below.setdefault(segment, PathNode())
         at.rules[begun] = (host.lower() + path, verdict)
+        at.longest = max(at.longest, len(begun))
     return root
 
 
@@ -48,7 +51,7 @@ def _longest_path(at: PathNode, path: str) -> tuple[str, str] | None:
     segments, found = path.split("/")[1:], None
     for k, segment in enumerate(segments):
         if at.rules:
-            cut = next((n for n in range(min(len(segment), max(map(len, at.rules))), -1, -1) if segment[:n] in at.rules), None)
+            cut = next((n for n in range(min(len(segment), at.longest), -1, -1) if segment[:n] in at.rules), None)
             found = found if cut is None else at.rules[segment[:cut]]
         at = at.below.get(segment) if k < len(segments) - 1 else None
         if at is None:
