@@ -17,7 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import blocks, store
-from citeweave.llm.tokens import ENCODED_BYTES, Encoder, ranges
+from citeweave.llm.tokens import Encoder, ranges
+
+#: Text bytes that are encoded at once, beside a worker's counts of terms.
+ENCODED_BYTES = 1 << 21
+#: Words that a worker remembers meanwhile.
+CACHE = 400_000
 
 
 @dataclass(frozen=True)
@@ -154,7 +159,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int, window: int) -> DataF
     with a token id, of tails at -1 and of their ids at -2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.get(tokenizer, False)
+        encoder = Encoder.get(tokenizer, False, CACHE)
         df = np.zeros(len(encoder.edge), np.int64)
         n_tails, n_ids = 0, 0
         for rows, data, offsets in blocks(batches, ENCODED_BYTES):
@@ -200,7 +205,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, p: Packing
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Adds the two rarest terms of each tail that other tails have too; -1 where there are none."""
-        for batch in batches:
+        for batch in (b.slice(a, p.shard_docs) for b in batches for a in range(0, len(b), p.shard_docs)):
             tails = list(map(_tail, batch.column("tail").to_pylist()))
             top = np.full((len(tails), 2), -1, np.int32)
             if sum(map(len, tails)):

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 
 #: Text bytes that are encoded at once: the larger, the fewer pieces are different.
 ENCODED_BYTES = 1 << 23
-#: Words that a worker remembers (about 200 MB); beyond, it begins anew with those of its last block.
+#: Words that a worker remembers (about 200 bytes each); beyond, it begins anew.
 CACHE = 1_000_000
 #: Two characters of white space side by side, as every Unicode-aware pattern may see it.
 _RUNS = r"[\s\x0b\x1c-\x1f\x{85}\pZ][\s\x0b\x1c-\x1f\x{85}\pZ]"
@@ -69,11 +69,11 @@ class Encoder:
     equal pieces found, by Arrow; Python code runs for each different word of a block, not for each word of a text.
     """
 
-    def __init__(self, path: str, keep_blank: bool):
+    def __init__(self, path: str, keep_blank: bool, cache: int = CACHE):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.keep_blank = Tokenizer.from_file(path), keep_blank
+        self.tokenizer, self.keep_blank, self.cache = Tokenizer.from_file(path), keep_blank, cache
         self.words = Words()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Every word of letters has one token that begins (byte-level) or ends (word ends) a word.
@@ -83,9 +83,9 @@ class Encoder:
         self.edge[[k for t, k in vocabulary.items() if edge(t)]] = True
 
     @classmethod
-    def get(cls, path: str, keep_blank: bool) -> Encoder:
+    def get(cls, path: str, keep_blank: bool, cache: int = CACHE) -> Encoder:
         if (path, keep_blank) not in _loaded:
-            _loaded[path, keep_blank] = cls(path, keep_blank)
+            _loaded[path, keep_blank] = cls(path, keep_blank, cache)
         return _loaded[path, keep_blank]
 
     def _plain(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +171,7 @@ class Encoder:
             word = pc.if_else(pa.array(lined), pc.utf8_slice_codeunits(word, 1), word)
             bare = pa.array(lined | first)
             word = pc.if_else(bare, pc.binary_join_element_wise(pa.scalar(_BEGUN, pa.large_string()), word, pa.scalar("", pa.large_string())), word)
-        if len(self.words.number) > CACHE:
+        if len(self.words.number) > self.cache:
             self.words = Words()
         extra = [_BEGUN + m for m in [*marks, "\n"]] if self.keep_blank else marks
         number, closing, table = self._numbers(word.to_numpy(zero_copy_only=False).tolist()), self._numbers(extra), self.words
