@@ -52,15 +52,19 @@ def test_awkward_rows(spark):
     assert quality.keep_good(docs).columns == docs.columns and quality.keep_good(empty(spark)).count() == 0
 
 
-def plain_model(texts, table):
-    """Interpolated modified Kneser-Ney over dictionaries: probability(context of two, symbol)."""
-    size = quality.SYMBOLS
-    tri = Counter()
+def folded(text):
+    return "".join("0" if c.isdecimal() else " " if c.isspace() else c for c in text)
+
+
+def plain_model(texts, order):
+    """Interpolated modified Kneser-Ney over dictionaries: probability of a symbol behind a context of order - 1."""
+    top = Counter()
     for t in texts:
-        s = [0, 0] + [int(table[ord(c)]) for c in t]
-        tri.update(tuple(s[i - 2 : i + 1]) for i in range(2, len(s)))
-    bi = Counter((b, c) for a, b, c in tri)
-    uni = Counter(c for b, c in bi)
+        s = "\0" * (order - 1) + folded(t)
+        top.update(s[i : i + order] for i in range(len(s) - order + 1))
+    levels = [top]
+    while len(levels) < order:
+        levels.insert(0, Counter(g[1:] for g in levels[0]))
 
     def discounts(counts):
         n = [sum(v == k for v in counts.values()) for k in (1, 2, 3, 4)]
@@ -69,47 +73,115 @@ def plain_model(texts, table):
         y = n[0] / (n[0] + 2 * n[1])
         return [0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)]
 
-    levels = []
-    for c, cut in ((uni, 0), (bi, 1), (tri, 2)):
-        c = {(k if isinstance(k, tuple) else (k,)): v for k, v in c.items()}
-        d, by = discounts(c), defaultdict(lambda: [0, 0.0])
-        for k, v in c.items():
-            by[k[:cut]][0] += v
-            by[k[:cut]][1] += d[min(v, 3)]
-        levels.append((c, d, by))
-
-    def probability(context, symbol):
-        p = 1 / size
-        for n, (c, d, by) in enumerate(levels):
-            ctx = tuple(context[2 - n :])
-            if ctx in by:
-                total, mass = by[ctx]
-                v = c.get((*ctx, symbol), 0)
-                p = max(v - d[min(v, 3)], 0) / total + mass / total * p
-        return p
+    known = []
+    for c in levels:
+        d, by = discounts(c), defaultdict(Counter)
+        for g, v in c.items():
+            by[g[:-1]][g[-1]] = v
+        known.append((d, by))
+
+    def probability(gram, without=False):
+        """From the followers of each context; without one occurrence of the n-gram where asked."""
+        k = len(gram)
+        if not k:
+            return 1 / (len(levels[0]) + 1)
+        d, by = known[k - 1]
+        followers = by.get(gram[:-1], Counter())
+        n = followers[gram[-1]]
+        changed = {gram[-1]: n - 1} if without else {}
+        counts = [v for c, v in followers.items() if c not in changed] + list(changed.values())
+        lower = probability(gram[1:], without and n == 1)
+        if not sum(counts):
+            return lower
+        own = n - without
+        return (max(own - d[min(own, 3)], 0) + sum(d[min(v, 3)] for v in counts) * lower) / sum(counts)
 
     return probability
 
 
-def test_model_equals_a_plain_one(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+@pytest.fixture(scope="module")
+def few(spark, sf_dir):
+    """Documents of four languages and one in other scripts, which has symbols of one to four bytes."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 70").select("doc_id", "lang", "text")
+    other = "語言模型也要認識漢字。Ω 123 😀\0x\n" * 20
+    return [tuple(r) for r in docs.collect()] + [(900, "zh", other), (901, "zh", other[3:]), (902, "zh", None)]
+
+
+def by_lang(rows):
+    out = defaultdict(list)
+    for _, lang, text in rows:
+        out[lang].append(text or "")
+    return {lang: plain_model(found, quality.ORDER) for lang, found in out.items()}
+
+
+def test_model_equals_a_plain_one(spark, few):
+    docs = spark.createDataFrame(few, "doc_id bigint, lang string, text string")
+    rows, plain = quality.train(docs).collect(), by_lang(few)
+    assert len({(r["lang"], r["gram"]) for r in rows}) == len(rows)
+    wanted = set()
+    for _, lang, text in few:
+        s = "\0" * (quality.ORDER - 1) + folded(text or "")
+        wanted.update((lang, s[i : i + quality.ORDER]) for i in range(len(s) - quality.ORDER + 1))
+    assert {(r["lang"], r["gram"]) for r in rows} == wanted
+    assert all(abs(r["logp"] / quality.UNIT - math.log(plain[r["lang"]](r["gram"], True))) < 1e-5 for r in rows)
+
+
+def test_plain_probabilities_add_up():
+    p = plain_model(["abracadabra", "barbara", "cadabra"], 3)
+    for context in ("\0\0", "br", "ra"):
+        assert sum(p(context + c) for c in "abrcd") + p(context + "z") == pytest.approx(1)
+
+
+def test_verdicts_equal_plain_ones(spark, few):
+    """Perplexities, quartiles and verdicts of whole texts, from dictionaries."""
+    plain, scores = by_lang(few), {}
+    for d, lang, text in few:
+        s = "\0" * (quality.ORDER - 1) + folded(text or "")
+        logs = [math.log(plain[lang](s[i : i + quality.ORDER], True)) for i in range(len(s) - quality.ORDER + 1)]
+        scores[d] = (lang, -sum(logs) / len(logs) if words(text) else None)
+    rows = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(few, "doc_id bigint, lang string, text string")).collect()}
+    bands, values = quality.Bands(), defaultdict(list)
+    for d, (lang, v) in scores.items():
+        if not rows[d]["base_failed"]:
+            values[lang].append(round(v, 3))
+    for d, (lang, v) in scores.items():
+        r = rows[d]
+        assert (r["perplexity"] is None) if v is None else r["perplexity"] == pytest.approx(math.exp(v), rel=1e-4)
+        if lang in values:
+            q25, q75 = np.quantile(values[lang], [0.25, 0.75])
+            spread = max(q75 - q25, bands.floor)
+            lower, upper = q25 - bands.below * spread, q75 + bands.above * spread
+            assert math.log(r["lower_perplexity"]) == pytest.approx(lower, abs=1e-2) and math.log(r["upper_perplexity"]) == pytest.approx(upper, abs=1e-2)
+        assert r["kept"] == (not r["base_failed"] and math.log(r["lower_perplexity"]) - 1e-9 <= math.log(r["perplexity"]) <= math.log(r["upper_perplexity"]) + 1e-9)
+
+
+def test_slices_of_any_size_give_the_same_sums(spark, few):
+    docs = spark.createDataFrame(few, "doc_id bigint, lang string, text string")
     model = quality.train(docs)
-    texts = [r["text"] for r in docs.collect()]
-    probability = plain_model(texts, model.table)
-    r = np.random.default_rng(0)
-    grams = r.integers(0, quality.SYMBOLS, (400, 3))
-    seen = [[0, 0] + [int(model.table[ord(c)]) for c in t] for t in texts[:5]]
-    grams = np.concatenate([grams, [s[i - 2 : i + 1] for s in seen for i in range(2, min(len(s), 80))]])
-    codes = (grams[:, 0] << 14) | (grams[:, 1] << 7) | grams[:, 2]
-    plain = np.log([probability(g[:2].tolist(), int(g[2])) for g in grams])
-    assert np.allclose(model.log_probability(codes), plain, atol=1e-4)
-
-
-def test_probabilities_add_up(spark, sf_dir):
-    model = quality.train(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    for context in (0, 5 << 7 | 9, 127 << 7 | 126):
-        p = np.exp(model.log_probability((context << 7) + np.arange(128)))
-        assert p.sum() == pytest.approx(1, abs=1e-3)
+    one, many = (sorted(quality.score(docs, model, ["doc_id", "lang", "text"], entries=k).collect()) for k in (quality.SLICE, model.count() // 3))
+    assert one == many
+
+
+def test_the_model_grows_with_the_corpus(spark, few):
+    sizes = [quality.train(spark.createDataFrame(few[:k], "doc_id bigint, lang string, text string")).count() for k in (15, 30, 60)]
+    assert sizes[0] < sizes[1] < sizes[2]
+
+
+def test_foreign_and_garbled_texts_go(spark, sf_dir):
+    """Texts of another language, and texts of shuffled letters, under a language's model."""
+    import random
+
+    r = random.Random(3)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang IN ('en', 'de') AND size(split(text, ' ')) > 80").select("doc_id", "lang", "text").collect()
+    english = [(d["doc_id"], "en", d["text"]) for d in docs if d["lang"] == "en"]
+    foreign = [(10_000 + k, "en", d["text"]) for k, d in enumerate([d for d in docs if d["lang"] == "de"][:3])]
+    garbled = [(20_000 + k, "en", "".join(r.sample(t, len(t)))) for k, (_, _, t) in enumerate(english[:3])]
+    rows = quality.judge(spark.createDataFrame(english + foreign + garbled, "doc_id bigint, lang string, text string")).collect()
+    kept = {x["doc_id"] for x in rows if x["kept"]}
+    assert not any(d >= 20_000 for d in kept)
+    assert not any(10_000 <= d < 20_000 for d in kept)
+    failed = {x["doc_id"] for x in rows if x["base_failed"]}
+    assert len(kept) > 0.95 * sum(d not in failed for d, _, _ in english)
 
 
 def test_strange_documents_go_and_clean_ones_stay(spark):
