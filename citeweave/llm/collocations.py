@@ -52,15 +52,14 @@ def pieces(text: bytes) -> list[bytes]:
 
 def _cut(piece: bytes, m: Mining) -> Iterator[tuple[bytes, int]]:
     """A piece larger than a block in parts; each begins with the last words of the one before, as many as it says."""
-    carried = 0
+    carried, least = 0, 0
     while len(piece) > m.block_bytes:
-        end = piece.find(b" ", m.block_bytes)
-        part = piece if end < 0 else piece[:end]
-        yield part, carried
+        end = piece.find(b" ", max(m.block_bytes, least))  # behind one new word at least
         if end < 0:
-            return
-        words = part.rsplit(b" ", m.longest - 1)[1:]
-        carried = len(words)
+            break
+        yield piece[:end], carried
+        words = piece[:end].rsplit(b" ", m.longest - 1)[1 - m.longest :]
+        carried, least = len(words), len(b" ".join(words)) + 1
         piece = b" ".join([*words, piece[end + 1 :]])
     yield piece, carried
 

@@ -1,0 +1,129 @@
+"""License scans against every template in every window, and against SQL."""
+
+import random
+import re
+from pathlib import Path
+
+import duckdb
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from citeweave.llm import license_scan
+from citeweave.llm.catalogue import oracle_sql, op13_license_scan
+from citeweave.llm.license_scan import Scan
+
+from .common import awkward, empty, lower
+
+
+def plain_words(text):
+    return re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", lower(text))
+
+
+def plain_width(n):
+    return next(w for w in (2 << k for k in range(20)) if n <= w // 2 + 1)
+
+
+def plain_blocks(text, scan):
+    w, out = plain_words(text), []
+    for label, template in scan.templates:
+        tokens, width = set(plain_words(template)), plain_width(len(plain_words(template)))
+        for a in range(0, len(w), width // 2):
+            share = len(tokens & set(w[a : a + width]))
+            if 100 * share >= scan.percent * len(tokens):
+                out.append((label, a, len(w[a : a + width]), share / len(tokens)))
+    return sorted(out)
+
+
+def plain_scan(text, scan):
+    w, places, base = plain_words(text), [], set()
+    for phrase, label in scan.phrases:
+        p = phrase.split()
+        at = [i for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
+        places += at
+        base |= {label} if at else set()
+    found = plain_blocks(text, scan)
+    score = 1.0 if base else max((x[3] for x in found), default=0.0)
+    return (len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | {x[0] for x in found})), score, found)
+
+
+def shown(frame):
+    rows = frame.collect()
+    return [(r["doc_id"], (*r[1:8], sorted(tuple(b) for b in r["blocks"]))) for r in rows]
+
+
+def noisy(r, scan):
+    """Notices with words left out, added and exchanged, among other words and phrases."""
+    out = []
+    for _ in range(r.randint(0, 6)):
+        kind = r.random()
+        if kind < 0.5:
+            w = r.choice(scan.templates)[1].split()
+            for _ in range(r.randint(0, 3)):
+                k = r.randrange(len(w))
+                w = r.choice([w[:k] + w[k + 1 :], [*w[:k], "word", *w[k:]], [*w[:k], r.choice(w), *w[k + 1 :]]]) or ["x"]
+            out += w
+        elif kind < 0.7:
+            out += r.choice(scan.phrases)[0].split()
+        else:
+            out += [r.choice(["the", "license", "under", "of", "x1", "é", "by", "all"]) for _ in range(r.randint(1, 40))]
+    return "".join((x.upper() if r.random() < 0.2 else x) + r.choice([" ", " ", "\n", ", ", "-", "_"]) for x in out)
+
+
+@pytest.mark.parametrize(("seed", "percent"), [(1, 85), (2, 60), (3, 100), (4, 30)])
+def test_same_as_every_window(spark, seed, percent):
+    r, scan = random.Random(seed), Scan(percent=percent)
+    docs = [(k, noisy(r, scan)) for k in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    assert dict(shown(license_scan.scan_licenses(frame, scan))) == {d: plain_scan(t, scan) for d, t in docs}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("xyz"), st.lists(st.sampled_from("abcdefghij"), min_size=1, max_size=9)), min_size=1, max_size=6), st.sets(st.integers(0, 9)), st.integers(1, 100), st.randoms(use_true_random=False))
+def test_filters_lose_no_template(found, block, percent, r):
+    scan = Scan(tuple((label, " ".join(w)) for label, w in found), (), percent)
+    p = license_scan.prepare(scan, {w: r.randrange(5) for w in license_scan.vocabulary_of(scan)})
+    assert sorted(p.ranks.values()) == list(range(len(p.ranks)))
+    held = sorted(x for x in block if x < len(p.ranks))
+    for index in p.indexes:
+        all_of = [(t, len(set(tokens) & set(held))) for t, (_, tokens, need) in enumerate(index.templates) if len(set(tokens) & set(held)) >= need]
+        assert sorted(index.matches(held)) == all_of
+
+
+@pytest.mark.parametrize("text", [t for _, t in license_scan.TEMPLATES])
+def test_a_notice_lies_in_one_block_wherever_it_begins(spark, text):
+    label = next(x for x, t in license_scan.TEMPLATES if t == text)
+    docs = spark.createDataFrame([(k, "other words " * k + text + " and more" * 40) for k in range(12)], "doc_id bigint, text string")
+    best = license_scan.license_blocks(docs).where(f"label = '{label}' AND containment = 1").select("doc_id").distinct()
+    assert best.count() == 12
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = [(x["doc_id"], x["text"]) for x in docs.collect()]
+    key = lambda x: repr(x)
+    assert sorted(shown(license_scan.scan_licenses(docs)), key=key) == sorted(((d, plain_scan(t, Scan())) for d, t in rows), key=key)
+    assert license_scan.scan_licenses(empty(spark)).count() == 0
+
+
+def test_phrases_end_in_their_text(spark):
+    docs = spark.createDataFrame([(1, "all rights"), (2, "reserved. CC-BY cc by BY"), (3, "All  rights\nreserved all rights reserved")], "doc_id bigint, text string").coalesce(1)
+    found = {r["doc_id"]: (r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in license_scan.scan_licenses(docs).collect()}
+    assert found == {1: (0, None, None, ""), 2: (2, 1, 3, "cc-by"), 3: (2, 0, 3, "reserved")}
+
+
+def test_refusals(monkeypatch):
+    with pytest.raises(ValueError):
+        license_scan.vocabulary_of(Scan(percent=0))
+    monkeypatch.setattr(license_scan, "MAX_TOKENS", 3)
+    with pytest.raises(ValueError):
+        license_scan.vocabulary_of(Scan())
+
+
+def test_query_equals_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{Path(sf_dir)}/documents.parquet'")
+    frame, other = op13_license_scan(spark, sf_dir), con.sql(oracle_sql()["op13_license_scan"])
+    order = sorted(frame.columns)
+    assert order == sorted(other.columns)
+    assert sorted(map(tuple, frame.select(order).collect()), key=repr) == sorted(other.select(*order).fetchall(), key=repr)
