@@ -30,13 +30,16 @@ _V6 = "|".join([
     rf"(?:{_HEX}:){{6}}{_V4}", *[rf"(?:{_HEX}:){{{n}}}(?::{_HEX}){{0,{5 - n}}}:{_V4}" for n in range(1, 6)], rf":(?::{_HEX}){{0,5}}:{_V4}",
     rf"(?:{_HEX}:){{7}}{_HEX}", *[rf"(?:{_HEX}:){{{n}}}(?::{_HEX}){{1,{7 - n}}}" for n in range(1, 7)], rf"(?:{_HEX}:){{1,7}}:", rf":(?::{_HEX}){{1,7}}",
 ])
-_NAME_WORD = r"\p{Lu}(?:[\p{Ll}'-]|(?<=['-])\p{Lu})+"
+# Repetitions have bounds and give nothing back: a run of letters of any length costs a bounded number of steps at each of
+# them, and no repetition of a group is deep. Longer words are no names (up to eight parts of 64 letters are), and of an
+# address with a longer local part, or with more labels, the nearest 64 characters and the first 127 labels are one.
+_NAME_WORD = r"\p{Lu}[\p{Ll}'-]{1,63}+(?![\p{Ll}'-])(?:(?<=['-])\p{Lu}[\p{Ll}'-]{0,63}+(?![\p{Ll}'-])){0,7}"
 #: What may follow the name inside such a word.
 _NAME_TAIL = r"(?:'s|['-])*$"
 #: Country codes are a prefix code: 1 and 7, these of two digits, all others of three.
 _CODE = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){0,126}\.[A-Za-z]{2,63}",
     "secret": r"\b(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}\b|\(\d{3}\) ?\d{3}[ .-]\d{4}\b|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
@@ -302,7 +305,7 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """All columns of docs, text with surrogates, and n_entities (later bare mentions of a name count too).
 
     Null texts stay null with 0 entities; texts without an entity stay as they are; very long texts are one row like
-    others. Repeated rows are treated alike. An empty table gives no rows. The key is part of the plan: keep event logs as
+    others, and so is one without a blank: every pattern is linear in it. Repeated rows are treated alike. An empty table gives no rows. The key is part of the plan: keep event logs as
     private as the key. A column n_entities of docs is replaced; other columns may have any name.
     """
     kept = [c for c in docs.columns if c != "n_entities"]

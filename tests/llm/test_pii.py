@@ -191,3 +191,22 @@ def test_names_without_title_and_one_surrogate_a_person(spark):
     assert m and m[1] + m[2] == m[3] != "301234567" and m.group(4, 5, 6) == m.group(7, 8, 9) != ("523", "555", "1055")
     m = re.fullmatch(r"from ([0-9a-f:]+), ([0-9a-f:]+), ([0-9a-f:]+), ([0-9a-f:]+); std::vector at 12:30:45", made[4][0])
     assert m and m[1] == m[2] and len({m[1], m[3], m[4]}) == 3 and all(x.startswith("2001:0db8:") for x in m.groups())
+
+
+def test_long_runs_end(spark):
+    """Texts whose length is in one word, number or address: each in a second or so, and never the JVM."""
+    import time
+
+    long = {
+        "letters": "a" * 1_000_000, "base64": "aB3-_" * 200_000, "hex": "0f" * 500_000, "digits": "1" * 1_000_000, "at": "@" * 500_000, "dots": "a." * 500_000,
+        "labels": "me@" + "ab1." * 100_000 + "com", "local": "x" * 100_000 + "@mail.example.com", "tld": "a@b." + "c" * 100_000,
+        "name": "Mr. A" + "b" * 100_000, "hyphens": "Mr. A" + "-" * 100_000, "parts": "Mr. " + "Ab-" * 50_000, "titles": "Mr. " * 100_000, "colons": "a:" * 300_000,
+    }
+    for case, text in long.items():
+        began = time.time()
+        docs = spark.createDataFrame([(1, f"{text} and Mr. Carl Orff, {case}")], "doc_id bigint, text string")
+        found = docs.select(pii._matches(F.col("text")).alias("m")).first()["m"]
+        assert "Mr. Carl Orff" in found and time.time() - began < 20, case
+        if case in ("letters", "labels", "local", "name", "parts"):
+            new = pii.replace_entities(docs, "key").first()["text"]
+            assert "Carl" not in new and new.endswith(case)
