@@ -24,9 +24,9 @@ from citeweave.llm.common import blocks, code_points, mix64, segment_sums, store
 ORDER = 5
 #: Log-probabilities are stored in parts of a nat.
 UNIT = 1 << 20
-LM_BLOCK = 1 << 21
+LM_BLOCK = 1 << 20
 #: Text bytes whose n-grams a worker adds up before it hands them on.
-COUNTED_BYTES = 1 << 25
+COUNTED_BYTES = 1 << 23
 #: n-grams of a slice of the model, 12 bytes each.
 SLICE = 1 << 22
 
