@@ -32,6 +32,8 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("-l", "--log-level", default="INFO")
         c.add_argument("-c", "--concurrency", type=int, default=50)
         c.add_argument("--single-file", action="store_true")
+        c.add_argument("--resolved-table", help="folder of remembered answers of the HTTP fallback")
+        c.add_argument("--retries", type=int, default=0, help="how often passing errors of the HTTP fallback are asked again")
     for s in SOURCES[1:]:
         p.add_argument(f"--output-{s}")
         p.add_argument(f"--output-{s}-failed")
@@ -42,6 +44,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--timeout", type=float, default=5)
     p.add_argument("--keep-intermediates", action="store_true")
     p.add_argument("--temp-dir")
+    p.add_argument("--run-id", help="a run of this name goes on where it ended; use it with --temp-dir")
+    p.add_argument("--ranges", type=int, default=64, help="key ranges that a named run commits one by one")
     p.add_argument("--batch-size", type=int, default=5_000_000, help="accepted for compatibility; Spark sizes its own batches")
     v.add_argument("--crossref-index")
     v.add_argument("--output-valid", required=True)
@@ -74,13 +78,19 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 keep_intermediates=args.keep_intermediates,
                 temp_dir=args.temp_dir,
                 single_file=args.single_file,
+                run_id=args.run_id,
+                ranges=args.ranges,
+                resolved_table=args.resolved_table,
+                retries=args.retries,
             )
             plan.check()
-            run_pipeline(spark or get_session(), plan)
+            for name, n in run_pipeline(spark or get_session(), plan)["stats"].items():
+                logging.getLogger("citeweave").info("%s: %d", name, n)
         else:
             run_validate(
                 spark or get_session(), args.input, args.source, args.output_valid, args.output_failed, args.datacite_records,
                 args.crossref_index, args.http_fallback, args.concurrency, args.timeout, single_file=args.single_file,
+                resolved_table=args.resolved_table, retries=args.retries,
             )
     except ValueError as e:
         print(f"error: {e}", file=sys.stderr)

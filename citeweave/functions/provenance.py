@@ -10,6 +10,7 @@ ASSERTED = ("publisher", "crossref")
 
 
 def provenance(doi_field: Column, asserted_by: Column, cited: Column) -> Column:
+    """cited: the DOI that was found, or, of an arXiv id, the DOI made from it."""
     same = F.lower(doi_field) == F.lower(cited)
     return F.when(same & asserted_by.isin(*ASSERTED), asserted_by).otherwise(F.lit("mined"))
 

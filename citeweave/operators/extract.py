@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from citeweave.functions.arxiv import arxiv_doi, arxiv_matches
@@ -26,22 +28,27 @@ def explode_references(works: DataFrame) -> DataFrame:
     )
 
 
-def extract_edges(refs: DataFrame, mode: str = "doi", compare_arxiv_doi: bool = False) -> DataFrame:
+def extract_edges(refs: DataFrame, mode: str = "doi", compare_arxiv_doi: bool = False, counters: Observation | None = None) -> DataFrame:
     """Edges citing -> cited. mode: doi or arxiv. Narrow: no shuffle.
 
     A work citing itself is dropped. In arxiv mode ids are compared as they are, so nothing is dropped
-    unless compare_arxiv_doi also compares the DOI built from the id.
+    unless compare_arxiv_doi also compares the DOI built from the id. counters gets matches and refs_with_matches of
+    whatever job writes the edges.
     """
     matches = doi_matches if mode == "doi" else arxiv_matches
-    cited = F.col("m.id")
-    edges = (
-        refs.withColumn("text", search_text())
-        .where(F.col("text") != "")
-        .select("*", F.posexplode(matches(F.col("text"))).alias("match_ord", "m"))
-        .where(F.lower("citing_doi") != F.lower(cited))
-    )
-    if mode == "arxiv" and compare_arxiv_doi:
-        edges = edges.where(F.lower("citing_doi") != F.lower(arxiv_doi(cited)))
+    citing, cited = F.lower("citing_doi"), F.col("m.id")
+    compared = [lambda x: F.lower(x), *([lambda x: F.lower(arxiv_doi(x))] if mode == "arxiv" and compare_arxiv_doi else [])]
+    found = refs.withColumn("text", search_text()).where(F.col("text") != "")
+    if counters is None:
+        edges = found.select("*", F.posexplode(matches(F.col("text"))).alias("match_ord", "m"))
+    else:
+        others = found.withColumn("ms", matches(F.col("text"))).withColumn("first", F.array_position(F.transform("ms", lambda m: _all(citing != f(m.id) for f in compared)), F.lit(True)) - 1)
+        edges = others.select("*", F.posexplode("ms").alias("match_ord", "m"))
+    for f in compared:
+        edges = edges.where(citing != f(cited))
+    if counters is not None:
+        # One edge of every reference that has any is its first.
+        edges = edges.observe(counters, F.count(F.lit(1)).alias("matches"), F.count_if(F.col("match_ord") == F.col("first")).alias("refs_with_matches"))
     return edges.select(
         "citing_doi",
         "entry_ord",
@@ -51,5 +58,9 @@ def extract_edges(refs: DataFrame, mode: str = "doi", compare_arxiv_doi: bool =
         "ref_json",
         F.col("m.raw").alias("raw_match"),
         cited.alias("cited_id"),
-        provenance(F.col("doi_field"), F.col("asserted_by"), cited).alias("provenance"),
+        provenance(F.col("doi_field"), F.col("asserted_by"), cited if mode == "doi" else arxiv_doi(cited)).alias("provenance"),
     )
+
+
+def _all(conditions) -> Column:
+    return reduce(lambda a, b: a & b, conditions)

@@ -33,6 +33,11 @@ def citation_counts(edges: DataFrame) -> DataFrame:
     )
 
 
+def dedup_links(edges: DataFrame, keep: str = "first") -> DataFrame:
+    """What is inverted: one edge per pair, without works that cite themselves in the same spelling."""
+    return dedup_edges(edges, keep).where(F.col("citing_doi") != F.col("cited_id"))
+
+
 def invert(edges: DataFrame, mode: str = "doi", keep: str = "first") -> DataFrame:
     """One row per cited identifier with its citing works, sorted by DOI inside the row."""
     entry = F.struct(
@@ -41,8 +46,7 @@ def invert(edges: DataFrame, mode: str = "doi", keep: str = "first") -> DataFram
         F.array(F.struct("raw_match", F.col("ref_json").alias("reference"), "provenance")).alias("matches"),
     )
     out = (
-        dedup_edges(edges, keep)
-        .where(F.col("citing_doi") != F.col("cited_id"))
+        dedup_links(edges, keep)
         .groupBy("cited_id")
         .agg(
             F.count("citing_doi").alias("citation_count"),
@@ -57,14 +61,18 @@ def split_counts(edges: DataFrame, asserted: bool, keep: str = "first") -> DataF
     """Citing works of one kind a cited identifier, beside all of them; works without any go. No list is gathered."""
     is_asserted = F.coalesce("provenance", F.lit("mined")).isin("publisher", "crossref")
     return (
-        dedup_edges(edges, keep)
-        .where(F.col("citing_doi") != F.col("cited_id"))
+        dedup_links(edges, keep)
         .groupBy("cited_id")
         .agg(F.count_if(is_asserted if asserted else ~is_asserted).alias("citation_count"), F.count("citing_doi").alias("reference_count"))
         .where("citation_count > 0")
     )
 
 
+def link_counts(links: DataFrame) -> DataFrame:
+    """Counts of deduplicated links by cited identifier; no list is gathered."""
+    return links.groupBy("cited_id").agg(F.count(F.lit(1)).alias("citation_count"), F.count(F.lit(1)).alias("reference_count"))
+
+
 def ranked(inverted: DataFrame) -> DataFrame:
     return inverted.orderBy(F.desc("citation_count"), F.asc("cited_id"))
 

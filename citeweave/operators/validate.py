@@ -1,18 +1,11 @@
-"""Validation of cited identifiers against indexes, with an optional resolver for what they lack."""
+"""Validation of cited identifiers against indexes."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
-Resolver = Callable[[str], bool]
-
-
 def lookup(citations: DataFrame, source: str, index_a: DataFrame | None = None, index_b: DataFrame | None = None, column: str = "doi") -> DataFrame:
     """Adds matched_source: crossref, datacite or null. source: crossref probes A, datacite and arxiv probe B, all A then B.
 
@@ -28,51 +21,6 @@ def lookup(citations: DataFrame, source: str, index_a: DataFrame | None = None,
     return out.withColumn("matched_source", known).drop("a_doi", "b_doi")
 
 
-def head_resolver(timeout: float = 5.0, base: str = "https://doi.org/") -> Resolver:
-    """HEAD without following redirects: 2xx and 3xx resolve, anything else does not."""
-    import urllib.error
-    import urllib.parse
-    import urllib.request
-
-    class Stay(urllib.request.HTTPRedirectHandler):
-        def redirect_request(self, *args, **kwargs):
-            return None
-
-    opener = urllib.request.build_opener(Stay)
-
-    def resolve(doi: str) -> bool:
-        request = urllib.request.Request(base + urllib.parse.quote(doi, safe="/:;()"), method="HEAD")
-        try:
-            with opener.open(request, timeout=timeout) as answer:
-                return 200 <= answer.status < 400
-        except urllib.error.HTTPError as e:
-            return 300 <= e.code < 400
-        except Exception:  # a failed lookup counts as not resolved
-            return False
-
-    return resolve
-
-
-def resolve_unmatched(looked_up: DataFrame, resolver: Resolver, source: str, concurrency: int = 50, partitions: int = 8, column: str = "doi") -> DataFrame:
-    """Asks the resolver for each distinct unmatched identifier, with bounded requests in flight per task.
-
-    What resolves gets matched_source = source (all counts as datacite).
-    """
-    label = "datacite" if source in ("all", "arxiv") else source
-    workers = max(1, concurrency // partitions)
-
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with ThreadPoolExecutor(workers) as pool:
-            for batch in batches:
-                found = list(pool.map(resolver, batch["r_doi"]))
-                yield batch[found]
-
-    todo = looked_up.where(F.col("matched_source").isNull()).select(F.col(column).alias("r_doi")).where(F.col("r_doi").isNotNull()).distinct()
-    resolved = todo.repartition(partitions).mapInPandas(ask, "r_doi string")
-    joined = looked_up.join(resolved, looked_up[column] == F.col("r_doi"), "left")
-    return joined.withColumn("matched_source", F.coalesce("matched_source", F.when(F.col("r_doi").isNotNull(), label))).drop("r_doi")
-
-
 def validation_stats(looked_up: DataFrame) -> DataFrame:
     return looked_up.agg(
         F.count(F.lit(1)).alias("total"),

@@ -111,7 +111,10 @@ def _with() -> str:
         f"SELECT *, {k} AS form, unnest(regexp_extract_all(text, '{p}', 1)) AS raw, unnest(regexp_extract_all(text, '{p}', 2)) AS x, generate_subscripts(regexp_extract_all(text, '{p}', 1), 1) AS o FROM rt"
         for k, p in enumerate(ARXIV)
     )
-    proven = "CASE WHEN lower(doi_field) = id AND asserted_by IN ('publisher', 'crossref') THEN asserted_by ELSE 'mined' END"
+    # A DOI is compared as it was found, an arXiv id as the DOI that is made from it; case does not matter.
+    proven, proven_arxiv = (
+        f"CASE WHEN lower(doi_field) = lower({found}) AND asserted_by IN ('publisher', 'crossref') THEN asserted_by ELSE 'mined' END" for found in ("id", "concat('10.48550/arXiv.', id)")
+    )
     return f"""WITH {fixtures.duckdb_corpus()},
 rt AS (SELECT *, concat_ws(' ', doi_field, url, article_title, journal_title, unstructured) AS text FROM refs),
 d0 AS (SELECT *, unnest(regexp_extract_all(text, '{DOI}', 1)) AS raw, generate_subscripts(regexp_extract_all(text, '{DOI}', 1), 1) AS o FROM rt),
@@ -122,7 +125,7 @@ e AS (SELECT citing_doi, item_ord, ref_index, match_ord, raw AS raw_match, id AS
 a0 AS ({arxiv}),
 a1 AS (SELECT *, {_arxiv_normal("x")} AS id FROM a0),
 a2 AS (SELECT *, row_number() OVER (PARTITION BY item_ord, ref_index, id ORDER BY form, o) AS nth FROM a1),
-ea AS (SELECT citing_doi, item_ord, ref_index, CAST(row_number() OVER (PARTITION BY item_ord, ref_index ORDER BY form, o) - 1 AS BIGINT) AS match_ord, raw AS raw_match, id AS cited_id, {proven} AS provenance FROM a2 WHERE nth = 1 AND lower(citing_doi) <> id),
+ea AS (SELECT citing_doi, item_ord, ref_index, CAST(row_number() OVER (PARTITION BY item_ord, ref_index ORDER BY form, o) - 1 AS BIGINT) AS match_ord, raw AS raw_match, id AS cited_id, {proven_arxiv} AS provenance FROM a2 WHERE nth = 1 AND lower(citing_doi) <> id),
 u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY citing_doi, cited_id ORDER BY item_ord, ref_index, match_ord) AS nth FROM e) WHERE nth = 1),
 ua AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY citing_doi, cited_id ORDER BY item_ord, ref_index, match_ord) AS nth FROM ea) WHERE nth = 1),
 ub AS (SELECT citing_doi, cited_id, max(CASE provenance WHEN 'publisher' THEN 2 WHEN 'crossref' THEN 1 ELSE 0 END) AS r FROM e GROUP BY ALL),

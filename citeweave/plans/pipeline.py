@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from citeweave.functions.arxiv import arxiv_doi
 from citeweave.operators.extract import explode_references, extract_edges
-from citeweave.operators.invert import invert
-from citeweave.operators.validate import head_resolver, lookup, resolve_unmatched
+from citeweave.operators.invert import dedup_links, link_counts
+from citeweave.operators.resolve import Resolver, head_status, resolve_unmatched
+from citeweave.operators.validate import lookup
+from citeweave.schemas import EDGES, LINKS
 from citeweave.scratch import scratch
+from citeweave.sinks.lines import HOT, write_lines_split
 from citeweave.sinks.outputs import write_partitioned_edges, write_split
-from citeweave.sources.records import read_citations, read_index, read_records, write_index
-from citeweave.sources.works import read_archive, read_directory, works_index
+from citeweave.sources.edges import read_partitioned_edges
+from citeweave.sources.records import first_bad_record, read_citations, read_index, read_records, write_index
+from citeweave.sources.works import items, scan_archives, scan_directory, works_index
+from citeweave.storage import digest, names, remove
+from citeweave.streaming.commits import CommitLog, key_range
 from citeweave.streaming.manifest import PHASES, Manifest
 
 SOURCES = ("all", "crossref", "datacite", "arxiv")
@@ -38,6 +48,14 @@ class PipelineArgs:
     run_id: str | None = None
     temp_dir: str | None = None
     single_file: bool = False
+    #: Key ranges of a named run, and how many of them are inverted and committed at once.
+    ranges: int = 64
+    ranges_at_once: int = 8
+    #: Where answers of the resolver are remembered, and how often passing errors are asked again.
+    resolved_table: str | None = None
+    retries: int = 0
+    #: Citing works beyond which a work's line is written without gathering them.
+    hot: int = HOT
 
     def check(self) -> None:
         """Raises ValueError when the source lacks an output or the index that it is checked against."""
@@ -51,17 +69,24 @@ class PipelineArgs:
             raise ValueError(f"source {self.source} needs registry records or a stored registry index")
 
 
-def _read_works(spark: SparkSession, path: str) -> DataFrame:
-    """Archives by name or in a local folder; any other path is a folder of extracted members, in any store."""
-    local = Path(path)
-    archives = path.endswith(".tar.gz") or local.is_file() or local.is_dir() and any(local.glob("*.tar.gz"))
-    return read_archive(spark, path) if archives else read_directory(spark, path)
+def _scan_works(spark: SparkSession, path: str) -> DataFrame:
+    """Archives by name, by a glob or in a folder; any other path is a folder of extracted members."""
+    archives = path.endswith(".gz") or any(name.endswith(".tar.gz") for name in ([] if "*" in path else names(spark, path)))
+    return scan_archives(spark, path) if archives else scan_directory(spark, path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of this run, in whatever store it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def _seen(counters: Observation) -> dict[str, int]:
+    """What a finished write has counted; nothing where an empty table left nothing to do."""
+    try:
+        return {k: int(v or 0) for k, v in counters.get.items()}
+    except Py4JJavaError:  # Spark has no row of counters then
+        return {}
+
+
+def run_digests(spark: SparkSession, args: PipelineArgs) -> tuple[str, str | None]:
+    """What makes a run the same one: its options, and the files of its input while they are there."""
+    said = [args.input, args.source, args.datacite_records, args.load_index, sorted(args.http_fallback), args.ranges]
+    return hashlib.sha256(json.dumps(said, sort_keys=True).encode()).hexdigest(), digest(spark, args.input)
 
 
 def write_results(looked_up: DataFrame, source: str, outputs: dict[str, str], failed: dict[str, str], single: bool) -> None:
@@ -74,55 +99,153 @@ def write_results(looked_up: DataFrame, source: str, outputs: dict[str, str], fa
             write_split(bad.drop("matched_source"), failed[s], arxiv, single)
 
 
-def run_pipeline(spark: SparkSession, args: PipelineArgs, resolver: Callable[[str], bool] | None = None) -> dict[str, str]:
+def write_link_results(links: DataFrame, validated: DataFrame, args: PipelineArgs) -> None:
+    """The outputs of a run, from links and one row per cited work; no array of citing works is made for hot ones."""
+    arxiv, bad = args.source == "arxiv", validated.where(F.col("matched_source").isNull())
+    for s in ("crossref", "datacite") if args.source == "all" else (args.source,):
+        good = validated.where(F.col("matched_source") == s) if args.source == "all" else validated.where(F.col("matched_source").isNotNull())
+        for works, path in ((good, args.outputs.get(s)), (bad, args.failed.get(s))):
+            if path:
+                write_lines_split(links, works, path, arxiv, args.hot, args.single_file)
+
+
+def invert_ranges(edges: DataFrame, path: str, log: CommitLog, ranges: int, at_once: int, on_commit: Callable[[list[int]], None] | None = None) -> DataFrame:
+    """Links of edges that are stored by key_range, written by ranges below path; ranges that log has are not done again.
+
+    What a run that ended had written without committing it is written anew. on_commit is called behind each commit.
+    """
+    spark = edges.sparkSession
+    todo = log.pending(spark.range(ranges).select(F.col("id").cast("int").alias("key")), F.col("key"), "invert")
+    left = sorted(r["key"] for r in todo.collect())  # at most as many numbers as there are ranges
+    for a in range(0, len(left), at_once):
+        now = left[a : a + at_once]
+        links = dedup_links(edges.where(F.col("key_range").isin(now))).withColumn("key_range", key_range(F.col("cited_id"), ranges))
+        dealt = links.hint("rebalance", F.col("key_range")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        dealt.partitionBy("key_range").option("compression", "zstd").parquet(path)
+        made = read_links(spark, path).where(F.col("key_range").isin(now)).groupBy(F.col("key_range").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        every = spark.createDataFrame([(k,) for k in now], "key int").join(made, "key", "left").fillna(0, "n")
+        log.commit("invert", every)
+        if on_commit:
+            on_commit(now)
+    return read_links(spark, path)
+
+
+def read_links(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{LINKS}, key_range int").parquet(path)
+
+
+def run_pipeline(spark: SparkSession, args: PipelineArgs, resolver: Resolver | None = None, on_commit: Callable[[list[int]], None] | None = None) -> dict:
     """Runs all stages; intermediates go to a folder of this run below temp_dir, removed unless they are kept.
 
-    Works without any match give empty outputs.
+    Works without any match give empty outputs. A run with a run_id goes on where it ended, by phases and, in the
+    inversion, by key ranges; under the same run_id, other options or another input are refused. Returns temp and
+    stats: what the run's own passes counted, which takes no job besides.
     """
     args.check()
     temp = scratch(spark, args.temp_dir)
     if args.run_id:
         temp = f"{temp.rpartition('/')[0]}/run-{args.run_id}"
-    run = Manifest.load(spark, f"{temp}/manifest") or Manifest()
+    options, files = run_digests(spark, args)
+    run = Manifest.load(spark, f"{temp}/manifest") or Manifest(options=options, input=files or "")
+    if run.options != options or files and run.input != files:
+        raise ValueError(f"run {args.run_id} has other options or another input")
+    log = CommitLog(spark, f"{temp}/commits", f"{options}:{run.input}")
 
-    def stage(phase: str, name: str, frame: Callable[[], DataFrame]) -> DataFrame:
-        """Written once; a run that goes on reads what an earlier one finished."""
+    def stage(phase: str, name: str, frame: Callable[[Observation], DataFrame]) -> DataFrame:
+        """Written once, with its counters; a run that goes on reads what an earlier one finished."""
         if PHASES.index(run.phase) <= PHASES.index(phase):
-            frame().write.mode("overwrite").option("compression", "zstd").parquet(f"{temp}/{name}")
+            seen = Observation(phase)
+            frame(seen).write.mode("overwrite").option("compression", "zstd").parquet(f"{temp}/{name}")
+            run.stats |= _seen(seen)
             run.advance(PHASES[PHASES.index(phase) + 1])
             run.save(spark, f"{temp}/manifest")
         return spark.read.parquet(f"{temp}/{name}")
 
-    works = stage("extract", "works", lambda: _read_works(spark, args.input))  # an archive is sequential: it is read once
-    index_a = read_index(spark, args.load_index["crossref"]) if "crossref" in args.load_index else works_index(works)
-    index_b = None
-    if "datacite" in args.load_index:
-        index_b = read_index(spark, args.load_index["datacite"])
-    elif args.datacite_records:
-        index_b = read_records(spark, args.datacite_records)
+    item = F.col("item_ord").isNotNull()
+
+    def scanned(seen: Observation) -> DataFrame:
+        status = F.col("status")
+        # Observed before rows are dealt out, as the scan itself counts.
+        return _scan_works(spark, args.input).observe(
+            seen, F.count_if(status == "read").alias("files"), F.count_if(status != "read").alias("rejected"),
+            F.count_if(item).alias("items"), F.count_if(item & F.col("doi").isNotNull()).alias("indexed"),
+        ).hint("rebalance")
+
+    works = items(stage("extract", "works", scanned))  # an archive is sequential: it is read once
     mode = "arxiv" if args.source == "arxiv" else "doi"
-    edges = extract_edges(explode_references(works), mode)
-    if args.keep_intermediates:
-        write_partitioned_edges(edges, f"{temp}/edges")
-    inverted = stage("invert", "inverted", lambda: invert(edges, mode))
-    if mode == "arxiv":
-        cited = inverted.select(F.col("arxiv_doi").alias("doi"), F.col("cited_id").alias("arxiv_id"), "reference_count", "citation_count", "cited_by")
+    references = explode_references(works)
+    if args.run_id:
+        links = _named_links(spark, args, run, references, mode, temp, log, on_commit)
     else:
-        cited = inverted.withColumnRenamed("cited_id", "doi")
 
-    def validated() -> DataFrame:
+        def inverted(seen: Observation) -> DataFrame:
+            edges = extract_edges(references, mode, counters=seen)
+            if args.keep_intermediates:
+                write_partitioned_edges(edges, f"{temp}/edges")
+                edges = read_partitioned_edges(spark, f"{temp}/edges").drop("pkey")
+            return dedup_links(edges)
+
+        links = stage("invert", "links", inverted)
+    counts = link_counts(links)
+    cited = counts.select("cited_id", (arxiv_doi(F.col("cited_id")) if mode == "arxiv" else F.col("cited_id")).alias("doi"), "reference_count", "citation_count")
+    if mode == "arxiv":
+        cited = cited.withColumn("arxiv_id", F.col("cited_id"))
+    index_a, index_b = _indexes(spark, args, works, cited)
+
+    def validated(seen: Observation) -> DataFrame:
         looked_up = lookup(cited, args.source, index_a, index_b)
-        if args.source in args.http_fallback or args.source == "all" and args.http_fallback:
-            looked_up = resolve_unmatched(looked_up, resolver or head_resolver(args.timeout), args.source, args.concurrency)
-        return looked_up
+        source, found = F.col("matched_source"), [F.count(F.lit(1)).alias("works"), F.sum("citation_count").alias("citations")]
+        by_index = [F.count_if(source == s).alias(f"{s}_matched") for s in ("crossref", "datacite")]
+        if not (args.source in args.http_fallback or args.source == "all" and args.http_fallback):
+            return looked_up.observe(seen, *found, *by_index, F.count_if(source.isNull()).alias("failed"), F.lit(0).alias("resolved"))
+        before = looked_up.withColumn("by_index", source)
+        resolved = resolve_unmatched(before, resolver or head_status(args.timeout), args.source, args.concurrency, table=args.resolved_table, retries=args.retries)
+        by_index = [F.count_if(F.col("by_index") == s).alias(f"{s}_matched") for s in ("crossref", "datacite")]
+        newly = F.count_if(F.col("by_index").isNull() & source.isNotNull()).alias("resolved")
+        return resolved.observe(seen, *found, *by_index, F.count_if(source.isNull()).alias("failed"), newly).drop("by_index")
 
-    write_results(stage("validate", "validated", validated), args.source, args.outputs, args.failed, args.single_file)
-    for name, index in (("crossref", index_a), ("datacite", index_b)):
+    write_link_results(links, stage("validate", "validated", validated), args)
+    whole_a = works_index(works) if "crossref" not in args.load_index else read_index(spark, args.load_index["crossref"])
+    whole_b = read_index(spark, args.load_index["datacite"]) if "datacite" in args.load_index else read_records(spark, args.datacite_records) if args.datacite_records else None
+    for name, index in (("crossref", whole_a), ("datacite", whole_b)):
         if name in args.save_index and index is not None:
             write_index(index, args.save_index[name])
     if not args.keep_intermediates:
-        _remove(spark, temp)
-    return {"temp": temp}
+        remove(spark, temp)
+    return {"temp": temp, "stats": dict.fromkeys(COUNTERS, 0) | run.stats}
+
+
+#: What a run counts: members and items read, edges, inverted works, and how they were validated.
+COUNTERS = (
+    "files", "rejected", "items", "indexed", "matches", "refs_with_matches", "works", "citations", "crossref_matched", "datacite_matched", "resolved", "failed",
+)
+
+
+def _indexes(spark: SparkSession, args: PipelineArgs, works: DataFrame, cited: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Indexes to look cited works up in; stored ones are read where cited works can be."""
+    a = read_index(spark, args.load_index["crossref"], cited) if "crossref" in args.load_index else works_index(works)
+    if "datacite" in args.load_index:
+        return a, read_index(spark, args.load_index["datacite"], cited)
+    return a, read_records(spark, args.datacite_records) if args.datacite_records else None
+
+
+def _named_links(
+    spark: SparkSession, args: PipelineArgs, run: Manifest, references: DataFrame, mode: str, temp: str, log: CommitLog, on_commit: Callable[[list[int]], None] | None
+) -> DataFrame:
+    """Links of a run that can go on: edges are stored by key range, then inverted range by range."""
+    if PHASES.index(run.phase) <= PHASES.index("invert"):
+        if log.finished("edges").isEmpty():
+            seen = Observation("edges")
+            edges = extract_edges(references, mode, counters=seen).withColumn("key_range", key_range(F.col("cited_id"), args.ranges))
+            edges.hint("rebalance", F.col("key_range")).write.mode("overwrite").partitionBy("key_range").option("compression", "zstd").parquet(f"{temp}/edges")
+            run.stats |= _seen(seen)
+            run.save(spark, f"{temp}/manifest")
+            log.commit("edges", spark.createDataFrame([("all", run.stats.get("matches", 0))], "key string, n bigint"))
+        edges = spark.read.schema(f"{EDGES}, key_range int").parquet(f"{temp}/edges")
+        invert_ranges(edges, f"{temp}/links", log, args.ranges, args.ranges_at_once, on_commit)
+        run.advance("validate")
+        run.save(spark, f"{temp}/manifest")
+    return read_links(spark, f"{temp}/links")
 
 
 def run_validate(
@@ -136,21 +259,35 @@ def run_validate(
     http_fallback: bool = False,
     concurrency: int = 50,
     timeout: float = 5.0,
-    resolver: Callable[[str], bool] | None = None,
+    resolver: Resolver | None = None,
     single_file: bool = False,
+    resolved_table: str | None = None,
+    retries: int = 0,
 ) -> None:
-    """Validates a citations file. Input and outputs must be different paths."""
+    """Validates a citations file. Input and outputs must be different paths. A bad record is named by its number."""
     need_a, need_b = source in ("all", "crossref"), source in ("all", "datacite", "arxiv")
     have = (need_a and crossref_index) or (need_b and datacite_records)
     if not (have or http_fallback):
         raise ValueError(f"source {source} needs its index or the HTTP fallback")
     if input in (output_valid, output_failed):
         raise ValueError("input and outputs have to be different paths")
-    a = read_index(spark, crossref_index) if need_a and crossref_index else None
-    b = read_records(spark, datacite_records) if need_b and datacite_records else None
-    looked_up = lookup(read_citations(spark, input), source, a, b)
-    if http_fallback:
-        looked_up = resolve_unmatched(looked_up, resolver or head_resolver(timeout), source, concurrency)
+    try:
+        _validate(spark, input, source, output_valid, output_failed, crossref_index if need_a else None, datacite_records if need_b else None,
+                  (resolver or head_status(timeout)) if http_fallback else None, concurrency, single_file, resolved_table, retries)
+    except (PySparkException, Py4JJavaError) as e:
+        bad = first_bad_record(spark, input)  # only a run that failed is read again
+        if bad:
+            raise ValueError(bad) from e
+        raise
+
+
+def _validate(spark, input, source, output_valid, output_failed, crossref_index, datacite_records, resolver, concurrency, single_file, resolved_table, retries) -> None:
+    citations = read_citations(spark, input)
+    a = read_index(spark, crossref_index, citations) if crossref_index else None
+    b = read_records(spark, datacite_records) if datacite_records else None
+    looked_up = lookup(citations, source, a, b)
+    if resolver:
+        looked_up = resolve_unmatched(looked_up, resolver, source, concurrency, table=resolved_table, retries=retries)
     looked_up = looked_up.persist()
     good, bad = looked_up.where(F.col("matched_source").isNotNull()), looked_up.where(F.col("matched_source").isNull())
     write_split(good.drop("matched_source"), output_valid, source == "arxiv", single_file)

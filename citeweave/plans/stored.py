@@ -2,31 +2,32 @@
 
 from __future__ import annotations
 
-import io
 import tarfile
-from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave import fixtures
-from citeweave.functions.elapsed import format_elapsed
+from citeweave.functions.elapsed import elapsed as elapsed_of
 from citeweave.functions.keys import partition_key
 from citeweave.operators.extract import explode_references, extract_edges, search_text
-from citeweave.operators.invert import citation_counts, invert
-from citeweave.operators.validate import lookup, resolve_unmatched
+from citeweave.operators.invert import citation_counts, dedup_links, invert
+from citeweave.operators.resolve import ANSWERS, resolve_unmatched
+from citeweave.operators.validate import lookup
 from citeweave.plans.pipeline import PipelineArgs, run_pipeline, run_validate, write_results
 from citeweave.scratch import scratch
-from citeweave.sinks.outputs import split_path, write_inverted, write_jsonl, write_partitioned_edges, write_split
-from citeweave.sources.edges import read_partitioned_edges
-from citeweave.sources.records import read_citations, read_index, read_records, write_index
-from citeweave.sources.works import read_archive, read_directory, works_index
+from citeweave.sinks.lines import write_lines
+from citeweave.sinks.outputs import compact_edges, split_path, split_path_of, write_inverted, write_jsonl, write_partitioned_edges, write_split
+from citeweave.sources.edges import read_partitioned_edges, read_ranked
+from citeweave.sources.records import bad_records, read_citations, read_index, read_prefixes, read_records, write_index
+from citeweave.sources.works import members, read_archive, read_directory, scan_archives, works_index
+from citeweave.storage import remove
+from citeweave.streaming.commits import CommitLog
 from citeweave.streaming.manifest import PHASES, Manifest, pending_edges
 
 #: Works of one JSON document, and documents of one archive, of the derived corpus.
 WORKS_PER_MEMBER, MEMBERS_PER_ARCHIVE = 500, 16
-PATHS = ["out/valid.jsonl", "valid", "a.b/valid.x.jsonl"]
 
 
 def _edges(spark: SparkSession, d: str, mode: str = "doi") -> DataFrame:
@@ -60,24 +61,31 @@ def _folder(spark: SparkSession, d: str) -> str:
     return path
 
 
-def _archives(spark: SparkSession, d: str) -> str:
-    """The same as tar.gz files, with members that are no JSON beside them. Each task writes its archives to the shared folder."""
-    path = scratch(spark)
-    local = urlsplit(path).path
-    spark.createDataFrame([("",)], "value string").write.text(path)  # makes the folder, in the store's way
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        name = f"{local}/{int(rows['archive'].iloc[0]):08d}.tar.gz"
-        with tarfile.open(name, "w:gz") as tar:
-            for member, text in [*zip((f"{m:08d}.json" for m in rows["member"]), rows["text"]), ("broken.json", "{"), ("other.JSON", '{"items": [{"DOI": "10.1/x"}]}')]:
-                info = tarfile.TarInfo(member)
-                info.size = len(text.encode())
-                tar.addfile(info, io.BytesIO(text.encode()))
-        return pd.DataFrame({"name": [name]})
+def _tar_members(names: pd.Series, texts: pd.Series) -> pd.Series:
+    """Header and content of each member, all but its last line end; blanks fill it up to whole blocks."""
+
+    def one(name: str, text: str) -> str:
+        size = -(-(len(text.encode()) + 1) // tarfile.BLOCKSIZE) * tarfile.BLOCKSIZE
+        info = tarfile.TarInfo(name)
+        info.size = size
+        return info.tobuf(tarfile.USTAR_FORMAT).decode() + text + " " * (size - 1 - len(text.encode()))
+
+    return pd.Series([one(n, t) for n, t in zip(names, texts)])
+
 
-    texts = _members(spark, d).select("member", F.floor(F.col("member") / MEMBERS_PER_ARCHIVE).alias("archive"), F.to_json(F.struct("items")).alias("text"))
-    texts.groupBy("archive").applyInPandas(pack, "name string").write.mode("append").text(f"{path}/names")
-    return local
+def _archives(spark: SparkSession, d: str) -> str:
+    """The same as tar.gz files, an archive a folder, with members that are no JSON beside them. Spark's own text writer makes them, in any store."""
+    path = scratch(spark)
+    archive = F.floor(F.col("member") / MEMBERS_PER_ARCHIVE)
+    texts = _members(spark, d).select(archive.alias("archive"), F.format_string("%08d.json", "member").alias("name"), F.to_json(F.struct("items")).alias("text"))
+    others = [("broken.json", "{"), ("other.JSON", '{"items": [{"DOI": "10.1/x"}]}')]
+    beside = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("text")) for n, t in others])
+    every = texts.unionByName(texts.select("archive").distinct().select("archive", F.inline(beside)))
+    ends = texts.select("archive").distinct().select("archive", F.lit("~").alias("name"), F.repeat(F.lit("\0"), 2 * tarfile.BLOCKSIZE).alias("value"))
+    rows = every.select("archive", "name", F.pandas_udf(_tar_members, "string")("name", "text").alias("value")).unionByName(ends)
+    rows.repartition("archive").sortWithinPartitions("archive", "name").select("archive", "value").write.partitionBy("archive").option("compression", "gzip").text(path)
+    return path
 
 
 def _counted(works: DataFrame) -> DataFrame:
@@ -161,7 +169,11 @@ def cited_by_entries(spark, d):
 
 
 def split_paths(spark, d):
-    return spark.createDataFrame([(p, split_path(p, "asserted"), split_path(p, "mined")) for p in PATHS], "path string, asserted string, mined string")
+    """Paths with one, several and no endings, in folders with and without dots."""
+    ending = F.when(F.col("p_partkey") % 4 == 0, ".jsonl").when(F.col("p_partkey") % 4 == 1, "").when(F.col("p_partkey") % 4 == 2, ".x.gz").otherwise(F.concat(F.lit("."), F.translate("p_brand", "#", "")))
+    path = F.concat(F.lit("out."), F.col("p_size").cast("string"), F.lit("/"), F.translate("p_name", " ", "_"), ending)
+    found = spark.read.parquet(f"{d}/part.parquet").select(path.alias("path")).distinct()
+    return found.select("path", split_path_of(F.col("path"), "asserted").alias("asserted"), split_path_of(F.col("path"), "mined").alias("mined"))
 
 
 def _split(spark, d, mode, kind):
@@ -219,19 +231,120 @@ def resolver_union(spark, d):
 
 
 def elapsed(spark, d):
-    shown = F.pandas_udf(lambda ms: ms.map(lambda x: format_elapsed(x / 1000)), "string")
     ms = F.col("o_orderkey") * 977
-    return spark.read.parquet(f"{d}/orders.parquet").select(ms.alias("ms")).distinct().select("ms", shown("ms").alias("shown"))
+    return spark.read.parquet(f"{d}/orders.parquet").select(ms.alias("ms")).distinct().select("ms", elapsed_of(F.col("ms")).alias("shown"))
 
 
 def manifest_json(spark, d):
-    """The keys of all edges, kept in a manifest and loaded again."""
+    """The keys of all edges, kept in a commit log of JSON and loaded again; none passes through the driver."""
+    log = CommitLog(spark, scratch(spark), "this run")
+    log.commit("written", _edges(spark, d).groupBy(partition_key(F.col("cited_id")).alias("key")).agg(F.count(F.lit(1)).alias("n")))
+    CommitLog(spark, log.path, "another run").commit("written", spark.createDataFrame([("10.0", 1)], "key string, n bigint"))
+    return log.finished("written").select(F.col("key").alias("pkey"))
+
+
+def archive_members(spark, d):
+    """What became of the members of each archive; the one that is no JSON is named, one of another ending is not read."""
+    found = members(scan_archives(spark, _archives(spark, d)))
+    name, archive = F.substring_index("entry_path", "!", -1), F.regexp_extract("entry_path", "archive=([0-9]+)", 1).cast("bigint")
+    return found.select(archive.alias("archive"), name.alias("member"), F.substring_index("status", ":", 1).alias("status"))
+
+
+COUNTERS = ("files", "rejected", "items", "indexed", "matches", "refs_with_matches", "works", "citations", "crossref_matched", "failed")
+
+
+def run_counters(spark, d):
+    """What a run's own passes count, archives to validated works."""
+    base = scratch(spark)
+    stats = run_pipeline(spark, PipelineArgs(f"{_archives(spark, d)}/*/*.gz", "crossref", outputs={"crossref": f"{base}/o.jsonl"}, temp_dir=base))["stats"]
+    return spark.createDataFrame([[stats[k] for k in COUNTERS]], ", ".join(f"{k} bigint" for k in COUNTERS))
+
+
+def resumed_ranges(spark, d):
+    """A run that ended behind half of its key ranges goes on with the rest, without its input."""
+    base = scratch(spark)
+    args = PipelineArgs(_folder(spark, d), "crossref", outputs={"crossref": f"{base}/o.jsonl"}, temp_dir=base, run_id="again", ranges=8, ranges_at_once=2, keep_intermediates=True)
+    done = []
+
+    def ends(now):
+        done.extend(now)
+        if len(done) == 4:
+            raise InterruptedError
+
+    try:
+        run_pipeline(spark, args, on_commit=ends)
+    except InterruptedError:
+        remove(spark, args.input)
+    run_pipeline(spark, args, on_commit=done.extend)
+    commits = spark.read.json(f"{base}/run-again/commits").where("phase = 'invert'").agg(F.count(F.lit(1)).alias("n_commits"), F.sum("n").alias("n_links"))
+    return _lines(spark, f"{base}/o.jsonl", ["doi", "citation_count"]).join(F.broadcast(commits)).withColumn("n_ranges_run", F.lit(len(done)).cast("bigint"))
+
+
+def hot_lines(spark, d):
+    """Lines of works with more than twenty citing ones are put together by the writer, the others gathered."""
+    path, links = scratch(spark), dedup_links(_edges(spark, d))
+    works = links.groupBy("cited_id").agg(F.count(F.lit(1)).alias("reference_count")).withColumn("doi", F.col("cited_id"))
+    write_lines(links, works, path, hot=20)
+    entry = "array<struct<doi string, provenance string, matches array<struct<raw_match string, reference variant>>>>"
+    read = spark.read.text(path).where(F.trim("value") != "").select(F.from_json("value", f"doi string, reference_count bigint, citation_count bigint, cited_by {entry}").alias("r")).select("r.*")
+    shown = lambda c: F.concat_ws("|", c.doi, c.provenance, c.matches[0].raw_match, F.try_variant_get(c.matches[0].reference, "$.kind", "string"))
+    return read.select("doi", "reference_count", "citation_count", F.array_join(F.transform("cited_by", shown), ";").alias("cited_by"))
+
+
+def record_numbers(spark, d):
+    """Citation files, one a prefix, with blank lines of all kinds and records that are refused: their numbers."""
+    path = scratch(spark)
+    counts = citation_counts(_edges(spark, d)).select("cited_id", "citation_count", partition_key(F.col("cited_id")).alias("pkey"), (F.ascii(F.substring("cited_id", -1, 1)) * 31 + F.length("cited_id") * 7 + F.col("citation_count")).alias("c"))
+    whole = F.to_json(F.struct(F.col("cited_id").alias("doi"), F.lit(1).alias("reference_count"), "citation_count", F.array().cast("array<string>").alias("cited_by")))
+    line = F.when(F.col("c") % 11 == 0, F.substring(whole, 1, 9)).when(F.col("c") % 13 == 0, F.to_json(F.struct(F.col("cited_id").alias("doi")))).otherwise(whole)
+    blank = F.when(F.col("c") % 5 == 0, F.array(F.lit(" \t\u00a0"), F.lit(""), line)).otherwise(F.array(line))
+    rows = counts.repartition("pkey").sortWithinPartitions("pkey", "cited_id").select("pkey", F.explode(blank).alias("value"))
+    rows.write.partitionBy("pkey").text(path)
+    return bad_records(spark, path).select(F.regexp_extract("file", "pkey=([^/]+)", 1).alias("pkey"), "number", "reason")
+
+
+def ranked_parquet(spark, d):
+    """The rank of a work is its place in the files."""
+    path = scratch(spark)
+    write_inverted(invert(_edges(spark, d)), path)
+    return read_ranked(spark, path).select("rank", "cited_id", "citation_count")
+
+
+def index_pruned(spark, d):
+    """Cited works of one registrant, looked up in what a stored index holds near them."""
     path = scratch(spark)
-    run, keys = Manifest(), _edges(spark, d).select(partition_key(F.col("cited_id"))).distinct()
-    for (key,) in keys.toLocalIterator():  # a key a registrant
-        run.mark("partitions_written", key)
-    run.save(spark, path)
-    return spark.createDataFrame([(k,) for k in Manifest.load(spark, path).partitions_written], "pkey string")
+    write_index(fixtures.index_a(spark, d).union(fixtures.index_b(spark, d)), path)
+    cited = citation_counts(_edges(spark, d)).where("cited_id LIKE '10.1007/%'").select(F.col("cited_id").alias("doi"))
+    return cited.join(read_index(spark, path, cited), "doi", "left_semi")
+
+
+def index_prefixes_read(spark, d):
+    path = scratch(spark)
+    write_index(fixtures.index_b(spark, d), path)
+    return read_prefixes(spark, path)
+
+
+def edges_compacted(spark, d):
+    """Four appends of a skewed table, rewritten: a file a key."""
+    path, target, edges = scratch(spark), scratch(spark), _edges(spark, d)
+    for k in range(4):
+        write_partitioned_edges(edges.where(F.col("ref_index") % 4 == k), path, "append")
+    compact_edges(spark, path, target)
+    kept = read_partitioned_edges(spark, target).select("pkey", F.col("_metadata.file_name").alias("file"))
+    return kept.groupBy("pkey").agg(F.count(F.lit(1)).alias("n_edges"), F.countDistinct("file").alias("n_files"))
+
+
+def resolver_table(spark, d):
+    """Answers for what no index has; a second run asks nothing."""
+    table = scratch(spark)
+    looked_up = lookup(citation_counts(_edges(spark, d)), "all", fixtures.index_a(spark, d), fixtures.index_b(spark, d), "cited_id")
+    resolve_unmatched(looked_up, lambda doi: 302 if doi[-1] in "02468" else 404, "all", column="cited_id", table=table)
+
+    def never(doi):
+        raise AssertionError(doi)
+
+    found = resolve_unmatched(looked_up, never, "all", column="cited_id", table=table).select(F.col("cited_id").alias("doi"), "matched_source")
+    return spark.read.schema(ANSWERS).parquet(table).select("doi", "outcome", "detail").join(found, "doi")
 
 
 def pipeline_outputs(spark, d):
@@ -243,11 +356,14 @@ def pipeline_outputs(spark, d):
 
 
 def resumed_phases(spark, d):
-    """A run that ended after extraction goes on without its input."""
+    """A run that ended before its outputs were written goes on without its input."""
     base = scratch(spark)
-    read_directory(spark, _folder(spark, d)).write.parquet(f"{base}/run-again/works")
-    Manifest(phase="invert").save(spark, f"{base}/run-again/manifest")
-    args = PipelineArgs("gone", "crossref", outputs={"crossref": f"{base}/o.jsonl"}, temp_dir=base, run_id="again", keep_intermediates=True)
+    args = PipelineArgs(_folder(spark, d), "crossref", outputs={"crossref": "no-such-store://o.jsonl"}, temp_dir=base, run_id="again", ranges=4, keep_intermediates=True)
+    try:
+        run_pipeline(spark, args)
+    except Exception:  # the store of its output is missing
+        remove(spark, args.input)
+    args.outputs = {"crossref": f"{base}/o.jsonl"}
     run_pipeline(spark, args)
     phase = Manifest.load(spark, f"{base}/run-again/manifest").phase
     return _lines(spark, f"{base}/o.jsonl", ["doi", "citation_count"]).withColumn("phase", F.lit(phase)).withColumn("n_phases", F.lit(len(PHASES)))
@@ -267,6 +383,7 @@ def queries() -> dict:
         works_folder, works_archive, works_dois, works_references, skip_rules, records_scan, index_scan, index_prefix_file, citations_scan,
         generic_jsonl, arxiv_jsonl, cited_by_entries, split_paths, source_outputs, edges_by_key, edges_appended, edges_union,
         inverted_parquet, skip_inverted, resolver_union, elapsed, manifest_json, pipeline_outputs, resumed_phases, validated_file,
+        archive_members, run_counters, resumed_ranges, hot_lines, record_numbers, ranked_parquet, index_pruned, index_prefixes_read, edges_compacted, resolver_table,
     )
     split = {f"{mode}_{kind}_jsonl": (lambda s, d, mode=mode, kind=kind: _split(s, d, mode, kind)) for mode in ("doi", "arxiv") for kind in ("asserted", "mined")}
     return {f.__name__: f for f in plain} | split
@@ -282,6 +399,8 @@ def oracle_selects(pkey: str, prefix: str) -> dict[str, str]:
     spoken = "(item_ord + ref_index) % 5 <> 0"
     edge2 = f"SELECT * FROM e WHERE {spoken} AND item_ord % 7 <> 0"
     count2 = f"SELECT cited_id, count(DISTINCT citing_doi) AS n FROM ({edge2}) GROUP BY 1"
+    known2 = "cited_id IN (SELECT lower(citing_doi) FROM refs WHERE item_ord % 7 <> 0)"
+    even = "right(cited_id, 1) IN ('0', '2', '4', '6', '8')"
     stem = "regexp_extract(path, '^(.*?)(\\.[^./]*)?$', {})"
     sided = "SELECT cited_id AS doi, CAST(citation_count AS VARCHAR) AS citation_count, '{}' AS output FROM cs WHERE matched_source {}"
     return {
@@ -297,7 +416,8 @@ def oracle_selects(pkey: str, prefix: str) -> dict[str, str]:
         "generic_jsonl": in_jsonl.format("cited_id AS doi,", "u"),
         "arxiv_jsonl": in_jsonl.format(arxiv, "ua"),
         "cited_by_entries": "SELECT u.cited_id, u.citing_doi, u.provenance, raw_match, CASE WHEN kind <> 3 THEN CAST(kind AS BIGINT) END AS kind FROM u JOIN refs USING (item_ord, ref_index) WHERE u.citing_doi <> u.cited_id",
-        "split_paths": f"SELECT path, {stem.format(1)} || '_asserted' || {stem.format(2)} AS asserted, {stem.format(1)} || '_mined' || {stem.format(2)} AS mined FROM (VALUES {', '.join(f'({chr(39)}{p}{chr(39)})' for p in PATHS)}) AS t(path)",
+        "split_paths": f"""SELECT path, {stem.format(1)} || '_asserted' || {stem.format(2)} AS asserted, {stem.format(1)} || '_mined' || {stem.format(2)} AS mined
+            FROM (SELECT DISTINCT 'out.' || p_size || '/' || replace(p_name, ' ', '_') || CASE p_partkey % 4 WHEN 0 THEN '.jsonl' WHEN 1 THEN '' WHEN 2 THEN '.x.gz' ELSE '.' || replace(p_brand, '#', '') END AS path FROM part)""",
         "source_outputs": " UNION ALL ".join([sided.format("crossref", "= 'crossref'"), sided.format("datacite", "= 'datacite'"), sided.format("crossref_failed", "IS NULL"), sided.format("datacite_failed", "IS NULL")]),
         "edges_by_key": f"SELECT {pkey} AS pkey, citing_doi, cited_id, match_ord FROM e WHERE {pkey} = '10.5061'",
         "edges_appended": f"SELECT {pkey} AS pkey, count(*) AS n_edges, count(DISTINCT cited_id) AS n_cited FROM e GROUP BY 1",
@@ -310,6 +430,24 @@ def oracle_selects(pkey: str, prefix: str) -> dict[str, str]:
         "pipeline_outputs": f"SELECT cited_id AS doi, CAST(n AS VARCHAR) AS citation_count, cited_id IN (SELECT lower(citing_doi) FROM refs WHERE item_ord % 7 <> 0) AS valid FROM ({count2})",
         "resumed_phases": f"SELECT cited_id AS doi, CAST(n AS VARCHAR) AS citation_count, 'complete' AS phase, 4 AS n_phases FROM ({count2}) WHERE cited_id IN (SELECT lower(citing_doi) FROM refs WHERE item_ord % 7 <> 0)",
         "validated_file": "SELECT cited_id AS doi, CAST(citation_count AS VARCHAR) AS citation_count, cited_id IN (SELECT doi FROM idx_a) AS valid FROM c",
+        "archive_members": f"""SELECT DISTINCT item_ord // {WORKS_PER_MEMBER * MEMBERS_PER_ARCHIVE} AS archive, printf('%08d.json', item_ord // {WORKS_PER_MEMBER}) AS member, 'read' AS status FROM refs
+            UNION ALL SELECT DISTINCT item_ord // {WORKS_PER_MEMBER * MEMBERS_PER_ARCHIVE}, 'broken.json', 'malformed' FROM refs""",
+        "run_counters": f"""SELECT (SELECT count(DISTINCT item_ord // {WORKS_PER_MEMBER}) FROM refs) AS files, (SELECT count(DISTINCT item_ord // {WORKS_PER_MEMBER * MEMBERS_PER_ARCHIVE}) FROM refs) AS rejected,
+            (SELECT count(DISTINCT item_ord) FROM refs) AS items, (SELECT count(DISTINCT item_ord) FROM refs WHERE item_ord % 7 <> 0) AS indexed,
+            (SELECT count(*) FROM ({edge2})) AS matches, (SELECT count(*) FROM (SELECT DISTINCT item_ord, ref_index FROM ({edge2}))) AS refs_with_matches,
+            count(*) AS works, CAST(sum(n) AS BIGINT) AS citations, count(*) FILTER (WHERE {known2}) AS crossref_matched, count(*) FILTER (WHERE NOT {known2}) AS failed FROM ({count2})""",
+        "resumed_ranges": f"""SELECT cited_id AS doi, CAST(n AS VARCHAR) AS citation_count, CAST(8 AS BIGINT) AS n_commits, CAST((SELECT sum(n) FROM ({count2})) AS BIGINT) AS n_links, CAST(8 AS BIGINT) AS n_ranges_run
+            FROM ({count2}) WHERE {known2}""",
+        "hot_lines": """SELECT u.cited_id AS doi, count(*) AS reference_count, count(*) AS citation_count,
+            string_agg(concat_ws('|', u.citing_doi, u.provenance, raw_match, CASE WHEN kind <> 3 THEN CAST(kind AS VARCHAR) END), ';' ORDER BY encode(u.citing_doi)) AS cited_by
+            FROM u JOIN refs USING (item_ord, ref_index) WHERE u.citing_doi <> u.cited_id GROUP BY 1""",
+        "record_numbers": f"""SELECT pkey, number, CASE WHEN code % 11 = 0 THEN 'malformed' ELSE 'lacks a required field' END AS reason
+            FROM (SELECT {pkey} AS pkey, row_number() OVER (PARTITION BY {pkey} ORDER BY encode(cited_id)) AS number, ascii(right(cited_id, 1)) * 31 + length(cited_id) * 7 + citation_count AS code FROM c) WHERE code % 11 = 0 OR code % 13 = 0""",
+        "ranked_parquet": "SELECT row_number() OVER (ORDER BY citation_count DESC, encode(cited_id)) AS rank, cited_id, citation_count FROM c",
+        "index_pruned": "SELECT cited_id AS doi FROM c WHERE cited_id LIKE '10.1007/%' AND cited_id IN (SELECT doi FROM m)",
+        "index_prefixes_read": f"SELECT DISTINCT {prefix.format('doi')} AS prefix FROM idx_b WHERE doi LIKE '10.%/%'",
+        "edges_compacted": f"SELECT {pkey} AS pkey, count(*) AS n_edges, CAST(1 AS BIGINT) AS n_files FROM e GROUP BY 1",
+        "resolver_table": f"SELECT cited_id AS doi, CASE WHEN {even} THEN 'found' ELSE 'missing' END AS outcome, CASE WHEN {even} THEN '302' ELSE '404' END AS detail, CASE WHEN {even} THEN 'datacite' END AS matched_source FROM cs WHERE matched_source IS NULL",
         **{f"doi_{k}_jsonl": split.format("cited_id AS doi,", w, "u", w) for k, w in of.items()},
         **{f"arxiv_{k}_jsonl": split.format(arxiv, w, "ua", w) for k, w in of.items()},
     }

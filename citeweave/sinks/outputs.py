@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
 from citeweave.functions.arxiv import arxiv_id_of_doi
 from citeweave.functions.keys import partition_key
 from citeweave.operators.validate import split_by_provenance
+from citeweave.schemas import EDGES
 
 
 def split_path(path: str, kind: str) -> str:
-    """p.ext -> p_kind.ext, beside the original."""
-    p = PurePosixPath(path)
-    return str(p.with_name(f"{p.stem}_{kind}{p.suffix}"))
+    """p.ext -> p_kind.ext, beside the original, in whatever store."""
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    p = PurePosixPath(name)
+    return f"{folder}{slash}{p.stem}_{kind}{p.suffix}"
+
+
+def split_path_of(path: Column, kind: str) -> Column:
+    """split_path of a column of paths."""
+    return F.regexp_replace(path, r"^(.*?[^/.][^/]*?)(\.[^./]*)?$", f"$1_{kind}$2")
 
 
 def cited_by_json(cited_by: Column) -> Column:
@@ -34,6 +41,12 @@ def cited_by_json(cited_by: Column) -> Column:
     )
 
 
+def arxiv_head(citations: DataFrame) -> list[Column]:
+    """arxiv_doi and arxiv_id; an id that is missing is taken from the DOI."""
+    known = F.coalesce("arxiv_id", arxiv_id_of_doi(F.col("doi"))) if "arxiv_id" in citations.columns else arxiv_id_of_doi(F.col("doi"))
+    return [F.col("doi").alias("arxiv_doi"), known.alias("arxiv_id")]
+
+
 def to_jsonl(citations: DataFrame, arxiv: bool = False, keep_null_id: bool = False) -> DataFrame:
     """One JSON text per record, in column value."""
     opaque = isinstance(citations.schema["cited_by"].dataType.elementType, VariantType)
@@ -41,8 +54,7 @@ def to_jsonl(citations: DataFrame, arxiv: bool = False, keep_null_id: bool = Fal
     counts = [F.col("reference_count"), F.col("citation_count"), entries.alias("cited_by")]
     head = [F.col("doi")]
     if arxiv:
-        known = F.coalesce("arxiv_id", arxiv_id_of_doi(F.col("doi"))) if "arxiv_id" in citations.columns else arxiv_id_of_doi(F.col("doi"))
-        head = [F.col("doi").alias("arxiv_doi"), known.alias("arxiv_id")]
+        head = arxiv_head(citations)
     elif keep_null_id:
         head.append((F.col("arxiv_id") if "arxiv_id" in citations.columns else F.lit(None).cast("string")).alias("arxiv_id"))
     return citations.select(F.to_json(F.struct(*head, *counts), {"ignoreNullFields": str(not keep_null_id).lower()}).alias("value"))
@@ -62,11 +74,30 @@ def write_split(citations: DataFrame, path: str, arxiv: bool = False, single: bo
         write_jsonl(split_by_provenance(citations, kind == "asserted"), split_path(path, kind), arxiv, keep_null_id=True, single=single)
 
 
-def write_partitioned_edges(edges: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Keeps edges by partition key, or appends to those kept. Large keys stay in as many files as tasks hold them."""
-    keyed = edges.withColumn("pkey", partition_key(F.col("cited_id")))
-    keyed.write.mode(mode).partitionBy("pkey").option("compression", "zstd").parquet(path)
+def write_partitioned_edges(edges: DataFrame, path: str, mode: str = "overwrite", largest_rows: int = 5_000_000) -> None:
+    """Keeps edges by partition key, or appends to those kept.
+
+    Rows are dealt out by key first, and AQE parts keys that are larger than its partitions: a key has as many files as
+    its bytes need, not one of every task that saw it. A file holds largest_rows at most.
+    """
+    keyed = edges.withColumn("pkey", partition_key(F.col("cited_id"))).hint("rebalance", F.col("pkey"))
+    keyed.write.mode(mode).partitionBy("pkey").option("compression", "zstd").option("maxRecordsPerFile", largest_rows).parquet(path)
+
+
+def compact_edges(spark: SparkSession, path: str, target: str) -> None:
+    """Rewrites kept edges, after many appends, in files of full size. target is another folder, which then takes the place of path."""
+    kept = spark.read.schema(f"{EDGES}, pkey string").parquet(path)
+    kept.hint("rebalance", F.col("pkey")).write.mode("overwrite").partitionBy("pkey").option("compression", "zstd").parquet(target)
+
+
+#: Rows of a row group of ranked output.
+RANKED_GROUP = 250_000
 
 
 def write_inverted(inverted: DataFrame, path: str) -> None:
-    inverted.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Most cited first, ties by identifier: sorted by ranges, so that the files, in the order of their names, are the ranking.
+
+    No task sorts more than its range; a row group has RANKED_GROUP rows at most.
+    """
+    ranked = inverted.orderBy(F.desc("citation_count"), F.asc("cited_id"))
+    ranked.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", RANKED_GROUP).parquet(path)

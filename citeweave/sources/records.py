@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pathlib import PurePosixPath
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeweave.operators.index import build_index
+from citeweave.functions.doi import doi_prefix
+from citeweave.operators.index import build_index, index_prefixes
+from citeweave.storage import exists
 
 
 def _string(variant: str, field: str):
@@ -16,33 +18,123 @@ def _string(variant: str, field: str):
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(variant, f"$.{field}", "string"))
 
 
+def blank(line: Column) -> Column:
+    """A line of white space alone, of any kind."""
+    return ~line.rlike(r"(?U)\S")
+
+
 def read_records(spark: SparkSession, path: str, id_field: str = "id") -> DataFrame:
     """Index of the string ids of a (compressed) JSONL file. Blank and malformed lines and other ids are ignored."""
-    lines = spark.read.text(path).where(F.trim("value") != "").select(F.try_parse_json("value").alias("v"))
+    lines = spark.read.text(path).where(~blank(F.col("value"))).select(F.try_parse_json("value").alias("v"))
     return build_index(lines.where(F.col("v").isNotNull()).select(_string("v", id_field).alias("doi")))
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """A stored index; lower-cased, as probes are."""
-    return build_index(spark.read.parquet(path))
+#: Ranges of identifiers to which a scan of an index is narrowed at most.
+INDEX_RANGES = 64
+#: Rows of a row group of a stored index.
+INDEX_GROUP = 100_000
+
+
+def read_index(spark: SparkSession, path: str, probes: DataFrame | None = None, column: str = "doi") -> DataFrame:
+    """A stored index; lower-cased, as probes are.
+
+    With probes, only what can match them is read: prefixes that both have, known from the small table beside the index,
+    are covered by a few ranges, which Parquet compares with the bounds of its row groups. The join decides the rest.
+    """
+    index = spark.read.parquet(path)
+    ranges = None if probes is None else probed_ranges(spark, path, probes, column)
+    if ranges is not None:
+        near = [(F.col("doi") >= f"{low}/") & (F.col("doi") < f"{high}0") for low, high in ranges]  # 0 follows the slash
+        index = index.where(reduce(lambda a, b: a | b, near, F.lit(False)))
+    return build_index(index)
+
+
+def read_prefixes(spark: SparkSession, path: str) -> DataFrame:
+    """The prefixes stored beside an index, or, where there are none, those of its identifiers."""
+    beside = prefix_path(path)
+    return spark.read.schema("prefix string").parquet(beside).distinct() if exists(spark, beside) else index_prefixes(read_index(spark, path))
+
+
+def prefix_path(path: str) -> str:
+    return f"{path.rstrip('/')}.prefixes"
+
+
+def probed_ranges(spark: SparkSession, path: str, probes: DataFrame, column: str) -> list[tuple[str, str]] | None:
+    """At most INDEX_RANGES ranges of prefixes, ends included, that cover those of probes in the index.
+
+    None if nothing can be told: without the table of prefixes, or where letters of either case make their order unsure.
+    """
+    if not exists(spark, prefix_path(path)):
+        return None
+    known = read_prefixes(spark, path).join(probes.select(doi_prefix(F.lower(column)).alias("prefix")).distinct(), "prefix", "left_semi")
+    tile = F.ntile(INDEX_RANGES).over(Window.orderBy("prefix"))  # a prefix a registrant: some 100,000 at most
+    tiles = known.select("prefix", tile.alias("tile")).groupBy("tile").agg(F.min("prefix").alias("low"), F.max("prefix").alias("high"), F.bool_or(F.col("prefix").rlike(r"[^0-9.]")).alias("unsure"))
+    found = tiles.orderBy("tile").collect()
+    return None if any(r["unsure"] for r in found) else [(r["low"], r["high"]) for r in found]
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    from citeweave.operators.index import index_prefixes
+    """Identifiers in order, so that a row group holds few prefixes, with a Bloom filter for single ones; their prefixes beside them."""
+    ordered = index.select("doi").repartitionByRange("doi").sortWithinPartitions("doi")
+    ordered.write.mode("overwrite").option("compression", "zstd").option("parquet.bloom.filter.enabled#doi", "true").option("parquet.block.row.count.limit", INDEX_GROUP).parquet(path)
+    index_prefixes(index.sparkSession.read.parquet(path)).write.mode("overwrite").option("compression", "zstd").parquet(prefix_path(path))
+
 
-    index.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    index_prefixes(index).write.mode("overwrite").option("compression", "zstd").parquet(f"{str(PurePosixPath(path))}.prefixes")
+CITATION = "doi string, arxiv_doi string, arxiv_id string, reference_count bigint, citation_count bigint, cited_by array<variant>"
+
+
+def _whole(r: Column) -> Column:
+    """Whether a parsed record has all that it must have."""
+    return F.coalesce(r.doi, r.arxiv_doi).isNotNull() & r.reference_count.isNotNull() & r.citation_count.isNotNull() & r.cited_by.isNotNull()
 
 
 def read_citations(spark: SparkSession, path: str) -> DataFrame:
-    """Citation records; a malformed line or one without doi, counts or cited_by fails the job.
+    """Citation records; a malformed line or one without doi, counts or cited_by fails the job. bad_records says which.
+
+    Entries of cited_by are opaque (variants): fields that this engine does not know pass through. Lines of white space
+    alone, of any kind, are skipped.
+    """
+    lines = spark.read.text(path).where(~blank(F.col("value")))
+    rows = lines.select("value", F.from_json("value", CITATION, {"mode": "FAILFAST"}).alias("r"))
+    said = F.concat(F.lit("citation record lacks a required field: "), F.substring("value", 1, 200))
+    checked = F.when(_whole(F.col("r")), F.coalesce("r.doi", "r.arxiv_doi")).otherwise(F.raise_error(said))
+    return rows.select(checked.alias("doi"), "r.arxiv_id", "r.reference_count", "r.citation_count", "r.cited_by")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that are not blank, with their place: file, split and, within it, an ascending number."""
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at")]
+    return spark.read.text(path).select(*place, "value").where(~blank(F.col("value")))
+
 
-    Entries of cited_by are opaque (variants): fields that this engine does not know pass through.
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Replaces the place by number, from 1 within a file.
+
+    Files are read in splits: each split's lines are counted, the counts before a split give its first number, and lines
+    stand in a split in their order. No task holds more than a split.
     """
-    schema = "doi string, arxiv_doi string, arxiv_id string, reference_count bigint, citation_count bigint, cited_by array<variant>"
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    rows = lines.select("value", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("value", "r.*")
-    doi = F.coalesce("doi", "arxiv_doi")
-    whole = doi.isNotNull() & F.col("reference_count").isNotNull() & F.col("citation_count").isNotNull() & F.col("cited_by").isNotNull()
-    checked = F.when(whole, doi).otherwise(F.raise_error(F.concat(F.lit("citation record lacks a required field: "), F.substring("value", 1, 200))))
-    return rows.select(checked.alias("doi"), "arxiv_id", "reference_count", "citation_count", "cited_by")
+    sizes = lines.groupBy("file", "split").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("file", "split", (F.sum("n").over(Window.partitionBy("file").orderBy("split")) - F.col("n")).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("file", "split").orderBy("at"))
+    numbered = lines.withColumn("nth", nth).join(before, ["file", "split"])
+    return numbered.withColumn("number", (F.col("before") + F.col("nth")).cast("bigint")).drop("split", "at", "before", "nth")
+
+
+def numbered_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, number and value of every line that is not blank."""
+    return _numbered(_lines(spark, path)).select("file", "number", "value")
+
+
+def bad_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, number, reason and value of the records that read_citations refuses; texts of good ones are not moved."""
+    parsed = F.from_json("value", f"{CITATION}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    reason = F.when(F.col("r").isNull() | F.col("r._corrupt").isNotNull(), "malformed").when(~_whole(F.col("r")), "lacks a required field")
+    judged = _lines(spark, path).withColumn("r", parsed).withColumn("reason", reason)
+    light = judged.select("file", "split", "at", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"))
+    return _numbered(light).where("reason IS NOT NULL").select("file", "number", "reason", "value")
+
+
+def first_bad_record(spark: SparkSession, path: str) -> str | None:
+    """What is wrong with the first record that is refused, with its number; none if all are good."""
+    found = bad_records(spark, path).select("file", "number", "reason").orderBy("file", "number").first()
+    return found and f"failed to parse record at line {found['number']} of {found['file']}: {found['reason']}"

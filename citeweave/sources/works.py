@@ -1,39 +1,41 @@
-"""Work records: tar.gz archives of JSON members (Python data source) and directories of extracted JSON."""
+"""Work records: tar.gz archives of JSON members, and directories of extracted JSON, from any store that Spark reads."""
 
 from __future__ import annotations
 
-import glob
-import gzip
+import io
 import json
-import os
+import re
 import tarfile
 from collections.abc import Iterator
+from itertools import chain, groupby
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from citeweave.schemas import WORKS
+from citeweave.schemas import REFERENCE, SCAN
 
 # Reference keys that are read, in the order of the schema.
 FIELDS = ("DOI", "URL", "article-title", "journal-title", "unstructured", "doi-asserted-by")
+NAMES = [f.split()[0] for f in REFERENCE[len("struct<") : -1].split(", ")]
 
 #: File names that are broadcast at most (about 10 MB).
 BROADCAST_NAMES = 100_000
+#: A larger member is rejected unread, so that a task holds one of this size at most.
+MAX_MEMBER = 1 << 30
+#: Items that a task passes on at once.
+ITEMS = 256
 
 
-def _reference(ref: object) -> tuple:
+def _reference(ref: object) -> dict:
     fields = ref if isinstance(ref, dict) else {}
     values = [v if isinstance(v := fields.get(k), str) else None for k in FIELDS]
-    return (*values, json.dumps(ref, sort_keys=True, separators=(",", ":"), ensure_ascii=False))
+    return dict(zip(NAMES, [*values, json.dumps(ref, sort_keys=True, separators=(",", ":"), ensure_ascii=False)]))
 
 
-def parse_items(raw: bytes) -> Iterator[tuple[int, str | None, list[tuple]]]:
-    """(position, DOI, references) of every item of one JSON document; nothing when it is malformed."""
-    try:
-        doc = json.loads(raw)
-    except ValueError:
-        return
+def parse_items(raw: bytes) -> Iterator[tuple[int, str | None, list[dict]]]:
+    """(position, DOI, references) of every item of one JSON document. ValueError when it is malformed."""
+    doc = json.loads(raw)
     items = doc.get("items") if isinstance(doc, dict) else None
     for k, item in enumerate(items if isinstance(items, list) else []):
         item = item if isinstance(item, dict) else {}
@@ -41,74 +43,132 @@ def parse_items(raw: bytes) -> Iterator[tuple[int, str | None, list[tuple]]]:
         yield k, doi if isinstance(doi, str) else None, [_reference(r) for r in (refs if isinstance(refs, list) else [])]
 
 
-class ArchivePartition(InputPartition):
-    def __init__(self, index: int, path: str):
-        self.index, self.path = index, path
+def _member(path: str, ordinal: int, read) -> Iterator[dict]:
+    """The items of a member, and one row without item_ord that says what became of it."""
+    row = {"entry_path": path, "entry_ord": ordinal, "item_ord": None, "doi": None, "refs": None, "status": "read"}
+    try:
+        raw = read()
+        if isinstance(raw, str):
+            row["status"] = raw
+        else:
+            for k, doi, refs in parse_items(raw):
+                yield {**row, "item_ord": k, "doi": doi, "refs": refs, "status": None}
+    except (ValueError, RecursionError) as e:
+        row["status"] = f"malformed: {e}"[:200]
+    yield row
+
+
+_ITEM = pa.schema([
+    ("entry_path", pa.string()), ("entry_ord", pa.int64()), ("item_ord", pa.int32()), ("doi", pa.string()),
+    ("refs", pa.list_(pa.struct([(n, pa.string()) for n in NAMES]))), ("status", pa.string()),
+])
+
+
+def _dealt(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    held: list[dict] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == ITEMS:
+            yield pa.RecordBatch.from_pylist(held, _ITEM)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist(held, _ITEM)
+
+
+class _Lines(io.RawIOBase):
+    """The bytes of a file that comes as its lines."""
+
+    def __init__(self, lines: Iterator[bytes]):
+        self.lines, self.left = lines, b""
+
+    def read(self, size: int = -1) -> bytes:
+        parts, have = [self.left], len(self.left)
+        while have < size and (line := next(self.lines, None)) is not None:
+            parts += [line, b"\n"]
+            have += len(line) + 1
+        held = b"".join(parts)
+        out, self.left = held[:size], held[size:]
+        return out
+
+
+def _archive_members(path: str, ordinal: int, lines: Iterator[bytes], largest: int) -> Iterator[dict]:
+    with tarfile.open(fileobj=_Lines(lines), mode="r|") as archive:
+        for n, member in enumerate(archive):
+            if member.isfile() and member.name.endswith(".json"):
+                size = member.size
+                read = (lambda m=member: archive.extractfile(m).read()) if size <= largest else (lambda s=size: f"too large: {s} bytes")
+                yield from _member(f"{path}!{member.name}", (ordinal << 40) + n, read)
+
+
+def _plain(uri: str) -> str:
+    """Spark writes file:/a and file:///a."""
+    return re.sub("^([^:/]+):/+", r"\1:/", uri)
+
+
+def scan_archives(spark: SparkSession, path: str, largest: int = MAX_MEMBER) -> DataFrame:
+    """Items of tar.gz archives, and beside them one row for each *.json member: read, or why it was rejected.
+
+    path: archives, a folder of them or a glob, in whatever store Spark reads: the gzip stream comes as the lines of
+    Spark's own reader, so no file is opened in Python, and is cut into members on the way. Such a stream cannot be
+    split: an archive is one task. The order is that of paths, then of members. A broken archive fails the job.
+    """
+    files = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").text(path)
+    ordinals = {_plain(name): k for k, name in enumerate(sorted(files.inputFiles()))}  # a name an archive
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The lines of a file stand together, in their order.
+        lines = chain.from_iterable(zip(b.column("file").to_pylist(), b.column("value").cast(pa.binary()).to_pylist()) for b in batches)
+        for name, own in groupby(lines, lambda x: x[0]):
+            stream = (line for _, line in own)
+            yield from _dealt(_archive_members(name, ordinals[_plain(name)], stream, largest))
+            for _ in stream:  # what may follow the archive's end
+                pass
 
-class WorksArchiveReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.paths = sorted(glob.glob(os.path.join(path, "*.tar.gz"))) if os.path.isdir(path) else sorted(glob.glob(path)) or [path]
+    return files.select(F.col("_metadata.file_path").alias("file"), "value").mapInArrow(run, SCAN)
 
-    def partitions(self):
-        return [ArchivePartition(k, p) for k, p in enumerate(self.paths)]
 
-    def read(self, partition):
-        """Streams members; a gzip stream cannot be split, so an archive is one task and emits small rows."""
-        with gzip.open(partition.path, "rb") as raw, tarfile.open(fileobj=raw, mode="r|") as archive:
-            for n, member in enumerate(archive):
-                if member.isfile() and member.name.endswith(".json"):
-                    for k, doi, refs in parse_items(archive.extractfile(member).read()):
-                        yield f"{partition.path}!{member.name}", (partition.index << 40) + n, k, doi, refs
+def scan_directory(spark: SparkSession, path: str, largest: int = MAX_MEMBER) -> DataFrame:
+    """The same of a directory of extracted *.json members; the order is that of file names.
 
+    Spark does not list empty files, so these have no row.
+    """
+    files = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").format("binaryFile").load(path)
+    names = files.select("path").orderBy("path")
+    # Ordinals of files: rank by name, from the small list of names alone.
+    ranked = names.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])).toDF("path string, entry_ord bigint")
+    if names.count() <= BROADCAST_NAMES:  # so that contents are not shuffled; beyond, a sort-merge join
+        ranked = F.broadcast(ranked)
 
-class WorksArchive(DataSource):
-    """spark.read.format("works_archive").load(path): a tar.gz, a glob or a directory of them.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                name, content, ordinal = (batch.column(c)[k] for c in ("path", "content", "entry_ord"))
+                yield from _dealt(_member(name.as_py(), ordinal.as_py(), lambda c=content: c.as_py() or b""))
+
+    small = files.where(F.col("length") <= largest).select("path", "content").join(ranked, "path").mapInArrow(run, SCAN)
+    large = files.where(F.col("length") > largest).select("path", "length").join(ranked, "path")
+    status = F.concat(F.lit("too large: "), F.col("length").cast("string"), F.lit(" bytes"))
+    rejected = large.select(F.col("path").alias("entry_path"), "entry_ord", status.alias("status"))
+    return small.unionByName(rejected, allowMissingColumns=True)
 
-    The path has to be one that executors can open (a mount that they share).
-    """
 
-    @classmethod
-    def name(cls):
-        return "works_archive"
+def items(scanned: DataFrame) -> DataFrame:
+    return scanned.where("item_ord IS NOT NULL").drop("status")
 
-    def schema(self):
-        return WORKS
 
-    def reader(self, schema):
-        return WorksArchiveReader(self.options["path"])
+def members(scanned: DataFrame) -> DataFrame:
+    """(entry_path, entry_ord, status): read, or the reason why a member was rejected."""
+    return scanned.where("item_ord IS NULL").select("entry_path", "entry_ord", "status")
 
 
 def read_archive(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Works of archives, dealt out right after the scan as each archive is read by one task."""
-    spark.dataSource.register(WorksArchive)
-    works = spark.read.format("works_archive").load(path)
+    works = items(scan_archives(spark, path))
     return works.repartition(partitions) if partitions else works.hint("rebalance")
 
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
-    """Works of a directory of extracted *.json members, from any store that Spark reads; the order is that of file names."""
-    files = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").format("binaryFile").load(path)
-    names = files.select("path").orderBy("path")
-    # Ordinals of files: rank by name, from the small list of names alone.
-    ranked = names.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])).toDF("path string, entry_ord bigint")
-    if names.count() <= BROADCAST_NAMES:  # so that contents are not shuffled; beyond, a sort-merge join
-        ranked = F.broadcast(ranked)
-
-    def parse(batches):
-        import pandas as pd
-
-        for batch in batches:
-            rows = [(p, o, *item) for p, o, raw in zip(batch["path"], batch["entry_ord"], batch["content"]) for item in parse_items(raw)]
-            yield pd.DataFrame(
-                [(p, o, k, d, [dict(zip(NAMES, r)) for r in refs]) for p, o, k, d, refs in rows],
-                columns=["entry_path", "entry_ord", "item_ord", "doi", "refs"],
-            )
-
-    return files.select("path", "content").join(ranked, "path").mapInPandas(parse, WORKS)
-
-
-NAMES = ("doi_field", "url", "article_title", "journal_title", "unstructured", "asserted_by", "ref_json")
+    return items(scan_directory(spark, path))
 
 
 def works_index(works: DataFrame) -> DataFrame:

@@ -13,23 +13,34 @@ from pyspark.sql.streaming import StreamingQuery
 from citeweave.functions.keys import partition_key
 from citeweave.operators.extract import extract_edges
 from citeweave.schemas import REFS
+from citeweave.storage import exists, names
 
 PHASES = ("extract", "invert", "validate", "complete")
 
 
 @dataclass
 class Manifest:
-    """Which stages and partitions of a run are done; kept as JSON next to its outputs."""
+    """Which phases of a run are done, what they counted, and which run it is; kept as JSON next to its outputs.
+
+    Key ranges are in the run's commit log; the lists here are for runs of a few partitions.
+    """
 
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     phase: str = "extract"
     partitions_written: list[str] = field(default_factory=list)
     partitions_inverted: list[str] = field(default_factory=list)
     stats: dict[str, int] = field(default_factory=dict)
+    #: Digests of the options and of the input's files.
+    options: str = ""
+    input: str = ""
 
     def mark(self, what: str, key: str) -> None:
         done = getattr(self, what)
-        if key not in done:
+        seen = self.__dict__.setdefault("_seen", {}).setdefault(what, set())
+        if len(seen) != len(done):
+            seen.update(done)
+        if key not in seen:
+            seen.add(key)
             done.append(key)
 
     def is_inverted(self, key: str) -> bool:
@@ -56,10 +67,7 @@ class Manifest:
 
 def _saved(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the saves that were finished."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath() for f in store.listStatus(target)] if store.exists(target) else []
-    return [int(p.getName()) for p in names if store.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return [int(name) for name in names(spark, path) if exists(spark, f"{path}/{name}/_SUCCESS")]
 
 
 def pending_edges(edges: DataFrame, manifest: Manifest) -> DataFrame:

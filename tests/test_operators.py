@@ -9,7 +9,8 @@ from citeweave.operators import index as ix
 from citeweave.operators.extract import explode_references, extract_edges
 from citeweave.operators.invert import best_provenance, citation_counts, dedup_edges, invert, ranked
 from citeweave.operators.stats import extraction_stats, inversion_stats, partition_histogram
-from citeweave.operators.validate import lookup, resolve_unmatched, split_by_provenance, validation_stats
+from citeweave.operators.resolve import resolve_unmatched
+from citeweave.operators.validate import lookup, split_by_provenance, validation_stats
 from citeweave.schemas import EDGES, WORKS
 from citeweave.sinks.outputs import split_path, to_jsonl, write_partitioned_edges
 from citeweave.sources.edges import read_partitioned_edges
