@@ -5,12 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from citeweave.storage import remove
+
 #: Text bytes that a Python worker holds at once (one longer document makes a block of its own).
 BLOCK_BYTES = 1 << 20
 
@@ -25,9 +28,29 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/citeweave-{uuid.uuid4().hex}"
 
 
+#: Folders of the stage that is being built, and of each stage of an application.
+_open: list[list[str]] = []
+_left: dict[tuple[str, str], list[str]] = {}
+
+
+@contextmanager
+def stage_scratch(spark: SparkSession, name: str, before: str | None = None) -> Iterator[None]:
+    """What is stored inside belongs to stage name. What stage before has stored goes: its result has been written by now."""
+    app = spark.sparkContext.applicationId
+    for path in _left.pop((app, before), []):
+        remove(spark, path)
+    _open.append(_left.setdefault((app, name), []))
+    try:
+        yield
+    finally:
+        _open.pop()
+
+
 def store(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts the lineage and survives lost executors."""
     path, spark = scratch(df.sparkSession), df.sparkSession
+    if _open:
+        _open[-1].append(path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

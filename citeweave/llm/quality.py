@@ -26,7 +26,7 @@ ORDER = 5
 UNIT = 1 << 20
 LM_BLOCK = 1 << 20
 #: Text bytes whose n-grams a worker adds up before it hands them on.
-COUNTED_BYTES = 1 << 23
+COUNTED_BYTES = 1 << 22
 #: n-grams of a slice of the model, 12 bytes each.
 SLICE = 1 << 22
 
@@ -193,7 +193,7 @@ class Slice:
     def __init__(self, keys: np.ndarray, logp: np.ndarray):
         by = np.argsort(keys)
         self.keys, self.logp = keys[by], logp[by].astype(np.int32)
-        self.shift = 64 - max(4, int(len(keys)).bit_length() + 1)
+        self.shift = 64 - max(4, int(len(keys)).bit_length() - 1)
         heads = np.arange(1 << (64 - self.shift), dtype=np.uint64) << np.uint64(self.shift)
         self.first = np.searchsorted(self.keys, heads).astype(np.int32)
 

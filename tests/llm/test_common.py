@@ -36,3 +36,18 @@ def test_scratch_is_shared(spark):
     assert scratch(spark).startswith(spark.conf.get("spark.checkpoint.dir")) and scratch(spark) != scratch(spark)
     frame = spark.range(10).selectExpr("id", "named_struct('a', id) AS row")
     assert store(frame).dtypes == frame.dtypes and sorted(store(frame).collect()) == sorted(frame.collect())
+
+
+def test_a_stage_removes_what_the_one_before_stored(spark):
+    from citeweave.llm.common import stage_scratch
+    from citeweave.storage import exists
+
+    def one(name, before=None):
+        with stage_scratch(spark, name, before):
+            return store(spark.range(3))
+
+    outside, a = store(spark.range(3)), one("a")
+    path = a.inputFiles()[0].rpartition("/")[0]
+    again, b = one("a"), one("b", "a")
+    assert not exists(spark, path) and not exists(spark, again.inputFiles()[0])
+    assert b.count() == outside.count() == 3
