@@ -1,5 +1,8 @@
 """Corpus pipeline: quality rules, line dedup, n-gram Jaccard join, source mixing, packing.
 
+Stages run one behind the other, each on what the one before has written: a stage removes the tables that the one before
+had stored for itself.
+
 Every stage takes null in any column, empty and very long texts, ties, repeated rows, an empty table (which gives an empty
 one) and further columns of any name; what each does with them is stated below and in the operator that it calls.
 """
@@ -9,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from citeweave.llm import jaccard, line_dedup, mixing, packing, quality
-from citeweave.llm.common import store
+from citeweave.llm.common import stage_scratch, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     So do null and empty texts, which have no words. Very long texts are judged whole, repeated rows alike; a null
     language has a band of its own.
     """
-    return quality.keep_good(docs)
+    with stage_scratch(spark, "quality rules"):
+        return quality.keep_good(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +31,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows of one doc_id count as one document. Null texts and rows without doc_id stay as they are; a text that is all
     repeats becomes empty.
     """
-    return line_dedup.clean_lines(docs)
+    with stage_scratch(spark, "line dedup", before="quality rules"):
+        return line_dedup.clean_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     It is the one of the least doc_id, with its repeated rows. Null and empty texts link with nothing and stay, as do rows
     without doc_id.
     """
-    return jaccard.keep_one(docs)
+    with stage_scratch(spark, "n-gram Jaccard join", before="line dedup"):
+        return jaccard.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is one of its own; null and empty texts count as one token. A source misses its budget by less than one
     of its blocks, and a very long text is in one block.
     """
-    return mixing.mixed_documents(docs)
+    with stage_scratch(spark, "mixing", before="n-gram Jaccard join"):
+        return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +62,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    with stage_scratch(spark, "packing", before="mixing"):
+        return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
