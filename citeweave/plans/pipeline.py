@@ -17,7 +17,7 @@ from citeweave.operators.extract import explode_references, extract_edges
 from citeweave.operators.invert import dedup_links, link_counts
 from citeweave.operators.resolve import Resolver, head_status, resolve_unmatched
 from citeweave.operators.validate import lookup
-from citeweave.schemas import EDGES, LINKS
+from citeweave.schemas import EDGES
 from citeweave.scratch import scratch
 from citeweave.sinks.lines import HOT, write_lines_split
 from citeweave.sinks.outputs import write_partitioned_edges, write_split
@@ -26,6 +26,7 @@ from citeweave.sources.records import first_bad_record, read_citations, read_ind
 from citeweave.sources.works import items, scan_archives, scan_directory, works_index
 from citeweave.storage import digest, names, remove
 from citeweave.streaming.commits import CommitLog, key_range
+from citeweave.streaming.incremental import read_links
 from citeweave.streaming.manifest import PHASES, Manifest
 
 SOURCES = ("all", "crossref", "datacite", "arxiv")
@@ -130,10 +131,6 @@ def invert_ranges(edges: DataFrame, path: str, log: CommitLog, ranges: int, at_o
     return read_links(spark, path)
 
 
-def read_links(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{LINKS}, key_range int").parquet(path)
-
-
 def run_pipeline(spark: SparkSession, args: PipelineArgs, resolver: Resolver | None = None, on_commit: Callable[[list[int]], None] | None = None) -> dict:
     """Runs all stages; intermediates go to a folder of this run below temp_dir, removed unless they are kept.
 

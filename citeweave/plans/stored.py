@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from citeweave import fixtures
 from citeweave.functions.elapsed import elapsed as elapsed_of
 from citeweave.functions.keys import partition_key
+from citeweave.functions.tables import register
 from citeweave.operators.extract import explode_references, extract_edges, search_text
 from citeweave.operators.invert import citation_counts, dedup_links, invert
 from citeweave.operators.resolve import ANSWERS, resolve_unmatched
 from citeweave.operators.validate import lookup
 from citeweave.plans.pipeline import PipelineArgs, run_pipeline, run_validate, write_results
+from citeweave.schemas import REFS
 from citeweave.scratch import scratch
 from citeweave.sinks.lines import write_lines
 from citeweave.sinks.outputs import compact_edges, split_path, split_path_of, write_inverted, write_jsonl, write_partitioned_edges, write_split
@@ -24,6 +26,7 @@ from citeweave.sources.records import bad_records, read_citations, read_index, r
 from citeweave.sources.works import members, read_archive, read_directory, scan_archives, works_index
 from citeweave.storage import remove
 from citeweave.streaming.commits import CommitLog
+from citeweave.streaming.incremental import read_links, stream_links
 from citeweave.streaming.manifest import PHASES, Manifest, pending_edges
 
 #: Works of one JSON document, and documents of one archive, of the derived corpus.
@@ -276,8 +279,9 @@ def resumed_ranges(spark, d):
     except InterruptedError:
         remove(spark, args.input)
     run_pipeline(spark, args, on_commit=done.extend)
-    commits = spark.read.json(f"{base}/run-again/commits").where("phase = 'invert'").agg(F.count(F.lit(1)).alias("n_commits"), F.sum("n").alias("n_links"))
-    return _lines(spark, f"{base}/o.jsonl", ["doi", "citation_count"]).join(F.broadcast(commits)).withColumn("n_ranges_run", F.lit(len(done)).cast("bigint"))
+    n = spark.read.json(f"{base}/run-again/commits").where("phase = 'invert'").agg(F.count(F.lit(1)).alias("n_commits"), F.sum("n").alias("n_links")).first().asDict()
+    figures = {k: F.lit(v).cast("bigint") for k, v in {**n, "n_ranges_run": len(done)}.items()}
+    return _lines(spark, f"{base}/o.jsonl", ["doi", "citation_count"]).withColumns(figures)
 
 
 def hot_lines(spark, d):
@@ -378,12 +382,39 @@ def validated_file(spark, d):
     return good.withColumn("valid", F.lit(True)).union(bad.withColumn("valid", F.lit(False)))
 
 
+def self_links(spark, d):
+    """Works that cite themselves: in the same spelling they go, in another one they stay, as identifiers are compared as they are here."""
+    works = fixtures.references(spark, d).select("citing_doi", "entry_ord", "item_ord").distinct()
+    spelled = F.when(F.col("item_ord") % 3 == 0, F.col("citing_doi")).when(F.col("item_ord") % 3 == 1, F.upper("citing_doi")).otherwise(F.reverse("citing_doi"))
+    named = {"cited_id": spelled, "raw_match": spelled, "ref_json": F.lit("{}"), "provenance": F.lit("mined"), "ref_index": F.lit(0).cast("bigint"), "match_ord": F.lit(0).cast("bigint")}
+    return dedup_links(works.withColumns(named)).select("citing_doi", "cited_id")
+
+
+def extract_table_function(spark, d):
+    """The SQL table function in lateral joins, in both modes."""
+    register(spark)
+    refs = fixtures.references(spark, d).withColumn("text", search_text()).withColumn("mode", F.explode(F.array(F.lit("doi"), F.lit("arxiv"))))
+    select = "SELECT citing_doi, item_ord, ref_index, mode, match_ord, raw_match, identifier FROM {refs}, LATERAL extract_identifiers(text, mode)"
+    return spark.sql(select, refs=refs)
+
+
+def incremental_links(spark, d):
+    """References in three arrivals, the third of which repeats a part of the first, equal one batch."""
+    source, path, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    refs = fixtures.references(spark, d).select(*[f.split()[0] for f in REFS.split(", ")])
+    for some in (F.col("ref_index") % 2 == 0, F.col("ref_index") % 2 == 1, F.col("ref_index") == 0):
+        refs.where(some).write.mode("append").parquet(source)
+        stream_links(spark, source, path, checkpoint, ranges=8).awaitTermination()
+    return read_links(spark, path).select("citing_doi", "cited_id", "raw_match", "provenance", "ref_index")
+
+
 def queries() -> dict:
     plain = (
         works_folder, works_archive, works_dois, works_references, skip_rules, records_scan, index_scan, index_prefix_file, citations_scan,
         generic_jsonl, arxiv_jsonl, cited_by_entries, split_paths, source_outputs, edges_by_key, edges_appended, edges_union,
         inverted_parquet, skip_inverted, resolver_union, elapsed, manifest_json, pipeline_outputs, resumed_phases, validated_file,
         archive_members, run_counters, resumed_ranges, hot_lines, record_numbers, ranked_parquet, index_pruned, index_prefixes_read, edges_compacted, resolver_table,
+        self_links, extract_table_function, incremental_links,
     )
     split = {f"{mode}_{kind}_jsonl": (lambda s, d, mode=mode, kind=kind: _split(s, d, mode, kind)) for mode in ("doi", "arxiv") for kind in ("asserted", "mined")}
     return {f.__name__: f for f in plain} | split
@@ -447,6 +478,11 @@ def oracle_selects(pkey: str, prefix: str) -> dict[str, str]:
         "index_pruned": "SELECT cited_id AS doi FROM c WHERE cited_id LIKE '10.1007/%' AND cited_id IN (SELECT doi FROM m)",
         "index_prefixes_read": f"SELECT DISTINCT {prefix.format('doi')} AS prefix FROM idx_b WHERE doi LIKE '10.%/%'",
         "edges_compacted": f"SELECT {pkey} AS pkey, count(*) AS n_edges, CAST(1 AS BIGINT) AS n_files FROM e GROUP BY 1",
+        "self_links": """SELECT * FROM (SELECT DISTINCT citing_doi, CASE item_ord % 3 WHEN 0 THEN citing_doi WHEN 1 THEN upper(citing_doi) ELSE reverse(citing_doi) END AS cited_id FROM refs)
+            WHERE citing_doi <> cited_id""",
+        "extract_table_function": """SELECT citing_doi, item_ord, ref_index, 'doi' AS mode, match_ord, raw AS raw_match, id AS identifier FROM d3
+            UNION ALL SELECT citing_doi, item_ord, ref_index, 'arxiv', CAST(row_number() OVER (PARTITION BY item_ord, ref_index ORDER BY form, o) - 1 AS BIGINT), raw, id FROM a2 WHERE nth = 1""",
+        "incremental_links": "SELECT citing_doi, cited_id, raw_match, provenance, ref_index FROM u WHERE citing_doi <> cited_id",
         "resolver_table": f"SELECT cited_id AS doi, CASE WHEN {even} THEN 'found' ELSE 'missing' END AS outcome, CASE WHEN {even} THEN '302' ELSE '404' END AS detail, CASE WHEN {even} THEN 'datacite' END AS matched_source FROM cs WHERE matched_source IS NULL",
         **{f"doi_{k}_jsonl": split.format("cited_id AS doi,", w, "u", w) for k, w in of.items()},
         **{f"arxiv_{k}_jsonl": split.format(arxiv, w, "ua", w) for k, w in of.items()},

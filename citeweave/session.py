@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 CONF = {
@@ -17,4 +21,14 @@ def get_session(app: str = "citeweave", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app).config(map=CONF | conf)
     if master:
         builder = builder.master(master)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to executors, once a session: they need not have it installed."""
+    package = Path(__file__).resolve().parent
+    if not any(name.startswith(f"{package.name}-") for name in spark.sparkContext._python_includes):
+        folder = tempfile.mkdtemp(prefix="citeweave-")  # the driver's own: Spark copies the file
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{package.name}-{Path(folder).name}", "zip", package.parent, package.name))

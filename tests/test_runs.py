@@ -350,3 +350,62 @@ def test_columns_equal_functions(spark):
     paths = ["/a/b.jsonl", "b", "a.b/c.d.jsonl", "a.b/c", "x/.hidden", "x/.hidden.gz", "a..b"]
     found = spark.createDataFrame([(p,) for p in paths], "p string").select("p", split_path_of(F.col("p"), "mined").alias("s")).collect()
     assert {r["p"]: r["s"] for r in found} == {p: split_path(p, "mined") for p in paths}
+
+
+# Table function, arrivals, packaging
+
+
+def test_table_function(spark):
+    from citeweave.functions.arxiv import arxiv_matches
+    from citeweave.functions.doi import doi_matches
+    from citeweave.functions.tables import register
+
+    register(spark)
+    texts = ["10.1234/A. and doi:10.1234/a; 10.99999/x y 10.1234%2Fb 10.1234/q%2Fz&gt;", "arXiv:2403.03542v2, arxiv.org/abs/2403.03542 arXiv: hep-ph/ 9901001v2 arXiv:solv-int/9901001v2", "it's \"10.1016/S0140-6736(05)1\"", "", None]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    found = spark.sql("SELECT k, 'doi' AS mode, f.* FROM {t}, LATERAL extract_identifiers(text, 'doi') f UNION ALL SELECT k, 'arxiv', f.* FROM {t}, LATERAL extract_identifiers(text, 'arxiv') f", t=frame)
+    plain = [frame.select("k", F.lit(m).alias("mode"), F.posexplode(f(F.col("text"))).alias("o", "m")).select("k", "mode", "o", "m.*") for m, f in (("doi", doi_matches), ("arxiv", arxiv_matches))]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain[0].union(plain[1]).collect())) and found.count() > 6
+    assert spark.sql("SELECT * FROM extract_identifiers('10.1234/a', 'other')").count() == 0
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arrivals_equal_one_batch(spark, tmp_path):
+    from citeweave.streaming.incremental import merge_links, read_links
+
+    rows = [(f"c{k % 40}", k // 40, k % 7, k % 3, 0, "{}", f"r{k}", f"d{k % 23}", "mined") for k in range(600)]
+    whole = spark.createDataFrame(rows, EDGES)
+    path = str(tmp_path / "links")
+    late, early = whole.where("entry_ord >= 5"), whole.where("entry_ord < 8")
+    for part in (late, early, early.limit(50), whole.limit(0)):
+        merge_links(part, path, ranges=5)
+    merge_links(whole.where("cited_id = 'd3'"), path, ranges=5)
+    assert sorted(map(tuple, read_links(spark, path).drop("key_range").collect())) == sorted(map(tuple, dedup_links(whole).select(*read_links(spark, path).drop("key_range").columns).collect()))
+    assert not (tmp_path / "links_merged").exists()
+
+
+def test_only_touched_ranges_are_written(spark, tmp_path):
+    from citeweave.streaming.incremental import merge_links
+
+    merge_links(edges(spark, [(f"c{k}", f"d{k}", "mined") for k in range(60)]), str(tmp_path / "l"), ranges=6)
+    before = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "l").glob("key_range=*")}
+    merge_links(edges(spark, [("new", "d1", "mined")]), str(tmp_path / "l"), ranges=6)
+    after = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "l").glob("key_range=*")}
+    assert len(before) == 6 and sum(before[k] != after[k] for k in before) == 1
+
+
+def test_workers_get_the_package(tmp_path):
+    """A session in another folder, without this one on its path."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = (
+        f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})\n"
+        "from citeweave.session import get_session\nfrom citeweave.sources.works import scan_directory\n"
+        "spark = get_session('x', 'local-cluster[1,1,1024]', **{'spark.ui.enabled': 'false', 'spark.driver.host': '127.0.0.1'})\n"
+        "open('a.json', 'w').write('{\"items\": [{\"DOI\": \"10.1/a\"}]}')\n"
+        f"print(scan_directory(spark, {str(tmp_path)!r}).count())"
+    )
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**__import__("os").environ, "PYTHONPATH": ""}, timeout=300)
+    assert said.stdout.strip() == "2", said.stderr[-2000:]
