@@ -187,6 +187,8 @@ def run_pipeline(spark: SparkSession, args: PipelineArgs, resolver: Resolver | N
     cited = counts.select("cited_id", (arxiv_doi(F.col("cited_id")) if mode == "arxiv" else F.col("cited_id")).alias("doi"), "reference_count", "citation_count")
     if mode == "arxiv":
         cited = cited.withColumn("arxiv_id", F.col("cited_id"))
+    cited.write.mode("overwrite").option("compression", "zstd").parquet(f"{temp}/cited")  # a row a work: counted once, then probed and looked up
+    cited = spark.read.parquet(f"{temp}/cited")
     index_a, index_b = _indexes(spark, args, works, cited)
 
     def validated(seen: Observation) -> DataFrame:
