@@ -409,3 +409,11 @@ def test_workers_get_the_package(tmp_path):
     )
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**__import__("os").environ, "PYTHONPATH": ""}, timeout=300)
     assert said.stdout.strip() == "2", said.stderr[-2000:]
+
+
+def test_a_named_run_without_matches(spark, tmp_path):
+    source = works(tmp_path / "w.tar.gz", [{"DOI": "10.1234/a", "reference": [{"unstructured": "none"}]}])
+    args = PipelineArgs(source, "crossref", None, {"crossref": str(tmp_path / "o")}, {"crossref": str(tmp_path / "f")}, temp_dir=str(tmp_path / "t"), run_id="none", ranges=3, keep_intermediates=True)
+    for _ in range(2):
+        stats = run_pipeline(spark, args)["stats"]
+        assert stats["files"] == 2 and stats["matches"] == stats["works"] == 0 and not lines(tmp_path / "o") and not lines(tmp_path / "f")
