@@ -215,6 +215,10 @@ def cosine_hash(pixels: np.ndarray) -> bytes:
     return np.packbits((low > np.median(low)).reshape(-1)).tobytes()
 
 
+#: Pixel bytes, and images, that a worker decodes at once.
+DECODED_BYTES, DECODED_ROWS = 1 << 23, 256
+
+
 def payload_image(text: bytes) -> np.ndarray:
     """UTF-8 bytes, zeros up to a positive multiple of 64, as rows of 64 grey pixels."""
     size = max(WIDTH, -(-len(text) // WIDTH) * WIDTH)
@@ -241,10 +245,31 @@ def to_media(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*kept).mapInArrow(run, schema)
 
 
+def _stated_bytes(png: bytes | None) -> int:
+    """Bytes of a file and of the pixels that its header states (a damaged one may state any number)."""
+    if not png or len(png) < 26:
+        return 0
+    width, height = struct.unpack(">II", png[16:24])
+    return len(png) + width * height * 4
+
+
+def groups(sizes: list[int], limit: int, most: int) -> Iterator[tuple[int, int]]:
+    """Runs (from, to) of at most limit bytes and most items; a larger item is a run of its own."""
+    a, held = 0, 0
+    for k, size in enumerate(sizes):
+        if k > a and (held + size > limit or k - a == most):
+            yield a, k
+            a, held = k, 0
+        held += size
+    if sizes:
+        yield a, len(sizes)
+
+
 def describe_media(frame: DataFrame, keys: list[str], media: str = "media") -> DataFrame:
     """keys, then payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature (hex), phash (binary), error.
 
-    Decodes each image and computes from its pixels. Null or damaged images give an error and no payload columns.
+    Decodes each image and computes from its pixels. Null or damaged images give an error and no payload columns. Images
+    are decoded together up to DECODED_BYTES of pixels; a larger one is decoded alone.
     """
     added = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "phash": pa.binary(), "error": pa.string()}
 
@@ -260,8 +285,9 @@ def describe_media(frame: DataFrame, keys: list[str], media: str = "media") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, len(batch), 256):
-                part = batch.slice(a, 256)
+            images = batch.column(len(keys))
+            for a, b in groups([_stated_bytes(v.as_py()) for v in images], DECODED_BYTES, DECODED_ROWS):
+                part = batch.slice(a, b - a)
                 found = part.column(len(keys)).to_pylist()
                 cols = list(zip(*map(one, found, decode_many([v or b"" for v in found]))))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], *[pa.array(c, t) for c, t in zip(cols, added.values())]], [*keys, *added])

@@ -127,6 +127,19 @@ def test_query(spark, sf_dir):
     check(by_id(op2_media_columns(spark, sf_dir).collect()), texts)
 
 
+def test_images_are_decoded_up_to_a_number_of_bytes(spark, monkeypatch):
+    assert list(media.groups([5, 5, 1, 30, 2, 2, 2, 2], 10, 3)) == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
+    assert list(media.groups([], 10, 3)) == [] and list(media.groups([99], 10, 3)) == [(0, 1)]
+    docs = awkward(spark)
+    whole = sorted(map(str, media.text_media(docs).collect()))
+    monkeypatch.setattr(media, "DECODED_BYTES", 300)
+    assert sorted(map(str, media.text_media(docs).collect())) == whole
+    lying = bytearray(media.encode_png(media.payload_image(b"abc")))
+    lying[16:24] = b"\xff" * 8
+    frame = spark.createDataFrame([(1, lying), (2, bytearray(media.encode_png(media.payload_image(b"abc"))))], "doc_id bigint, media binary")
+    assert {r["doc_id"]: r["error"] is None for r in media.describe_media(frame, ["doc_id"]).collect()} == {1: False, 2: True}
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     check(by_id(media.text_media(docs).collect()), [(r["doc_id"], r["text"]) for r in by_id(docs.collect())])
