@@ -22,6 +22,8 @@ from citeweave.llm.common import blocks, scratch
 from citeweave.llm.tokens import ENCODED_BYTES, Encoder
 
 SHARD_TOKENS = 1 << 18
+#: Text bytes of a task that writes shards.
+TASK_BYTES = 1 << 30
 #: Of the places in a sequence, what one round aims at; less only means more rounds.
 SHARE = 1 / 12
 #: Symbols of a sequence between two stored positions.
@@ -192,11 +194,12 @@ def grammar_of(row: dict) -> Grammar:
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Encodes whole texts and writes shards, in ascending doc_id order over tasks and shards.
 
-    Documents are dealt by ranges of doc_id into as many tasks as the session has shuffle partitions (fewer, where the
-    planner joins small ones), so tasks follow each other as their ids do; a task writes many shards and holds one. A
-    document longer than a shard is a shard of its own with those before it. Null texts hold the end id alone. Rows of
-    one doc_id lie side by side, equal rows as such; null ids come first. Only doc_id and text are read, so other columns
-    may have any name. An empty table gives no shards.
+    Documents are dealt by ranges of doc_id, then of a hash of the text, so that null ids or many rows of one id are
+    parted too. Tasks are as many as the session has shuffle partitions (fewer, where the planner joins small ones), and
+    more where these would read over TASK_BYTES of text each. They follow each other as their ids do; a task writes many
+    shards and holds one. A document longer than a shard is a shard of its own with those before it. Null texts hold the
+    end id alone. Rows of one doc_id lie side by side, equal rows as such; null ids come first. Only doc_id and text are
+    read, so other columns may have any name. An empty table gives no shards.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +223,12 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
         if ids:
             yield close()
 
-    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text")]
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = -(-size // TASK_BYTES)
+    few = tasks <= int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chosen = docs.select("doc_id", "text")
+    dealt = (chosen.repartitionByRange(*order) if few else chosen.repartitionByRange(tasks, *order)).sortWithinPartitions(*order, "text")
     dealt.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)
 
 

@@ -113,6 +113,27 @@ def test_small_shards_and_tasks(spark, sf_dir, monkeypatch):
     check_shards(sorted(repair.encode_documents(docs, BYTE).collect()), sorted((r["doc_id"], r["text"]) for r in docs.collect()))
 
 
+def test_tasks_follow_bytes_and_part_null_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(repair, "TASK_BYTES", 400)
+    rows = [(None if k % 2 else k // 4, f"text number {k % 61} " * 3) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    path = f"file://{tmp_path}/shards"
+    repair.write_shards(docs, path, BYTE)
+    shards = spark.read.schema(repair.SHARD).parquet(path)
+    assert shards.select("task").distinct().count() > 12
+    null_tasks = {r["task"] for r in shards.collect() if any(r["doc_nulls"])}
+    assert len(null_tasks) > 4
+    got = sorted(repair.read_shards(spark, path).collect(), key=lambda r: r["start"])
+    key = lambda d: (d is not None, d or 0)
+    assert [r["doc_id"] for r in got] == sorted((d for d, _ in rows), key=key)
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    told = lambda d, ids: (key(d), len(ids), crc(ids))
+    assert sorted((key(r["doc_id"]), r["n_tokens"], r["ids_crc32"]) for r in got) == sorted(told(d, plain_ids(BYTE, t, 0)) for d, t in rows)
+
+
 def test_awkward_shards(spark):
     docs = awkward(spark)
     rows = sorted(repair.encode_documents(docs, BYTE).collect(), key=lambda r: r["start"])
