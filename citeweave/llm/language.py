@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.llm.common import blocks, code_points, segment_sums, texts
@@ -83,7 +83,11 @@ def document_frequencies(train: DataFrame, p: Params) -> tuple[np.ndarray, int]:
 
 
 def _sample(train: DataFrame, p: Params) -> tuple[list[str], DataFrame]:
-    """About equally many rows of each language, train_rows at most, chosen by a hash of doc_id."""
+    """Of each language the rows least in a hash of doc_id and text, equally many, train_rows at most over all.
+
+    Neither the layout of the table nor the order of its rows has a part in it. The share drawn by the hash only spares
+    the ranking of rows that are far behind.
+    """
     counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(counts)
     if not langs:
@@ -91,9 +95,13 @@ def _sample(train: DataFrame, p: Params) -> tuple[list[str], DataFrame]:
     each = max(1, p.train_rows // len(langs))
     share = F.lit(0.0)
     for lang in langs:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.1 * each / counts[lang]))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    return langs, train.where(draw < share).limit(p.train_rows)
+        # Ten deviations more than wanted, so that fewer than wanted are not drawn.
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, (each + 10 * each**0.5 + 10) / counts[lang]))).otherwise(share)
+    drawn = train.withColumn("draw", F.xxhash64(F.lit(17), "doc_id", "text"))
+    near = drawn.where(F.pmod("draw", F.lit(1 << 30)) / float(1 << 30) < share)
+    # Copies of one row have one draw: at most `each` rows of a task get beyond the planner's limit on ranks.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(1 << 30)), "draw", "doc_id"))
+    return langs, near.withColumn("nth", rank).where(F.col("nth") <= each).select("text", "lang")
 
 
 def _features(sample: DataFrame, p: Params) -> list[tuple[str, np.ndarray, np.ndarray]]:
@@ -214,8 +222,10 @@ def held_out(doc_id: Column) -> Column:
 def identify(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, held_out, lang_pred, score. Learns from labelled documents outside the held-out fold.
 
-    Without any such document every prediction is und. A null doc_id counts as not held out. Repeated rows are
-    predicted alike.
+    Without any such document, and for null, empty and letterless texts, the prediction is und. Very long texts are read
+    whole. A null doc_id counts as not held out. Repeated rows and equal texts are predicted alike; of equally probable
+    languages the first by name is taken. An empty table gives no rows. Only doc_id, text and lang are read, so other
+    columns may have any name.
     """
     fold = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
     train = docs.where(~fold & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")

@@ -1,5 +1,6 @@
 """Held-out accuracy, calibration and awkward rows."""
 
+import math
 import zlib
 
 import numpy as np
@@ -48,6 +49,111 @@ def test_awkward_rows(spark):
     assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
 
 
+def plain_counts(text, p):
+    """How often each bucket is met, n-gram by n-gram; text is padded by blanks on the left."""
+    letters = "".join(c.lower()[0] if c.isalpha() else " " for c in text)
+    padded, out = " " * (max(p.orders) - 1) + letters, {}
+    for n in p.orders:
+        for end in range(max(p.orders), len(padded) + 1):
+            h = 0x9E3779B1 * n & 0xFFFFFFFF
+            for c in reversed(padded[end - n : end]):
+                h = (h ^ ord(c)) * 0x85EBCA6B & 0xFFFFFFFF
+                h ^= h >> 13
+            bucket = (h * 0xC2B2AE35 & 0xFFFFFFFF) >> (32 - p.bits)
+            out[bucket] = out.get(bucket, 0) + 1
+    return out
+
+
+def plain_softmax(x):
+    e = [math.exp(v - max(x)) for v in x]
+    return [v / sum(e) for v in e]
+
+
+def plain_model(train, p):
+    """idf, weights {bucket: [per language]} and calibration rows by loops over coordinates. train: [(text, lang)]."""
+    langs = sorted({lang for _, lang in train})
+    counted = [(lang, plain_counts(t, p), len(t)) for t, lang in train]
+    df = {}
+    for _, own, _ in counted:
+        for b in own:
+            df[b] = df.get(b, 0) + 1
+    idf = lambda b: math.log((1 + len(train)) / (1 + df.get(b, 0))) + 0.1
+    rows = []
+    for (lang, own, n), (t, _) in zip(counted, train):
+        if any(c.isalpha() for c in t):
+            ids = sorted(own)
+            tf = [float(np.float32(own[b] / n)) for b in ids]
+            order = (lang, np.array(ids, np.uint32).tobytes(), np.array(tf, np.float32).tobytes())
+            rows.append((order, langs.index(lang), [(b, v * idf(b) * p.scale) for b, v in zip(ids, tf)] + [("bias", 1.0)]))
+    rows.sort(key=lambda r: r[0])
+    order = np.random.default_rng(5).permutation(len(rows)).tolist()
+    cut = int(len(rows) * p.calibration_share)
+    own, rest = [rows[k] for k in order[:cut]], [rows[k] for k in order[cut:]]
+    z, n, w = {}, {}, {}
+    zeros = [0.0] * len(langs)
+    rng = np.random.default_rng(3)
+    for _ in range(p.epochs):
+        for k in rng.permutation(len(rest)).tolist():
+            _, y, x = rest[k]
+            q = plain_softmax([sum(v * w.get(b, zeros)[c] for b, v in x) for c in range(len(langs))])
+            for b, v in x:
+                zb, nb, wb = (d.setdefault(b, list(zeros)) for d in (z, n, w))
+                for c in range(len(langs)):
+                    g = v * (q[c] - (c == y))
+                    sigma = (math.sqrt(nb[c] + g * g) - math.sqrt(nb[c])) / p.alpha
+                    zb[c] += g - sigma * wb[c]
+                    nb[c] += g * g
+                    shrunk = max(abs(zb[c]) - p.l1, 0.0) * (1 if zb[c] > 0 else -1)
+                    wb[c] = -shrunk / ((p.beta + math.sqrt(nb[c])) / p.alpha + p.l2)
+    return langs, idf, w, own
+
+
+def plain_logits(text, langs, idf, w, p):
+    zeros = [0.0] * len(langs)
+    own = plain_counts(text, p)
+    return [w.get("bias", zeros)[c] + sum(k / len(text) * idf(b) * p.scale * w.get(b, zeros)[c] for b, k in own.items()) for c in range(len(langs))]
+
+
+def test_predictions_equal_a_plain_model(spark, sf_dir):
+    p = language.Params()
+    short = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) < 1200").orderBy("doc_id").limit(70)
+    docs = short.unionByName(short.limit(3).withColumns({"doc_id": F.lit(10**6), "text": F.lit("12 34 ...")}), allowMissingColumns=True)
+    rows = docs.collect()
+    fold = lambda d: zlib.crc32(str(d).encode()) % 4 == 2
+    train = [(r["text"], r["lang"]) for r in rows if not fold(r["doc_id"]) and r["lang"] is not None and r["text"] is not None]
+    langs, idf, w, own = plain_model(train, p)
+    learned = docs.where(~language.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    model = language.fit(learned.select("doc_id", "text", "lang"), p)
+    assert model.langs == langs and len(langs) > 2 and len(own) > 5
+    zeros = [0.0] * len(langs)
+    logits = [(y, [sum(v * w.get(b, zeros)[c] for b, v in x) for c in range(len(langs))]) for _, y, x in own]
+    loss = lambda t: -sum(math.log(max(plain_softmax([v / t for v in x])[y], 1e-12)) for y, x in logits)
+    assert all(loss(model.temperature) <= loss(math.exp(k / 50)) + 1e-4 for k in range(-149, 150))
+    got = language.identify(docs, p).collect()
+    assert len(got) == len(rows)
+    texts = {r["doc_id"]: r["text"] for r in rows}
+    for r in got:
+        if not any(c.isalpha() for c in texts[r["doc_id"]] or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        q = plain_softmax([v / model.temperature for v in plain_logits(texts[r["doc_id"]], langs, idf, w, p)])
+        assert abs(r["score"] - max(q)) < 1e-3 and q[langs.index(r["lang_pred"])] > max(q) - 1e-3
+
+
+def test_sample_does_not_depend_on_the_layout(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
+    hot = docs.limit(20).withColumn("doc_id", F.lit(None).cast("bigint"))
+    docs = docs.unionByName(hot).unionByName(hot).unionByName(hot)
+    p = language.Params(train_rows=60)
+    told = []
+    for laid in (docs, docs.repartition(7, "text"), docs.orderBy(F.desc("text")).coalesce(1)):
+        langs, sample = language._sample(laid, p)
+        told.append(sorted(map(tuple, sample.collect())))
+    assert told[0] == told[1] == told[2]
+    by = [lang for _, lang in told[0]]
+    assert len(by) <= 60 and all(by.count(x) == min(60 // len(langs), docs.where(F.col("lang") == x).count()) for x in langs)
+
+
 def test_fit_is_sparse_and_separates():
     rows = [(k % 2, np.array([k % 2, 2, 3]), np.array([1.0, 0.001, 1.0])) for k in range(200)]
     w = language.fit_ftrl(rows, 2, 3, language.Params())
