@@ -84,8 +84,9 @@ def path_of(url: Column) -> Column:
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", default: str = "allow") -> DataFrame:
     """Adds host, path, rule and verdict. Narrow: one Arrow pass, no shuffle.
 
-    A null url or one without :// has an empty host and path, fits no rule and gets the default verdict. Repeated
-    rows and ties are judged alike; columns named host, path, rule or verdict are replaced.
+    A null or empty url or one without :// has an empty host and path, fits no rule and gets the default verdict. A very
+    long url is judged whole. Repeated rows and ties are judged alike; columns named host, path, rule or verdict are
+    replaced. An empty table gives no rows.
     """
     trie = pages.sparkSession.sparkContext.broadcast(build_trie(rules))
 
