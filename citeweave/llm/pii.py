@@ -5,8 +5,9 @@ that a keyed hash gives, so that a unit has the same surrogate wherever it occur
 whole table: surrogates that meet, or that are themselves found in the texts, are drawn again. Few units need that, so
 texts carry only these exceptions; all other surrogates are computed in place and no text waits for a join on entities.
 
-A name is found behind a title; its words are then replaced wherever they stand as whole words in that text. A word's
-stem hangs on the word alone, its ending on the gender that the text's titles show for it.
+A name is found behind a title, a label or a closing of a letter, or by an address of its text that is made of its two
+words; its words are then replaced wherever they stand as whole words in that text. A word's stem hangs on the word
+alone, its ending on the gender that the text's titles show for it.
 """
 
 from __future__ import annotations
@@ -34,7 +35,21 @@ _V6 = "|".join([
 # them, and no repetition of a group is deep. Longer words are no names (up to eight parts of 64 letters are), and of an
 # address with a longer local part, or with more labels, the nearest 64 characters and the first 127 labels are one.
 _NAME_WORD = r"\p{Lu}[\p{Ll}'-]{1,63}+(?![\p{Ll}'-])(?:(?<=['-])\p{Lu}[\p{Ll}'-]{0,63}+(?![\p{Ll}'-])){0,7}"
-#: What may follow the name inside such a word.
+# What stands before the name at the beginning of a line, and on the line before it.
+_LABELS = r"(?:Name|Full name|Author|Signed|Signed by|Nom|Nombre|Имя|Όνομα):"
+_CLOSINGS = (
+    r"(?:Regards|Best regards|Kind regards|Warm regards|Sincerely|Yours sincerely|Yours truly|Yours faithfully|Best wishes"
+    r"|Mit freundlichen Grüßen|Viele Grüße|Cordialement|Bien à vous|Saludos|Atentamente|С уважением|Με εκτίμηση)"
+)
+#: A name of two or three words that ends its line, or goes before an address in angle brackets.
+SIGNED = (
+    rf"(?m)^[ \t]{{0,8}}+(?:{_LABELS}[ \t]{{1,8}}+|{_CLOSINGS},?+[ \t]{{0,8}}+\r?\n[ \t]{{0,8}}+|From:[ \t]{{1,8}}+(?=[^\n<@]{{1,200}}+<))"
+    rf"({_NAME_WORD}(?: {_NAME_WORD}){{1,2}})(?=[ \t]{{0,8}}+(?:\r?$|<))"
+)
+#: Two capitalised words side by side, and the addresses whose local part is made of two words.
+_PAIR = r"(?<![\p{L}'-])(?=(\p{Lu}\p{Ll}{1,63}+ \p{Lu}\p{Ll}{1,63}+)(?![\p{L}'-]))"
+_TWO_WORDS = r"^([A-Za-z]{2,32})[._-]([A-Za-z]{2,31})@.*$"
+#: What follows the name inside such a word.
 _NAME_TAIL = r"(?:'s|['-])*$"
 #: Country codes are a prefix code: 1 and 7, these of two digits, all others of three.
 _CODE = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
@@ -264,10 +279,28 @@ def _matches(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
 
 
+def _untitled(text: Column, matches: Column) -> Column:
+    """Names that no title shows, behind a title of no gender: signed ones, and pairs of words that an address is made of.
+
+    Pairs and addresses meet by a hash of the pair, so the work is linear in the text.
+    """
+    signed = F.regexp_extract_all(text, F.lit(SIGNED), F.lit(1))
+    addresses = F.filter(matches, lambda m: m.rlike(_TWO_WORDS))
+    word = lambda m, k: F.initcap(F.lower(F.regexp_extract(m, _TWO_WORDS, k)))
+    either = F.flatten(F.transform(addresses, lambda m: F.array(F.concat_ws(" ", word(m, 1), word(m, 2)), F.concat_ws(" ", word(m, 2), word(m, 1)))))
+    met = F.array_intersect(either, F.regexp_extract_all(text, F.lit(_PAIR), F.lit(1)))
+    pairs = F.when(F.exists(matches, lambda m: m.rlike(_TWO_WORDS)), met).otherwise(F.array().cast("array<string>"))
+    return F.transform(F.concat(signed, pairs), lambda n: F.concat(F.lit("Dr. "), n))
+
+
 def scan(docs: DataFrame, kept: list[str]) -> DataFrame:
-    """row (the kept columns but text), doc_id, text and found, its entities: the one pass that looks for them, written."""
+    """row (the kept columns but text), doc_id, text and found, its entities: the one pass that looks for them, written.
+
+    Names without a title come last in found, as if they had one; a text with a name is searched for its words anyway.
+    """
     rest = F.struct(*[c for c in kept if c != "text"]).alias("row")
-    return store(docs.select(rest, "doc_id", "text", F.coalesce(_matches(F.col("text")), F.array().cast("array<string>")).alias("found")))
+    found = _let(_matches(F.col("text")), lambda ms: F.concat(ms, _untitled(F.col("text"), ms)))
+    return store(docs.select(rest, "doc_id", "text", F.coalesce(found, F.array().cast("array<string>")).alias("found")))
 
 
 def occurrences(scanned: DataFrame) -> DataFrame:

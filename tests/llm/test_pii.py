@@ -193,6 +193,43 @@ def test_names_without_title_and_one_surrogate_a_person(spark):
     assert m and m[1] == m[2] and len({m[1], m[3], m[4]}) == 3 and all(x.startswith("2001:0db8:") for x in m.groups())
 
 
+UNTITLED = {
+    1: "John Smith called. Write to john.smith@mail.example.com; Smith lives in Rome, and Then John Smith left.",
+    2: "We met.\nBest regards,\n  Élodie Petit-Jean\nParis Office\n",
+    3: "From: Ivan Petrov <ip@mail.example.com>\nSubject: New York\n\nPetrov's note",
+    4: "Name: Μαρία Παπά\nTown: New York\nΜαρία came",
+    5: "Keller Anna, see anna_keller@mail.example.com",
+    6: "Great Britain and New York; info.desk@mail.example.com or new.ideas@mail.example.com",
+    7: "From: New York to Rome\nName: some words\nRegards,\nyour Team\nName: One Two Three Four",
+}
+
+
+def test_names_without_title_are_found_by_addresses_and_signatures(spark):
+    got = {r["doc_id"]: r["text"] for r in pii.replace_entities(spark.createDataFrame(list(UNTITLED.items()), "doc_id bigint, text string"), "key").collect()}
+    for d, gone in ((1, ("John", "Smith", "john", "smith")), (2, ("Élodie", "Petit")), (3, ("Ivan", "Petrov")), (4, ("Μαρία", "Παπά")), (5, ("Keller", "Anna"))):
+        assert not any(g in got[d] for g in gone), got[d]
+    first = re.match(r"(\w+) (\w+) called\. Write to \S+@\S+; (\w+) lives in Rome, and Then (\w+) (\w+) left\.$", got[1])
+    assert first and first[2] == first[3] == first[5] and first[1] == first[4]
+    assert got[2].startswith("We met.\nBest regards,\n  ") and got[2].endswith("\nParis Office\n")
+    assert "Subject: New York\n" in got[3] and "'s note" in got[3] and "Town: New York" in got[4]
+    assert got[6].startswith("Great Britain and New York; ") and got[7] == UNTITLED[7]
+
+
+def test_search_for_untitled_names_is_linear(spark):
+    import time
+
+    long = {
+        "pairs": "Ab Cd " * 150_000 + "x.yz@mail.example.com", "closings": "Best regards,\n" * 70_000, "labels": "Name: " * 150_000, "from": "From: A\n" * 100_000,
+        "addresses": "Ab Cd " + "ab.cd@mail.example.com " * 20_000, "breaks": "\n" * 900_000, "signed": "Name: Ab Cd\n" * 50_000, "blanks": " " * 900_000, "word": "Name: A" + "b" * 900_000,
+    }
+    for case, text in long.items():
+        began = time.time()
+        docs = spark.createDataFrame([(1, f"{text}\nName: Carl Orff")], "doc_id bigint, text string")
+        found = docs.select(pii._untitled(F.col("text"), pii._matches(F.col("text"))).alias("m")).first()["m"]
+        assert "Dr. Carl Orff" in found and time.time() - began < 20, case
+        assert ("Dr. Ab Cd" in found) == (case in ("addresses", "signed")), case
+
+
 def test_long_runs_end(spark):
     """Texts whose length is in one word, number or address: each in a second or so, and never the JVM."""
     import time
