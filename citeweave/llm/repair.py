@@ -53,17 +53,24 @@ def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ordered = keys[by]
     new = np.ones(len(keys), bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    number = np.empty(len(keys), np.int32)
-    number[by] = np.cumsum(new, dtype=np.int32) - 1
+    number = np.empty(len(keys), np.int64)  # what numpy counts and looks up by without a copy
+    number[by] = np.cumsum(new) - 1
     return ordered[new], number
 
 
-def _least(n: np.ndarray) -> int:
-    """The count from which on pairs are taken."""
+def _least(n: np.ndarray, total: int) -> int:
+    """The count from which on pairs are taken, of those that have two places or more; total: of all pairs' places."""
     by_count = np.bincount(n)
     places = np.cumsum((by_count * np.arange(len(by_count)))[::-1])[::-1]
-    enough = np.flatnonzero(places >= SHARE * places[0])[-1]
-    return max(2, min((len(by_count) - 1) // 2, int(enough)))
+    enough = np.flatnonzero(places[2:] >= SHARE * total)
+    return max(2, min((len(by_count) - 1) // 2, int(enough[-1]) + 2 if len(enough) else 2))
+
+
+def _numbers(kept: np.ndarray, n: int) -> np.ndarray:
+    """For each of n old numbers that is kept its new one; kept ones are ascending and stay so."""
+    new = np.empty(n, np.int64)
+    new[kept] = np.arange(len(kept))
+    return new
 
 
 def _spaced(hit: np.ndarray) -> np.ndarray:
@@ -74,10 +81,13 @@ def _spaced(hit: np.ndarray) -> np.ndarray:
     return hit[(hit - first) % 2 == 0]
 
 
-def _chosen(pairs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of wanted pairs that do not overlap, of pairs that have two such places or more."""
-    hit = _spaced(np.flatnonzero(wanted[pairs]))
-    return hit[np.bincount(pairs[hit], minlength=len(wanted))[pairs[hit]] > 1]
+def _chosen(pairs: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of wanted pairs that do not overlap, of pairs that have two such places or more; the pair at each, and these pairs."""
+    hit = _spaced(np.flatnonzero(wanted.take(pairs)))
+    of = pairs.take(hit)
+    twice = np.bincount(of, minlength=len(wanted)) > 1
+    stay = np.flatnonzero(twice.take(of))
+    return hit.take(stay), of.take(stay), np.flatnonzero(twice)
 
 
 def compress(ids: np.ndarray) -> Grammar:
@@ -90,33 +100,34 @@ def compress(ids: np.ndarray) -> Grammar:
     keys, pairs = _dense((s[:-1].astype(np.int64) << bits) | s[1:])
     rules, n_rules = [], 0
     while len(s) > 1:
-        # Numbers that no place has any more are left out.
-        seen, pairs = _dense(pairs) if len(keys) > 4 * len(pairs) + 1024 else (None, pairs)
-        keys = keys if seen is None else keys[seen]
         n = np.bincount(pairs, minlength=len(keys))
-        if n.max() < 2:
+        if len(keys) > 2 * len(pairs) + 1024:  # numbers that no place has any more are left out
+            seen = np.flatnonzero(n)
+            pairs, keys, n = _numbers(seen, len(keys)).take(pairs), keys[seen], n[seen]
+        often = n.take(np.flatnonzero(n > 1))
+        if not len(often):
             break
-        hit = _chosen(pairs, n >= _least(n))
+        hit, of, used = _chosen(pairs, n >= _least(often, len(pairs)))
         if not len(hit):  # all places of each pair overlap those of others: then pairs of different symbols, one alone, or of equal ones
             twice, equal = n > 1, (keys >> bits) == (keys & low)
             other = np.flatnonzero(twice & ~equal)
             one = np.zeros(len(keys), bool)
             one[other[np.argmax(n[other])] if len(other) else np.flatnonzero(twice & equal)] = True
-            hit = _chosen(pairs, one)
+            hit, of, used = _chosen(pairs, one)
             if not len(hit):
                 break
-        used, at = _dense(pairs[hit])
         rules.append(keys[used])
-        s[hit] = base + n_rules + at
+        s[hit] = base + n_rules + _numbers(used, len(keys)).take(of)
         n_rules += len(used)
         keep = np.ones(len(s), bool)
         keep[hit + 1] = False
-        s = s[keep]
+        keep = np.flatnonzero(keep)
+        s = s.take(keep)
         made = hit - np.arange(len(hit))
         fresh = np.stack([made - 1, made], 1).ravel()  # ascending, with repeats side by side
         fresh = fresh[(np.diff(fresh, prepend=-1) > 0) & (fresh < len(s) - 1)]
         values, number = _dense((s[fresh].astype(np.int64) << bits) | s[fresh + 1])
-        pairs = pairs[keep[:-1]][: len(s) - 1]
+        pairs = pairs.take(keep[: len(s) - 1])
         pairs[fresh] = len(keys) + number
         keys = np.concatenate([keys, values])
     rule = np.concatenate(rules) if rules else np.zeros(0, np.int64)
@@ -131,15 +142,18 @@ def compress(ids: np.ndarray) -> Grammar:
 
 
 def decode(g: Grammar) -> np.ndarray:
-    """All ids. Every pass puts the two sides of each rule in its place."""
-    s = g.sequence
-    while len(at := np.flatnonzero(s >= g.base)):
-        times = np.ones(len(s), np.int64)
-        times[at] = 2
-        first = at + np.arange(len(at))
-        rule, s = s[at] - g.base, np.repeat(s, times)
-        s[first], s[first + 1] = g.left[rule], g.right[rule]
-    return s.astype(np.uint32)
+    """All ids. Every pass puts ids in their places and parts rules into their two sides, so each is touched once."""
+    size = np.concatenate([np.ones(g.base, np.int64), g.lengths])
+    s, own = g.sequence, size.take(g.sequence)
+    at = np.cumsum(own) - own
+    out = np.empty(int(own.sum()), np.uint32)
+    while len(s):
+        known, rule = np.flatnonzero(s < g.base), np.flatnonzero(s >= g.base)
+        out[at.take(known)] = s.take(known)
+        at, rule = at.take(rule), s.take(rule) - g.base
+        left, right = g.left.take(rule), g.right.take(rule)
+        s, at = np.concatenate([left, right]), np.concatenate([at, at + size.take(left)])
+    return out
 
 
 def decode_range(g: Grammar, start: int, stop: int, count: list[int] | None = None) -> np.ndarray:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -92,7 +92,7 @@ class Encoder:
         """Ids of all texts one after another, and how many each has."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     def _lettered(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As _plain, of words of letters alone, with a blank before each that is kept. Many are one text."""
@@ -111,20 +111,21 @@ class Encoder:
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        """The number of each word, which is encoded if it was not met before."""
+        """The number of each of different words, which is encoded if it was not met before."""
         at = self.words.find(words)
         new = np.flatnonzero(at < 0)
         if len(new):
-            lacking = list(dict.fromkeys(words[k] for k in new.tolist()))
-            letters = pc.match_substring_regex(pa.array(lacking, pa.large_string()), r"^\pL+$").to_numpy(zero_copy_only=False)
-            own = [w for w, ok in zip(lacking, letters) if ok]
+            lacking = [words[k] for k in new.tolist()]
+            letters = pc.match_substring_regex(pa.array(lacking, pa.large_string()), r"^\pL+$").to_numpy(zero_copy_only=False).astype(bool)
+            own, first = [w for w, ok in zip(lacking, letters) if ok], len(self.words.number)
             if own:
                 self.words.add(own, *self._lettered(own))
-            own = [w for w, ok in zip(lacking, letters) if not ok]
+                at[new[letters]] = first + np.arange(len(own))
+            own, first = [w for w, ok in zip(lacking, letters) if not ok], len(self.words.number)
             if own:
                 text = [w[len(_BEGUN) :] if w.startswith(_BEGUN) else " " + w for w in own] if self.keep_blank else own
                 self.words.add(own, *self._plain(text))
-            at[new] = self.words.find([words[k] for k in new.tolist()])
+                at[new[~letters]] = first + np.arange(len(own))
         return at
 
     def _parts(self, pieces: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, list[str]]:
@@ -155,7 +156,7 @@ class Encoder:
         else:
             split = pc.ascii_split_whitespace(pc.ascii_lower(found))
         coded = split.flatten().dictionary_encode()
-        at = coded.indices.to_numpy().copy()
+        at = coded.indices.to_numpy().astype(np.int64)
         bounds = split.offsets.to_numpy().astype(np.int64)
         pieces = coded.dictionary
         if self.keep_blank:
@@ -174,23 +175,25 @@ class Encoder:
         if len(self.words.number) > self.cache:
             self.words = Words()
         extra = [_BEGUN + m for m in [*marks, "\n"]] if self.keep_blank else marks
-        number, closing, table = self._numbers(word.to_numpy(zero_copy_only=False).tolist()), self._numbers(extra), self.words
+        once = word.dictionary_encode()  # pieces with other marks behind them have the same word
+        number = self._numbers(once.dictionary.to_numpy(zero_copy_only=False).tolist()).take(once.indices.to_numpy())
+        closing, table = self._numbers(extra), self.words
         parts = [number, closing[tail]]
         if self.keep_blank:
             parts.insert(0, np.where(lined, closing[-1], closing[0]))
         # The ids of a piece are those of its line end, its word and its closing marks.
         which = np.stack(parts, 1).ravel()
-        sizes = table.sizes[which]
-        ids = table.ids[ranges(table.starts[which], sizes)]
+        sizes = table.sizes.take(which)
+        ids = table.ids.take(ranges(table.starts.take(which), sizes))
         sizes = sizes.reshape(len(pieces), -1).sum(1)
         starts = np.cumsum(sizes) - sizes
         if self.keep_blank and whole.any():
             more, n_more = self._plain(found.filter(pa.array(whole)).to_pylist())
             at[bounds[:-1][whole]] = len(sizes) + np.arange(len(n_more))
             starts, sizes, ids = np.concatenate([starts, len(ids) + np.cumsum(n_more) - n_more]), np.concatenate([sizes, n_more]), np.concatenate([ids, more])
-        times = sizes[at]
+        times = sizes.take(at)
         ends = np.concatenate([[0], np.cumsum(times)])
-        return ids[ranges(starts[at], times)], ends[bounds[1:]]
+        return ids.take(ranges(starts.take(at), times)), ends[bounds[1:]]
 
     def documents(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> list[np.ndarray]:
         """The ids of each text with the end id after them."""

@@ -69,6 +69,26 @@ def repeated_pairs(sequence):
     return [pair for pair, k in n.items() if k > 1]
 
 
+def test_decoding_touches_each_rule_once(monkeypatch):
+    """op3: work follows the ids, not the ids times the depth of the rules."""
+    ids = np.concatenate([np.arange(3, 50_000, dtype=np.uint32), np.tile(np.arange(3, dtype=np.uint32), 1 << 9)])
+    g = repair.compress(ids)
+    handled, find = [], np.flatnonzero
+    monkeypatch.setattr(repair.np, "flatnonzero", lambda x: handled.append(len(x)) or find(x))
+    assert (repair.decode(g) == ids).all()
+    assert sum(handled) < 5 * len(ids)
+
+
+def test_words_are_looked_up_once_a_block(monkeypatch):
+    """op3: a word with other marks behind it is the same word."""
+    encoder, asked = Encoder(BYTE, True), []
+    monkeypatch.setattr(encoder.words, "find", lambda words, find=encoder.words.find: asked.extend(words) or find(words))
+    text = "so word word, word. word! (word) wordy".encode()
+    ids = encoder.documents(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 7)[0]
+    assert ids.tolist() == plain_ids(BYTE, text.decode(), 7)
+    assert asked.count("word") == 1 and len(asked) == len(set(asked))
+
+
 def test_every_rule_is_used_twice():
     ids = np.random.default_rng(5).integers(0, 9, 5000).astype(np.uint32)
     g = repair.compress(ids)
